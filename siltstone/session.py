@@ -42,16 +42,22 @@ def local_session(cores: int | str = 8, name: str = "siltstone", **conf: str) ->
     return spark
 
 
+# Scratch folders of local sessions that name none, by application id.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the cluster's `spark.checkpoint.dir`.
 
     Every executor must see the folder, so a machine-local one is used only
     where the whole Spark application is one local process.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="siltstone-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="siltstone-")
+        root = _LOCAL_ROOTS[context.applicationId]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
