@@ -58,6 +58,13 @@ def is_missing(col: Column, data_type: T.DataType) -> Column:
     return is_null(col, data_type)
 
 
+# White space of all kinds, in ASCII and beyond.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(col: Column) -> Column:
-    """Drop white space of every kind at both ends (`trim` drops blanks only)."""
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    """Drop white space of every kind at both ends (plain `trim` drops blanks only)."""
+    return F.btrim(col, F.lit(WHITE_SPACE))

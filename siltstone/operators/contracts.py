@@ -85,23 +85,34 @@ def validate_contracts(df: DataFrame, contracts: Sequence[Contract]) -> DataFram
     if not contracts:
         return spark.createDataFrame([], RESULT_SCHEMA)
     types = {f.name: f.dataType for f in df.schema.fields}
+    used = list(dict.fromkeys(c.column for c in contracts))
+    # Text and numbers of each column are worked out once per row, however many
+    # contracts look at them. A column the table lacks is missing in every row.
+    fields = []
+    for k, name in enumerate(used):
+        col, kind = (F.col(q(name)), types[name]) if name in types else (F.lit(None), None)
+        gone = F.lit(True) if kind is None else is_missing(col, kind)
+        rules = {c.rule_type for c in contracts if c.column == name}
+        fields.append(gone.alias(f"_g{k}"))
+        if "FORMAT" in rules:
+            fields.append(strip(col.cast("string")).alias(f"_t{k}"))
+        if "RANGE" in rules:
+            number = F.lit(None) if kind is None else to_number(col, kind)
+            fields.append(number.cast("double").alias(f"_x{k}"))
+    prepared = df.select(*fields)
     aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs += [F.count_if(~F.col(f"_g{k}")).alias(f"_p{k}") for k in range(len(used))]
     for i, c in enumerate(contracts):
-        if c.column not in types:
-            # A column the table lacks is missing in every row.
-            gone, col, kind = F.lit(True), F.lit(None).cast("string"), None
-        else:
-            col, kind = F.col(q(c.column)), types[c.column]
-            gone = is_missing(col, kind)
+        k = used.index(c.column)
+        gone, value = F.col(f"_g{k}"), F.col(f"_x{k}")
         if c.rule_type == "NOT_NULL":
             bad = gone
         elif c.rule_type == "FORMAT":
-            bad = ~gone & ~strip(col.cast("string")).rlike(c.rule)
+            bad = ~gone & ~F.col(f"_t{k}").rlike(c.rule)
         elif c.rule_type == "RANGE":
             if c.rule not in RANGES:
                 raise ValueError(f"unknown range rule {c.rule!r}, choose from {list(RANGES)}")
             low, high = RANGES[c.rule]
-            value = to_number(col, kind) if kind is not None else col.cast("double")
             outside = value.isNull()
             if low is not None:
                 outside = outside | (value < low)
@@ -110,11 +121,11 @@ def validate_contracts(df: DataFrame, contracts: Sequence[Contract]) -> DataFram
             bad = ~gone & outside
         else:
             bad = F.lit(False)
-        aggs += [F.count_if(~gone).alias(f"_p{i}"), F.count_if(bad).alias(f"_b{i}")]
+        aggs.append(F.count_if(bad).alias(f"_b{i}"))
     rows = []
     for i, c in enumerate(contracts):
         bad = F.col(f"_b{i}")
-        base = F.col("_rows") if c.rule_type == "NOT_NULL" else F.col(f"_p{i}")
+        base = F.col("_rows") if c.rule_type == "NOT_NULL" else F.col(f"_p{used.index(c.column)}")
         share = bad / F.greatest(base, F.lit(1)).cast("double")
         rate = F.bround(share * 100, 2)
         if c.rule_type == "FORMAT":
@@ -134,7 +145,7 @@ def validate_contracts(df: DataFrame, contracts: Sequence[Contract]) -> DataFram
                 .alias("detail"),
             )
         )
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return prepared.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 RESULT_SCHEMA = (

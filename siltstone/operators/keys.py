@@ -8,9 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+from siltstone.functions.digest import quoted as q
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

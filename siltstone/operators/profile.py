@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.functions.missing import is_missing, is_null
+from siltstone.functions.digest import compact, compact_row
+from siltstone.functions.missing import is_missing
 from siltstone.functions.names import TIMESTAMP_NAMES
-from siltstone.functions.numeric import percent
+from siltstone.functions.numeric import percent, ratio
 from siltstone.functions.sketch import approx_distinct
-from siltstone.functions.types import family
+from siltstone.functions.types import family, is_fractional
 from siltstone.operators.keys import q
 
-PROFILE_SCHEMA = "column string, position int, dtype string, null_count bigint, null_pct double, cardinality bigint"
-
 
 def _distinct(col: Column, mode: str) -> Column:
     if mode == "exact":
@@ -28,49 +28,75 @@ def _distinct(col: Column, mode: str) -> Column:
     raise ValueError("distinct is 'exact', 'approx' or 'none'")
 
 
+def _value(f: T.StructField) -> Column:
+    """The column for counting: NaN is null, long text is its digest."""
+    col = F.col(q(f.name))
+    return F.when(~F.isnan(col), col) if is_fractional(f.dataType) else compact(col, f.dataType)
+
+
 def column_profile(
     df: DataFrame,
     *,
     distinct: str = "exact",
     exact_for: Sequence[str] = (),
+    scan: str = "once",
 ) -> DataFrame:
     """One row per column: dtype, nulls, null % (2 digits, ties to even), distinct values.
 
-    All columns come out of one aggregate over one scan. Exact distinct counts
-    shuffle the distinct values of every column; `distinct="approx"` keeps a
-    fixed-size sketch per column instead and shuffles nothing but one row per
-    task, with exact counts only for the columns in `exact_for`.
+    `distinct="approx"` keeps a sketch of a few KB per column and task and
+    shuffles nothing but those; columns in `exact_for` are still counted exactly.
+
+    Exact counts shuffle the distinct values of every column. `scan="once"`
+    reads the input once, which multiplies its rows by the number of columns
+    before they are collapsed: right for an input that is costly to compute.
+    `scan="per_column"` reads each column on its own: of a columnar file that is
+    the same number of bytes, and every row stays one narrow value.
     """
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(df.schema.fields):
-        col = F.col(q(f.name))
-        null = is_null(col, f.dataType)
-        aggs.append(F.count_if(null).alias(f"_n{i}"))
-        mode = "exact" if f.name in exact_for else distinct
-        aggs.append(_distinct(F.when(~null, col), mode).alias(f"_d{i}"))
-    stats = df.agg(*aggs)
-    rows = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.lit(i).alias("position"),
-            F.lit(f.dataType.simpleString()).alias("dtype"),
-            F.col(f"_n{i}").alias("null_count"),
-            percent(F.col(f"_n{i}"), F.col("_rows")).alias("null_pct"),
-            F.col(f"_d{i}").cast("bigint").alias("cardinality"),
-            F.col("_rows").alias("total_rows"),
+    if scan not in ("once", "per_column"):
+        raise ValueError("scan is 'once' or 'per_column'")
+    modes = {f.name: "exact" if f.name in exact_for else distinct for f in df.schema.fields}
+    alone = [f.name for f in df.schema.fields if scan == "per_column" and modes[f.name] == "exact"]
+    together = [f for f in df.schema.fields if f.name not in alone]
+    position = {c: i for i, c in enumerate(df.columns)}
+    parts = []
+    if together:
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for f in together:
+            i, value = position[f.name], _value(f)
+            aggs.append(F.count(value).alias(f"_v{i}"))
+            aggs.append(_distinct(value, modes[f.name]).cast("bigint").alias(f"_d{i}"))
+        rows = [
+            F.struct(
+                F.lit(f.name).alias("column"), F.lit(position[f.name]).alias("position"), F.lit(f.dataType.simpleString()).alias("dtype"),
+                (F.col("_rows") - F.col(f"_v{position[f.name]}")).alias("null_count"),
+                F.col(f"_d{position[f.name]}").alias("cardinality"), F.col("_rows").alias("total_rows"),
+            )
+            for f in together
+        ]
+        parts.append(df.agg(*aggs).select(F.inline(F.array(*rows))))
+    for name in alone:
+        f = df.schema[name]
+        counted = df.select(_value(f).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(
+            counted.agg(
+                F.lit(name).alias("column"), F.lit(position[name]).alias("position"), F.lit(f.dataType.simpleString()).alias("dtype"),
+                F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("null_count"),
+                F.count("v").alias("cardinality"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_rows"),
+            )
         )
-        for i, f in enumerate(df.schema.fields)
-    ]
-    return stats.select(F.inline(F.array(*rows)))
+    stats = reduce(lambda a, b: a.unionByName(b), parts)
+    return stats.select(
+        "column", "position", "dtype", "null_count", percent(F.col("null_count"), F.col("total_rows")).alias("null_pct"), "cardinality", "total_rows"
+    )
 
 
 def duplicate_stats(df: DataFrame) -> DataFrame:
     """Rows, rows beyond the first of each identical group, and their share.
 
     Copies collapse on the map side, so a group holding much of the table
-    crosses the network as one row per task.
+    crosses the network as one row per task, and long text as its digest.
     """
-    copies = df.groupBy(*[F.col(q(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    copies = df.groupBy(*compact_row(df)).agg(F.count(F.lit(1)).alias("_copies"))
     totals = copies.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("total_rows"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_count"),
@@ -214,20 +240,25 @@ def column_roles(df: DataFrame, sample_rows: int | None = 50) -> DataFrame:
 
 def record_schema(df: DataFrame, *, distinct: str = "approx") -> DataFrame:
     """The toolbox form of a schema: column, dtype family, share of missing values, distinct values."""
+    # Present values are worked out once per row, before they are counted twice.
+    present = df.select(
+        *[
+            F.when(~is_missing(F.col(q(f.name)), f.dataType), compact(F.col(q(f.name)), f.dataType)).alias(f"_p{i}")
+            for i, f in enumerate(df.schema.fields)
+        ]
+    )
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(df.schema.fields):
-        col = F.col(q(f.name))
-        gone = is_missing(col, f.dataType)
-        aggs.append(F.count_if(gone).alias(f"_n{i}"))
-        aggs.append(_distinct(F.when(~gone, col), distinct).alias(f"_d{i}"))
+    for i in range(len(df.columns)):
+        aggs.append(F.count(f"_p{i}").alias(f"_v{i}"))
+        aggs.append(_distinct(F.col(f"_p{i}"), distinct).cast("bigint").alias(f"_d{i}"))
     rows = [
         F.struct(
             F.lit(f.name).alias("column"),
             F.lit(i).alias("position"),
             F.lit(family(f.dataType)).alias("dtype"),
-            F.coalesce(F.col(f"_n{i}") / F.nullif(F.col("_rows").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("null_rate"),
-            F.col(f"_d{i}").cast("bigint").alias("n_unique"),
+            ratio(F.col("_rows") - F.col(f"_v{i}"), F.col("_rows")).alias("null_rate"),
+            F.col(f"_d{i}").alias("n_unique"),
         )
         for i, f in enumerate(df.schema.fields)
     ]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return present.agg(*aggs).select(F.inline(F.array(*rows)))

@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.digest import compact_row
 from siltstone.functions.missing import is_null
 from siltstone.functions.numeric import percent, to_number
 from siltstone.operators.keys import q
@@ -59,7 +60,9 @@ def quality_checks(
     if distinct_rows:
         source, copies = df.withColumn("_copies", F.lit(1).cast("bigint")), F.lit(1).cast("bigint")
     else:
-        source = df.groupBy(*[F.col(q(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+        # Columns under a range rule keep their text, which is to be read as a number.
+        whole = [r.column for r in rules]
+        source = df.groupBy(*compact_row(df, whole)).agg(F.count(F.lit(1)).alias("_copies"))
         copies = F.col("_copies")
 
     def weigh(condition):

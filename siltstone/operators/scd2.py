@@ -6,29 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from siltstone.functions.digest import row_digest
 from siltstone.operators.keys import one_row_per_key, q, same_keys
 
 VERSION_COLUMNS = ("_valid_from", "_valid_to", "_is_current", "_change_hash", "_last_updated")
 
 
 def change_hash(df: DataFrame, tracked: Sequence[str]) -> Column:
-    """A digest of the tracked values in which their borders, order and nulls count.
-
-    Each value is written with its length before it, so ("ab", "c") and
-    ("a", "bc") differ, and so do null and empty text.
-    """
-    parts = []
-    for c in tracked:
-        data_type, col = df.schema[c].dataType, F.col(q(c))
-        simple = not isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
-        if isinstance(data_type, T.BinaryType):
-            text = F.hex(col)
-        else:
-            text = col.cast("string") if simple else F.to_json(F.struct(col), {"ignoreNullFields": "false"})
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
-    return F.sha2(F.concat(F.lit(""), *parts), 256)
+    """The digest by which a version is told from the next."""
+    return row_digest(df, tracked)
 
 
 def default_keys(columns: Sequence[str], keys: Sequence[str] = ()) -> tuple[list[str], list[str]]:

@@ -6,7 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from siltstone.functions.digest import compact
 from siltstone.functions.missing import is_missing
 from siltstone.functions.numeric import percent, ratio
 from siltstone.operators.keys import q
@@ -30,8 +32,19 @@ def _tier(value: Column, warn: float, fail: float) -> Column:
 
 
 def text_row(df: DataFrame) -> list[Column]:
-    """The row as the record toolbox sees it when it looks for copies: all text, null as `None`."""
-    return [F.coalesce(F.col(q(c)).cast("string"), F.lit("None")).alias(f"_t{i}") for i, c in enumerate(df.columns)]
+    """The row as the record toolbox compares it: by its text, in which null reads `None`.
+
+    Values of one type have equal text only if they are equal, so numbers and
+    dates are grouped as they are, which is narrower; long text by its digest.
+    """
+    return [
+        (
+            compact(F.coalesce(F.col(q(f.name)).cast("string"), F.lit("None")), T.StringType())
+            if isinstance(f.dataType, (T.StringType, T.MapType))
+            else F.col(q(f.name))
+        ).alias(f"_t{i}")
+        for i, f in enumerate(df.schema.fields)
+    ]
 
 
 def text_duplicates(df: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
 
     if mapping is None:
         exact = needs_cardinality(bronze.schema) if not config.null_override else []
-        profile = column_profile(bronze, distinct=config.profile_distinct, exact_for=exact)
+        profile = column_profile(bronze, distinct=config.profile_distinct, exact_for=exact, scan="per_column")
         mapping = build_mapping(
             bronze.schema,
             profile.collect(),

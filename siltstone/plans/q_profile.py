@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone.functions.missing import strip
+from siltstone.functions.missing import WHITE_SPACE, strip
 from siltstone.functions.numeric import to_number
 from siltstone.operators import silver as sv
 from siltstone.operators.clean import date_text_columns, flag_all_nulls, narrow_integers, parse_dates
@@ -46,7 +46,7 @@ def _profile(spark, sf_dir):
     profile_sql("documents", [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")]),
 )
 def _document_profile(spark, sf_dir):
-    return column_profile(table(spark, sf_dir, "documents"))
+    return column_profile(table(spark, sf_dir, "documents"), scan="per_column")
 
 
 @query(
@@ -153,7 +153,7 @@ def _newer_stats(spark, sf_dir):
     return watermark_stats(table(spark, sf_dir, "events"), "event_id", 999)
 
 
-@query("f05_strip_text", "SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM documents")
+@query("f05_strip_text", f"SELECT doc_id, trim(text, '{WHITE_SPACE}') AS text FROM documents")
 def _strip(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", strip(F.col("text")).alias("text"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from siltstone.functions.digest import compact_row
 from siltstone.functions.masks import mask, sha256_hex
 from siltstone.functions.numeric import percent
 from siltstone.operators import anomaly, contracts, evolution, keys, pii, suite
@@ -273,13 +274,13 @@ CARD = """SELECT CASE WHEN COUNT(*) = 0 THEN 100.0 ELSE round_even(COUNT(*) FILT
 @query("v04_scorecard", SILVER + CARD + f"({_with_status(checks_sql('silver', SILVER_COLUMNS))}) y")
 def _card(spark, sf_dir):
     silver = silver_sales(spark, sf_dir).df
-    return scorecard(quality_checks(silver, ranges=RANGES))
+    return scorecard(quality_checks(silver, ranges=RANGES, distinct_rows=True))
 
 
 @query("v04_silver_checks", SILVER + _with_status(checks_sql("silver", SILVER_COLUMNS)))
 def _silver_checks(spark, sf_dir):
     silver = silver_sales(spark, sf_dir).df
-    return quality_checks(silver, ranges=RANGES, distinct_rows=True)
+    return quality_checks(silver, ranges=RANGES)
 
 
 # Toolbox checks, over text that is partly blank.
@@ -556,6 +557,7 @@ def _drift_status(spark, sf_dir):
     "SELECT lang, COUNT(*) AS documents, round_even((COUNT(*) - COUNT(DISTINCT text)) * 100.0 / COUNT(*), 2)::DOUBLE AS duplicate_pct FROM documents GROUP BY lang",
 )
 def _share(spark, sf_dir):
-    copies = table(spark, sf_dir, "documents").groupBy("lang", "text").agg(F.count(F.lit(1)).alias("_copies"))
+    documents = table(spark, sf_dir, "documents").select("lang", "text")
+    copies = documents.groupBy(*compact_row(documents)).agg(F.count(F.lit(1)).alias("_copies"))
     totals = copies.groupBy("lang").agg(F.sum("_copies").alias("documents"), F.count(F.lit(1)).alias("_kept"))
     return totals.select("lang", "documents", percent(F.col("documents") - F.col("_kept"), F.col("documents")).alias("duplicate_pct"))

@@ -32,6 +32,7 @@ def local_session(cores: int | str = 8, name: str = "siltstone", **conf: str) ->
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="siltstone-wh-"))
     )
