@@ -42,16 +42,23 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     return grouped.select(*[picked_cols.get(c, F.col(q(c))) for c in df.columns])
 
 
+def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys under names of their own, so that a table can be matched against itself."""
+    return df.select(*[F.col(q(k)).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+
+
 def with_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys occur in `other`."""
-    known = other.select(*[F.col(q(k)) for k in keys]).distinct()
-    return df.join(known, same_keys(df, known, keys), "left_semi")
+    known = _keys_of(other, keys)
+    on = reduce(lambda a, b: a & b, [df[q(k)].eqNullSafe(known[f"_k{i}"]) for i, k in enumerate(keys)])
+    return df.join(known, on, "left_semi")
 
 
 def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys do not occur in `other`."""
-    known = other.select(*[F.col(q(k)) for k in keys]).distinct()
-    return df.join(known, same_keys(df, known, keys), "left_anti")
+    known = _keys_of(other, keys)
+    on = reduce(lambda a, b: a & b, [df[q(k)].eqNullSafe(known[f"_k{i}"]) for i, k in enumerate(keys)])
+    return df.join(known, on, "left_anti")
 
 
 def match_left(new: DataFrame, current: DataFrame, keys: Sequence[str], marker: str = "_match") -> DataFrame:

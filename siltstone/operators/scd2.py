@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.digest import row_digest
-from siltstone.operators.keys import one_row_per_key, q, same_keys
+from siltstone.operators.keys import one_row_per_key, q, same_keys, with_keys, without_keys
 
 VERSION_COLUMNS = ("_valid_from", "_valid_to", "_is_current", "_change_hash", "_last_updated")
 
@@ -45,12 +45,24 @@ def first_load(batch: DataFrame, tracked: Sequence[str], as_of) -> DataFrame:
 
 
 def classify(
-    current: DataFrame, batch: DataFrame, keys: Sequence[str], tracked: Sequence[str], *, order_by: Sequence[str] = ()
+    current: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    *,
+    order_by: Sequence[str] = (),
+    snapshot: bool = False,
 ) -> DataFrame:
     """Current versions against a batch: `status`, the `old` version and the `new` row.
 
     Keys are compared null-safe and all together. A key only in gold has status
     `missing`. A batch must hold a key once, or name the columns that order it.
+
+    A batch of changes is much smaller than gold. It is looked up from the
+    current rows, which Spark does without moving them when the batch is small
+    enough to broadcast by `spark.sql.autoBroadcastJoinThreshold`; otherwise it
+    shuffles both. `snapshot=True` says that the batch is about as large as gold
+    and joins the two sides once.
     """
     types = {f.name: f.dataType for f in current.schema.fields}
     # Hashes compare text, so values must first have the types gold has.
@@ -59,11 +71,17 @@ def classify(
     )
     single = one_row_per_key(aligned, keys, order_by)
     single = single.withColumn("_change_hash", change_hash(single, tracked))
-    # Both sides hold one row per key, so no key can be hot in this join.
+    # Both sides hold one row per key, so no key can be hot in these joins.
     left = current.select(*[F.col(q(k)) for k in keys], F.struct(*[F.col(q(c)) for c in current.columns]).alias("old"))
     right = single.select(*[F.col(q(k)) for k in keys], F.struct(*[F.col(q(c)) for c in single.columns]).alias("new"))
-    joined = left.join(right, same_keys(left, right, keys), "full_outer").select("old", "new")
-    return joined.withColumn(
+    if snapshot:
+        pairs = left.join(right, same_keys(left, right, keys), "full_outer").select("old", "new")
+    else:
+        looked_up = left.join(right, same_keys(left, right, keys), "left").select("old", "new")
+        known = with_keys(current.select(*[F.col(q(k)) for k in keys]), single, keys)
+        fresh = without_keys(right, known, keys).select(F.lit(None).cast(left.schema["old"].dataType).alias("old"), "new")
+        pairs = looked_up.unionByName(fresh)
+    return pairs.withColumn(
         "status",
         F.when(F.col("old").isNull(), F.lit("new"))
         .when(F.col("new").isNull(), F.lit("missing"))
@@ -109,8 +127,12 @@ def scd2_merge(
     *,
     order_by: Sequence[str] = (),
     expire_missing: bool = False,
+    snapshot: bool = False,
 ) -> DataFrame:
-    """Gold after a batch. History is carried over without a shuffle; current rows meet the batch once."""
+    """Gold after a batch. History is carried over without a shuffle, current rows as `classify` says.
+
+    `expire_missing` takes the batch for a full snapshot: a key it lacks ends.
+    """
     if gold is None:
         return first_load(one_row_per_key(batch, keys, order_by), tracked, as_of)
     # Columns the batch brings for the first time are empty in old versions.
@@ -118,7 +140,9 @@ def scd2_merge(
     if fresh:
         gold = gold.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fresh])
     history = gold.filter(~F.col("_is_current"))
-    classified = classify(gold.filter("_is_current"), batch, keys, tracked, order_by=order_by)
+    classified = classify(
+        gold.filter("_is_current"), batch, keys, tracked, order_by=order_by, snapshot=snapshot or expire_missing
+    )
     return history.unionByName(versions_after(classified, gold.columns, as_of, expire_missing=expire_missing))
 
 
@@ -135,9 +159,11 @@ def merge_stats(classified: DataFrame) -> DataFrame:
 
 
 def scd1_upsert(gold: DataFrame | None, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the batch's, or gold's where the batch has none."""
+    """One row per key: the batch's, or gold's where the batch has none.
+
+    Gold rows are not moved when the batch is small enough to broadcast.
+    """
     latest = one_row_per_key(batch, keys, order_by)
     if gold is None:
         return latest
-    sides = gold.withColumn("_side", F.lit(0)).unionByName(latest.withColumn("_side", F.lit(1)), allowMissingColumns=True)
-    return one_row_per_key(sides, keys, ["_side"]).drop("_side")
+    return without_keys(gold, latest, keys).unionByName(latest, allowMissingColumns=True)

@@ -66,6 +66,7 @@ class RunResult:
     checks: DataFrame
     card: Mapping
     log: DataFrame
+    profile: DataFrame | None
     mapping: list[MappingRow]
     note: str
 
@@ -87,9 +88,12 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     writers.write_bronze(source, bronze_path, day)
     bronze = writers.read_bronze(spark, bronze_path, [day] if day else None)
 
+    profile = None
     if mapping is None:
         exact = needs_cardinality(bronze.schema) if not config.null_override else []
-        profile = column_profile(bronze, distinct=config.profile_distinct, exact_for=exact, scan="per_column")
+        found = column_profile(bronze, distinct=config.profile_distinct, exact_for=exact, scan="per_column")
+        writers.append_records(found, f"{config.root}/profile", config.run_id)
+        profile = spark.read.parquet(f"{config.root}/profile").filter(f"run_id = '{config.run_id}'").drop("run_id")
         mapping = build_mapping(
             bronze.schema,
             profile.collect(),
@@ -122,7 +126,7 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
         writers.write_table(silver, config.silver_table, mode=config.table_mode)
     if config.gold_table:
         writers.write_table(gold, config.gold_table, mode=config.table_mode)
-    return RunResult(bronze, silver, gold, checks, card, log, mapping, note)
+    return RunResult(bronze, silver, gold, checks, card, log, profile, mapping, note)
 
 
 def _gold(spark: SparkSession, silver: DataFrame, config: RunConfig, incremental: bool) -> tuple[DataFrame, str]:
@@ -154,7 +158,7 @@ def apply_batch(
     if current is None:
         rows = first_load(one_row_per_key(batch, keys, order_by), tracked, as_of)
     else:
-        classified = classify(current, batch, keys, tracked, order_by=order_by)
+        classified = classify(current, batch, keys, tracked, order_by=order_by, snapshot=expire_missing)
         rows = versions_after(classified, current.columns, as_of, expire_missing=expire_missing)
     table.add(rows, label)
     return True

@@ -39,6 +39,21 @@ def test_merge_cases_with_composite_and_null_keys(spark):
     assert merged.filter("_valid_to <= _valid_from").count() == 0
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_changes_and_snapshots_are_classified_alike(spark, threshold):
+    gold = scd2.first_load(orders(spark, (1, 1, "a"), (1, 2, "b"), (None, 1, None), (4, None, "d")), ["v"], T1)
+    batch = orders(spark, (1, 1, "a"), (1, 2, "B"), (None, 1, None), (4, None, "D"), (5, 5, "e"), (None, None, "f"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = [
+            sorted(map(str, scd2.classify(gold, batch, ["k", "r"], ["v"], snapshot=s).select("status", "old", "new").collect()))
+            for s in (False, True)
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found[0] == found[1] and len(found[0]) == 6
+
+
 def test_replay_changes_nothing(spark):
     gold = scd2.scd2_merge(None, orders(spark, (1, 1, "a"), (2, 1, None)), ["k", "r"], ["v"], T1)
     batch = orders(spark, (1, 1, "x"), (2, 1, None))

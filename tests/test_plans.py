@@ -5,14 +5,13 @@ import io
 import os
 
 import pytest
-from pyspark.sql import functions as F
-
 from siltstone.operators import anomaly, cdc, scd2
 from siltstone.operators.incremental import date_window
 from siltstone.operators.profile import column_profile, duplicate_stats
 from siltstone.operators.quality import quality_checks
 from siltstone.operators.silver import drop_copies
 from siltstone.plans.inputs import snapshots, table
+from siltstone.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="no test tables here")
@@ -66,13 +65,25 @@ def test_history_merge_is_an_equi_join(spark):
     gold = scd2.first_load(old, ["o_totalprice"], "2024-01-01")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(scd2.classify(gold, new, ["o_orderkey"], ["o_totalprice"]))
+        text = plan(scd2.classify(gold, new, ["o_orderkey"], ["o_totalprice"], snapshot=True))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "NestedLoop" not in text
 
 
+def test_a_small_batch_does_not_move_gold(spark):
+    """Only the batch and its few matches are shuffled or broadcast."""
+    old, new = snapshots(spark, SF)
+    gold = scd2.first_load(old, ["o_totalprice"], "2024-01-01")
+    path = shared_dir(spark, "gold")
+    gold.write.parquet(path)
+    gold = spark.read.parquet(path)
+    for built in (scd2.classify(gold, new, ["o_orderkey"], ["o_totalprice"]), scd2.scd1_upsert(gold, new, ["o_orderkey"])):
+        tree = plan(built).split("\n\n\n")[0]
+        assert "BroadcastHashJoin LeftOuter" in tree or "BroadcastHashJoin LeftAnti" in tree
+        assert "SortMergeJoin" not in tree and "NestedLoop" not in tree
+
+
 def test_modes_collapse_before_the_shuffle(spark):
     text = plan(anomaly.modes(anomaly.value_counts(table(spark, SF, "orders"), ["o_orderstatus"])))
     assert "Window" not in text
-    assert F is not None
