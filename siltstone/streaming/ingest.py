@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siltstone.operators.keys import without_keys
 from siltstone.operators.mapping import MappingRow
 from siltstone.operators.silver import build_silver
 from siltstone.plans.layered import apply_batch
@@ -56,6 +57,11 @@ def stream_distinct(stream: DataFrame, event_time: str, keys: Sequence[str], del
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them and were dropped, over the kept progress reports."""
+    return sum(op["numRowsDroppedByWatermark"] for report in query.recentProgress for op in report["stateOperators"])
+
+
 def stream_history(
     stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], as_of, *,
     order_by: Sequence[str] = (), trigger: str = "10 minutes",
@@ -76,6 +82,4 @@ def stream_history(
 
 def serve(batch_view: DataFrame, speed_view: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch and speed layer as one table; where both know a key, the speed layer's row counts."""
-    from siltstone.operators.keys import without_keys
-
     return without_keys(batch_view, speed_view, keys).unionByName(speed_view, allowMissingColumns=True)

@@ -245,6 +245,15 @@ def test_incremental_runs_build_history(spark):
     assert empty.silver.count() == 0 and empty.gold.count() == 4
 
 
+def test_run_profiles_what_it_wrote(spark):
+    root = shared_dir(spark, "run")
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a")] * 10, "order_id bigint, note string")
+    done = run(spark, df, RunConfig(root=root, on_fail="warn", timestamp=None, order_by=("note",)))
+    found = {r["column"]: (r["null_count"], r["cardinality"], r["total_rows"]) for r in done.profile.collect()}
+    assert found == {"order_id": (0, 3, 30), "note": (10, 1, 30)}
+    assert done.silver.count() == 3 and done.note.startswith("No aggregation")
+
+
 def test_block_stops_before_gold(spark):
     root = shared_dir(spark, "run")
     df = spark.createDataFrame([(1, None), (2, "x")], "id bigint, note string")

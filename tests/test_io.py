@@ -151,6 +151,23 @@ def test_late_copies_within_the_delay(spark):
     assert sorted(r["id"] for r in spark.read.parquet(f"{out}/d").collect()) == [1, 2]
 
 
+def test_rows_behind_the_watermark_are_dropped_and_counted(spark):
+    path, out = shared_dir(spark, "in"), shared_dir(spark, "out")
+
+    def arrive(*rows):
+        df = spark.createDataFrame(list(rows), "id int, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("append").parquet(path)
+        stream = streams.file_stream(spark, path, "id int, ts timestamp_ntz")
+        query = streams.ingest(streams.stream_distinct(stream, "ts", ["id"]), f"{out}/d", f"{out}/c", trigger="available")
+        query.awaitTermination()
+        return streams.late_rows(query)
+
+    assert arrive((1, "2024-01-01 00:00:00"), (2, "2024-01-01 12:00:00")) == 0
+    # The watermark stands at 11:50: row 3 is late, the copy of row 2 is known, row 4 is new.
+    assert arrive((3, "2024-01-01 01:00:00"), (2, "2024-01-01 12:01:00"), (4, "2024-01-01 12:02:00")) == 1
+    assert sorted(r["id"] for r in spark.read.parquet(f"{out}/d").collect()) == [1, 2, 4]
+
+
 def test_no_local_checkpoint_or_python_udf_in_the_package():
     root = os.path.dirname(session.__file__)
     for folder, _, files in os.walk(root):
