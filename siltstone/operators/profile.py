@@ -208,11 +208,10 @@ def column_roles(df: DataFrame, sample_rows: int | None = 50) -> DataFrame:
     source = df.limit(sample_rows) if sample_rows is not None else df
     sample_aggs = []
     for i, f in enumerate(undecided):
+        # Numbers need no look at their text, which Spark may write as 1.0E7.
         text = F.trim(F.col(q(f.name)).cast("string"))
-        sample_aggs += [
-            F.count(text).alias(f"_v{i}"),
-            F.count_if(text.rlike(PLAIN_NUMBER)).alias(f"_m{i}"),
-        ]
+        plain = F.col(q(f.name)).isNotNull() if family(f.dataType) == "numeric" else text.rlike(PLAIN_NUMBER)
+        sample_aggs += [F.count(text).alias(f"_v{i}"), F.count_if(plain).alias(f"_m{i}")]
         aggs.append(approx_distinct(F.col(q(f.name))).alias(f"_d{i}"))
     if sample_rows is None:
         stats = df.agg(*aggs, *sample_aggs)

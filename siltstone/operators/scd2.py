@@ -118,6 +118,12 @@ def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expi
     return classified.select(F.inline(rows)).select(*[F.col(q(c)) for c in columns])
 
 
+def widened(gold: DataFrame, batch: DataFrame) -> DataFrame:
+    """Gold with the columns a batch brings for the first time; they are empty in old versions."""
+    fresh = [f for f in batch.schema.fields if f.name not in gold.columns]
+    return gold.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fresh]) if fresh else gold
+
+
 def scd2_merge(
     gold: DataFrame | None,
     batch: DataFrame,
@@ -135,10 +141,7 @@ def scd2_merge(
     """
     if gold is None:
         return first_load(one_row_per_key(batch, keys, order_by), tracked, as_of)
-    # Columns the batch brings for the first time are empty in old versions.
-    fresh = [f for f in batch.schema.fields if f.name not in gold.columns]
-    if fresh:
-        gold = gold.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fresh])
+    gold = widened(gold, batch)
     history = gold.filter(~F.col("_is_current"))
     classified = classify(
         gold.filter("_is_current"), batch, keys, tracked, order_by=order_by, snapshot=snapshot or expire_missing

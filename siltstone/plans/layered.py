@@ -16,7 +16,7 @@ from siltstone.operators.keys import one_row_per_key
 from siltstone.operators.mapping import MappingRow, build_mapping, needs_cardinality
 from siltstone.operators.profile import column_profile, timestamp_column
 from siltstone.operators.quality import gate, quality_checks, scorecard
-from siltstone.operators.scd2 import classify, default_keys, first_load, scd1_upsert, versions_after
+from siltstone.operators.scd2 import classify, default_keys, first_load, scd1_upsert, versions_after, widened
 from siltstone.operators.silver import build_silver
 from siltstone.plans.runlog import log_table, transform_log
 from siltstone.sources import writers
@@ -93,7 +93,7 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
         exact = needs_cardinality(bronze.schema) if not config.null_override else []
         found = column_profile(bronze, distinct=config.profile_distinct, exact_for=exact, scan="per_column")
         writers.append_records(found, f"{config.root}/profile", config.run_id)
-        profile = spark.read.parquet(f"{config.root}/profile").filter(f"run_id = '{config.run_id}'").drop("run_id")
+        profile = writers.read_records(spark, f"{config.root}/profile", config.run_id)
         mapping = build_mapping(
             bronze.schema,
             profile.collect(),
@@ -115,7 +115,7 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
         ranges=config.ranges, distinct_rows=True,
     )
     writers.append_records(checks, f"{config.root}/dq_checks", config.run_id)
-    checks = spark.read.parquet(f"{config.root}/dq_checks").filter(f"run_id = '{config.run_id}'").drop("run_id")
+    checks = writers.read_records(spark, f"{config.root}/dq_checks", config.run_id)
     card = scorecard(checks).first().asDict()
     log = log_table(spark, transform_log(built, silver.count()))
     writers.append_records(log, f"{config.root}/run_log", config.run_id)
@@ -158,6 +158,7 @@ def apply_batch(
     if current is None:
         rows = first_load(one_row_per_key(batch, keys, order_by), tracked, as_of)
     else:
+        current = widened(current, batch)
         classified = classify(current, batch, keys, tracked, order_by=order_by, snapshot=expire_missing)
         rows = versions_after(classified, current.columns, as_of, expire_missing=expire_missing)
     table.add(rows, label)

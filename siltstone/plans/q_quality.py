@@ -9,7 +9,7 @@ from siltstone.functions.masks import mask, sha256_hex
 from siltstone.functions.numeric import percent
 from siltstone.operators import anomaly, contracts, evolution, keys, pii, suite
 from siltstone.operators.gold import build_gold
-from siltstone.operators.profile import record_schema
+from siltstone.operators.profile import duplicate_stats, record_schema
 from siltstone.operators.quality import quality_checks, scorecard
 from siltstone.operators.silver import drop_copies, medians
 from siltstone.plans.inputs import DIRTY, DIRTY_COLUMNS, SNAPSHOTS, dirty_sales, snapshots, table
@@ -90,11 +90,9 @@ def _dedup(spark, sf_dir):
     """SELECT COUNT(*) AS rows_before, COUNT(DISTINCT text) AS rows_after, COUNT(*) - COUNT(DISTINCT text) AS removed FROM documents""",
 )
 def _removed(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select("text")
-    kept = drop_copies(texts).agg(F.count(F.lit(1)).alias("rows_after"))
-    return texts.agg(F.count(F.lit(1)).alias("rows_before")).select(
-        "rows_before", kept.scalar().alias("rows_after"), (F.col("rows_before") - kept.scalar()).alias("removed")
-    )
+    found = duplicate_stats(table(spark, sf_dir, "documents").select("text"))
+    total, copies = F.col("total_rows"), F.col("duplicate_count")
+    return found.select(total.alias("rows_before"), (total - copies).alias("rows_after"), copies.alias("removed"))
 
 
 @query(

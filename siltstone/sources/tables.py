@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.functions.digest import quoted
+
 
 def read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
     """The table, or nothing where its path does not exist; other errors are raised."""
@@ -20,15 +23,15 @@ def read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-VERSIONS_SCHEMA = "version bigint, label string"
+VERSIONS_SCHEMA = "version bigint, label string, schema string"
 
 
 class VersionedTable:
     """A parquet table replaced as a whole while it is being read.
 
-    Each write goes to a new folder; a line in `_versions` makes it the current
-    one. A write that fails leaves the table as it was, and repeating a write
-    with a label that is already there does nothing.
+    Each write goes to a new folder; a line in `_versions`, which also keeps the
+    schema, makes it the current one. A write that fails leaves the table as it
+    was. One writer at a time; folders of old versions are left to the owner.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -39,9 +42,13 @@ class VersionedTable:
             lambda: self.spark.read.schema(VERSIONS_SCHEMA).option("mode", "FAILFAST").json(f"{self.root}/_versions")
         )
 
-    def latest(self) -> int | None:
+    def _latest(self) -> Row | None:
         table = self.versions()
-        return None if table is None else table.agg(F.max("version")).first()[0]
+        return None if table is None else table.agg(F.max(F.struct("version", "label", "schema")).alias("v")).first()["v"]
+
+    def latest(self) -> int | None:
+        line = self._latest()
+        return None if line is None else line["version"]
 
     def has(self, label: str) -> bool:
         table = self.versions()
@@ -51,59 +58,60 @@ class VersionedTable:
         return f"{self.root}/version={version}"
 
     def read(self) -> DataFrame | None:
-        version = self.latest()
-        return None if version is None else self.spark.read.parquet(self.path(version))
+        line = self._latest()
+        if line is None:
+            return None
+        return self.spark.read.schema(_schema(line)).parquet(self.path(line["version"]))
 
-    def publish(self, version: int, label: str) -> None:
-        line = self.spark.createDataFrame([(version, label)], VERSIONS_SCHEMA)
+    def publish(self, version: int, label: str, schema: T.StructType) -> None:
+        line = self.spark.createDataFrame([(version, label, schema.json())], VERSIONS_SCHEMA)
         line.coalesce(1).write.mode("append").json(f"{self.root}/_versions")
 
     def replace(self, df: DataFrame, label: str) -> int:
         version = (self.latest() or 0) + 1
         df.write.mode("overwrite").parquet(self.path(version))
-        self.publish(version, label)
+        self.publish(version, label, df.schema)
         return version
 
 
+def _schema(line: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(line["schema"]))
+
+
 class HistoryTable(VersionedTable):
     """An SCD type 2 table whose batches rewrite current rows only.
 
     One job writes a batch, split by `_is_current`: the current rows after it,
     and the versions it expired. History is the expired part of every published
-    batch, so it is never read or written again.
+    batch, so it is never written again, and never read for a merge.
     """
 
-    def _data(self) -> DataFrame | None:
-        latest = self.latest()
-        if latest is None:
+    def read(self) -> DataFrame | None:
+        line = self._latest()
+        if line is None:
             return None
-        # Spark reads true/false folder names as text unless told otherwise.
-        found = self.spark.read.parquet(self.path(latest)).schema
-        schema = T.StructType(
-            [T.StructField(f.name, T.BooleanType() if f.name == "_is_current" else f.dataType) for f in found.fields]
-            + [T.StructField("version", T.LongType())]
-        )
-        return (
-            self.spark.read.schema(schema)
+        schema, latest = _schema(line), line["version"]
+        files = (
+            self.spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType())]))
             .option("basePath", self.root)
             .parquet(f"{self.root}/version=*")
-            .filter(
-                ((F.col("version") == latest) & F.col("_is_current"))
-                | ((F.col("version") <= latest) & ~F.col("_is_current"))
-            )
-            .drop("version")
         )
-
-    def read(self) -> DataFrame | None:
-        return self._data()
+        return files.filter(
+            ((F.col("version") == latest) & F.col("_is_current"))
+            | ((F.col("version") <= latest) & ~F.col("_is_current"))
+        ).select(*[F.col(quoted(c)) for c in schema.names])
 
     def current(self) -> DataFrame | None:
-        data = self._data()
-        return None if data is None else data.filter("_is_current")
+        """The current rows, from the latest version's folder alone."""
+        line = self._latest()
+        if line is None:
+            return None
+        rows = self.spark.read.schema(_schema(line)).parquet(self.path(line["version"]))
+        return rows.filter("_is_current").select(*[F.col(quoted(c)) for c in _schema(line).names])
 
     def add(self, rows: DataFrame, label: str) -> int:
         """Publish the current rows after a batch together with those it expired."""
         version = (self.latest() or 0) + 1
         rows.write.mode("overwrite").partitionBy("_is_current").parquet(self.path(version))
-        self.publish(version, label)
+        self.publish(version, label, rows.schema)
         return version

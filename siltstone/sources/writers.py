@@ -57,3 +57,8 @@ def append_records(df: DataFrame, path: str, run_id: str) -> None:
     """Check or log rows of one run; a rerun with the same id replaces its own rows."""
     marked = df.withColumn("run_id", F.lit(run_id))
     marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def read_records(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """One run's rows, without listing the folders of all the others."""
+    return spark.read.parquet(f"{path}/run_id={run_id}")

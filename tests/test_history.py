@@ -124,6 +124,20 @@ def test_history_table_counts_a_label_once_and_ignores_unpublished_writes(spark)
     assert table.current().count() == 2
 
 
+def test_history_table_starts_empty_and_takes_new_columns(spark):
+    table = HistoryTable(spark, shared_dir(spark, "gold"))
+    apply_batch(table, spark.createDataFrame([], "k int, r int, v string"), ["k", "r"], T1, label="none")
+    assert table.read().count() == 0 and table.current().count() == 0
+    apply_batch(table, orders(spark, (1, 1, "a"), (2, 2, "b")), ["k", "r"], T1, label="one")
+    wider = spark.createDataFrame([(1, 1, "a", "w")], "k int, r int, v string, w string")
+    apply_batch(table, wider, ["k", "r"], T2, label="two")
+    got = sorted(((r["k"], r["w"], r["_is_current"]) for r in table.read().collect()), key=repr)
+    assert got == [(1, "w", True), (1, None, False), (2, None, True)]
+    narrower = spark.createDataFrame([(2, 2)], "k int, r int")
+    apply_batch(table, narrower, ["k", "r"], T3, label="three")
+    assert table.current().filter("k = 2").first()["v"] is None
+
+
 def test_versioned_table_can_be_replaced_from_itself(spark):
     table = VersionedTable(spark, shared_dir(spark, "v"))
     table.replace(spark.range(5), "a")

@@ -13,7 +13,7 @@ from siltstone.operators import silver as sv
 from siltstone.operators.mapping import build_mapping
 from siltstone.operators.order_stats import order_statistics
 from siltstone.operators.ordered_fill import ordered_fill
-from siltstone.operators.profile import column_profile, duplicate_stats, timestamp_column, top_null_columns
+from siltstone.operators.profile import column_profile, column_roles, duplicate_stats, timestamp_column, top_null_columns
 from siltstone.plans.runlog import transform_log
 
 
@@ -70,6 +70,21 @@ def test_timestamp_column_passes(spark):
     assert timestamp_column(spark.createDataFrame([("abc",)], "a string")) is None
 
 
+def test_roles_of_numbers_and_text(spark):
+    df = spark.createDataFrame([(1, 2.5e8, "7", "x", "2024")], "order_id int, big double, figure string, word string, ts string")
+    for sample in (50, None):
+        got = {r["column"]: r["role"] for r in column_roles(df, sample).collect()}
+        assert got == {"order_id": "id", "big": "numeric_metric", "figure": "numeric_metric", "word": "categorical", "ts": "timestamp"}
+
+
+def test_long_text_counts_by_digest(spark):
+    long = "x" * 63
+    df = spark.createDataFrame([(long + "a",), (long + "b",), (long + "a",), (long,), (None,), (None,)], "t string")
+    assert tuple(duplicate_stats(df).first()) == (6, 2, 33.33)
+    for scan in ("once", "per_column"):
+        assert [(r["null_count"], r["cardinality"]) for r in column_profile(df, scan=scan).collect()] == [(2, 3)]
+
+
 def test_strategies_by_hand(spark):
     df = spark.createDataFrame(
         [(1, None, "a", None, 1.0), (2, "x", None, 5.0, None), (3, "y", "b", 7.0, 3.0)],
