@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.missing import is_missing
-from siltstone.operators.keys import one_row_per_key, q
+from siltstone.operators.keys import KEY, one_row_per_key, q
 
 OPS = ("insert", "update", "delete", "unchanged")
 
@@ -25,13 +25,13 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, *, order_by: Sequenc
     def side(df: DataFrame, name: str) -> DataFrame:
         keyed = df.filter(~is_missing(F.col(q(key)), df.schema[key].dataType))
         other = new if df is old else old
-        single = one_row_per_key(keyed, [key], order_by)
+        single = one_row_per_key(keyed, [key], order_by, keep_key=True)
         fields = [
             (F.col(q(c)) if c in df.columns else F.lit(None).cast(other.schema[c].dataType)).alias(c) for c in columns
         ]
-        return single.select(F.col(q(key)).alias(f"_{name}_key"), F.struct(*fields).alias(name))
+        return single.select(KEY, F.col(q(key)).alias(f"_{name}_key"), F.struct(*fields).alias(name))
 
-    pairs = side(old, "before").join(side(new, "after"), F.col("_before_key") == F.col("_after_key"), "full_outer")
+    pairs = side(old, "before").join(side(new, "after"), KEY, "full_outer")
     changed = F.filter(
         F.array(
             *[

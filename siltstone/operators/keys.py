@@ -1,26 +1,34 @@
-"""Key joins: null-safe matching and one row per key."""
+"""Key joins: null-safe matching and one row per key.
+
+Keys are matched as one struct. Structs are equal where all their fields are,
+null to null, and grouping and joining by the same column share one exchange,
+which `<=>` on the single columns would not.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.digest import quoted as q
 
+KEY = "__key"
+
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """All keys equal, null equal to null. Spark still plans this as an equi-join."""
-    return reduce(lambda a, b: a & b, [left[q(k)].eqNullSafe(right[q(k)]) for k in keys])
+def key_of(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(q(k)).alias(f"k{i}") for i, k in enumerate(keys)]).alias(KEY)
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def one_row_per_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), *, keep_key: bool = False
+) -> DataFrame:
     """The last row of every key by `order_by`; without it a repeated key raises.
 
     Written as an aggregate, not a window: copies of a hot key collapse on the
-    map side, and a join on the same keys reuses the exchange.
+    map side. `keep_key` adds the key struct, on which a join needs no further
+    exchange.
     """
     rest = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(q(c)) for c in rest]) if rest else F.lit(None)
@@ -30,50 +38,39 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
         picked = F.max_by(row, rank)
     else:
         picked = F.any_value(row)
-    grouped = df.groupBy(*[F.col(q(k)) for k in keys]).agg(
-        picked.alias("_row"), F.count(F.lit(1)).alias("_copies")
-    )
+    grouped = df.groupBy(key_of(keys)).agg(picked.alias("_row"), F.count(F.lit(1)).alias("_copies"))
     if not order_by:
-        problem = F.raise_error(F.concat(F.lit("repeated key, name an order column: "), F.to_json(F.struct(*[F.col(q(k)) for k in keys]))))
-        grouped = grouped.withColumn(
-            "_row", F.when(F.col("_copies") > 1, problem).otherwise(F.col("_row"))
-        )
-    picked_cols = {c: F.col(f"_row.{q(c)}").alias(c) for c in rest}
-    return grouped.select(*[picked_cols.get(c, F.col(q(c))) for c in df.columns])
-
-
-def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The distinct keys under names of their own, so that a table can be matched against itself."""
-    return df.select(*[F.col(q(k)).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+        problem = F.raise_error(F.concat(F.lit("repeated key, name an order column: "), F.to_json(KEY)))
+        grouped = grouped.withColumn("_row", F.when(F.col("_copies") > 1, problem).otherwise(F.col("_row")))
+    place = {k: F.col(f"{KEY}.k{i}").alias(k) for i, k in enumerate(keys)}
+    columns = [place[c] if c in place else F.col(f"_row.{q(c)}").alias(c) for c in df.columns]
+    return grouped.select(*([KEY] if keep_key else []), *columns)
 
 
 def with_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys occur in `other`."""
-    known = _keys_of(other, keys)
-    on = reduce(lambda a, b: a & b, [df[q(k)].eqNullSafe(known[f"_k{i}"]) for i, k in enumerate(keys)])
-    return df.join(known, on, "left_semi")
+    return df.select(key_of(keys), "*").join(other.select(key_of(keys)).distinct(), KEY, "left_semi").drop(KEY)
 
 
 def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys do not occur in `other`."""
-    known = _keys_of(other, keys)
-    on = reduce(lambda a, b: a & b, [df[q(k)].eqNullSafe(known[f"_k{i}"]) for i, k in enumerate(keys)])
-    return df.join(known, on, "left_anti")
+    return df.select(key_of(keys), "*").join(other.select(key_of(keys)).distinct(), KEY, "left_anti").drop(KEY)
 
 
 def match_left(new: DataFrame, current: DataFrame, keys: Sequence[str], marker: str = "_match") -> DataFrame:
     """Left join with suffixes `_new` / `_old` on shared columns and a `both` / `left_only` marker."""
     shared = [c for c in new.columns if c in current.columns and c not in keys]
-    left = new.select(*[F.col(q(c)).alias(c + "_new" if c in shared else c) for c in new.columns])
+    left = new.select(key_of(keys), *[F.col(q(c)).alias(c + "_new" if c in shared else c) for c in new.columns])
     right = current.select(
-        *[F.col(q(c)).alias(c + "_old" if c in shared else ("_key_" + c if c in keys else c)) for c in current.columns],
+        key_of(keys),
+        *[F.col(q(c)).alias(c + "_old" if c in shared else c) for c in current.columns if c not in keys],
         F.lit(True).alias("_hit"),
     )
-    on = reduce(lambda a, b: a & b, [left[q(k)].eqNullSafe(right[q("_key_" + k)]) for k in keys])
-    joined = left.join(right, on, "left")
-    return joined.withColumn(
-        marker, F.when(F.col("_hit"), F.lit("both")).otherwise(F.lit("left_only"))
-    ).drop("_hit", *["_key_" + k for k in keys])
+    return (
+        left.join(right, KEY, "left")
+        .withColumn(marker, F.when(F.col("_hit"), F.lit("both")).otherwise(F.lit("left_only")))
+        .drop("_hit", KEY)
+    )
 
 
 def key_sets(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.digest import row_digest
-from siltstone.operators.keys import one_row_per_key, q, same_keys, with_keys, without_keys
+from siltstone.operators.keys import KEY, key_of, one_row_per_key, q, with_keys, without_keys
 
 VERSION_COLUMNS = ("_valid_from", "_valid_to", "_is_current", "_change_hash", "_last_updated")
 
@@ -69,18 +69,18 @@ def classify(
     aligned = batch.select(
         *[F.col(q(c)).cast(types[c]).alias(c) if c in types else F.col(q(c)) for c in batch.columns]
     )
-    single = one_row_per_key(aligned, keys, order_by)
+    single = one_row_per_key(aligned, keys, order_by, keep_key=True)
     single = single.withColumn("_change_hash", change_hash(single, tracked))
     # Both sides hold one row per key, so no key can be hot in these joins.
-    left = current.select(*[F.col(q(k)) for k in keys], F.struct(*[F.col(q(c)) for c in current.columns]).alias("old"))
-    right = single.select(*[F.col(q(k)) for k in keys], F.struct(*[F.col(q(c)) for c in single.columns]).alias("new"))
+    left = current.select(key_of(keys), F.struct(*[F.col(q(c)) for c in current.columns]).alias("old"))
+    right = single.select(KEY, F.struct(*[F.col(q(c)) for c in single.columns if c != KEY]).alias("new"))
     if snapshot:
-        pairs = left.join(right, same_keys(left, right, keys), "full_outer").select("old", "new")
+        pairs = left.join(right, KEY, "full_outer").select("old", "new")
     else:
-        looked_up = left.join(right, same_keys(left, right, keys), "left").select("old", "new")
-        known = with_keys(current.select(*[F.col(q(k)) for k in keys]), single, keys)
-        fresh = without_keys(right, known, keys).select(F.lit(None).cast(left.schema["old"].dataType).alias("old"), "new")
-        pairs = looked_up.unionByName(fresh)
+        looked_up = left.join(right, KEY, "left").select("old", "new")
+        known = with_keys(current.select(*[F.col(q(k)) for k in keys]), aligned, keys)
+        fresh = right.join(known.select(key_of(keys)).distinct(), KEY, "left_anti")
+        pairs = looked_up.unionByName(fresh.select(F.lit(None).cast(left.schema["old"].dataType).alias("old"), "new"))
     return pairs.withColumn(
         "status",
         F.when(F.col("old").isNull(), F.lit("new"))

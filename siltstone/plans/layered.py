@@ -8,10 +8,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltstone.functions.digest import quoted
 from siltstone.functions.names import pii_columns
 from siltstone.operators.gold import build_gold, split_columns
-from siltstone.operators.incremental import date_window
+from siltstone.operators.incremental import date_window, load_watermark, newer_than, save_watermark
 from siltstone.operators.keys import one_row_per_key
 from siltstone.operators.mapping import MappingRow, build_mapping, needs_cardinality
 from siltstone.operators.profile import column_profile, timestamp_column
@@ -32,6 +34,8 @@ class RunConfig:
     timestamp: str | None = None
     window_start: str | None = None
     window_end: str | None = None
+    watermark: str | None = None
+    watermark_keep_null: bool = True
     null_override: str | Mapping[str, str] = ""
     order_by: tuple[str, ...] = ()
     pii_match: str = "substring"
@@ -79,14 +83,15 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     tables: a rerun task cannot count twice. A saved mapping may be passed in
     so that later loads keep the first one's decisions.
     """
-    incremental = config.window_start is not None or config.window_end is not None
+    windowed = config.window_start is not None or config.window_end is not None
+    incremental = windowed or config.watermark is not None
     stamp = config.timestamp or timestamp_column(source)
-    if incremental:
+    marks = f"{config.root}/watermark"
+    if windowed:
         source = date_window(source, stamp, config.window_start, config.window_end)
-    day = (config.window_end or config.window_start)[:10] if incremental else None
-    bronze_path = f"{config.root}/bronze" + ("" if day else "_full")
-    writers.write_bronze(source, bronze_path, day)
-    bronze = writers.read_bronze(spark, bronze_path, [day] if day else None)
+    last = load_watermark(spark, marks).watermark if config.watermark else None
+    source = newer_than(source, config.watermark, last, keep_null=config.watermark_keep_null)
+    bronze = _bronze(spark, source, config, windowed)
 
     profile = None
     if mapping is None:
@@ -126,9 +131,30 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
         writers.write_table(silver, config.silver_table, mode=config.table_mode)
     if config.gold_table:
         writers.write_table(gold, config.gold_table, mode=config.table_mode)
+    if config.watermark:
+        # Only now that everything is written; a failed run is repeated from the old mark.
+        newest = bronze.agg(F.max(quoted(config.watermark)).cast("string")).first()[0]
+        if newest is not None:
+            save_watermark(spark, marks, newest, bronze.schema[config.watermark].dataType.simpleString())
     return RunResult(bronze, silver, gold, checks, card, log, profile, mapping, note)
 
 
+def _bronze(spark: SparkSession, source: DataFrame, config: RunConfig, windowed: bool) -> DataFrame:
+    """The raw copy: one partition per window end or per run past a watermark, else the whole table."""
+    if windowed:
+        day = (config.window_end or config.window_start)[:10]
+        path = f"{config.root}/bronze"
+        writers.write_bronze(source, path, day)
+        return writers.read_bronze(spark, path, [day])
+    if config.watermark:
+        path = f"{config.root}/bronze_runs"
+        writers.write_layer(source, f"{path}/run_id={config.run_id}")
+        return spark.read.parquet(f"{path}/run_id={config.run_id}")
+    path = f"{config.root}/bronze_full"
+    writers.write_bronze(source, path)
+    return writers.read_bronze(spark, path)
+
+
 def _gold(spark: SparkSession, silver: DataFrame, config: RunConfig, incremental: bool) -> tuple[DataFrame, str]:
     as_of = config.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     path = f"{config.root}/gold_{config.gold_mode}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,14 @@ BRONZE_PARTITION = "ingest_date"
 
 
 def write_bronze(df: DataFrame, path: str, ingest_date: str | None = None) -> None:
-    """A raw copy. With a date only that date's partition is replaced, so a rerun adds nothing twice."""
-    if ingest_date is None:
-        df.write.mode("overwrite").parquet(path)
-        return
-    dated = df.withColumn(BRONZE_PARTITION, F.lit(ingest_date).cast("date"))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BRONZE_PARTITION).parquet(path)
+    """A raw copy. With a date only that date's partition is replaced, so a rerun adds nothing twice.
+
+    The partition's folder is written as such: a rerun without rows then leaves
+    an empty partition, where a dynamic overwrite would leave the old rows.
+    """
+    if ingest_date is not None:
+        path = f"{path}/{BRONZE_PARTITION}={dt.date.fromisoformat(ingest_date)}"
+    df.write.mode("overwrite").parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DataFrame:

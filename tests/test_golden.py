@@ -68,5 +68,23 @@ def test_log(golden):
     assert found == recorded
 
 
+def test_ten_new_rows_are_appended(spark):
+    """105 rows loaded, ten more arrive, only those are processed, 115 are in the target."""
+    first = read_csv(spark, f"{DATA}/bronze_raw.csv", BRONZE)
+    later = first.orderBy("transaction_id").limit(10).withColumn("transaction_id", F.col("transaction_id") + 1000)
+    later = later.withColumn("created_at", F.lit("2030-01-01 00:00:00")).fillna("x")
+    root = shared_dir(spark, "golden")
+    name = "target" + root.rsplit("-", 1)[-1]
+    settings = dict(
+        root=root, watermark="created_at", null_override="flag", on_fail="warn", fixed_schema=True, gold_table=name, table_mode="append"
+    )
+    one = run(spark, first, RunConfig(run_id="one", **settings))
+    two = run(spark, first.unionByName(later), RunConfig(run_id="two", **settings), one.mapping)
+    assert (one.silver.count(), two.bronze.count(), two.silver.count()) == (105, 10, 10)
+    assert spark.table(name).count() == 115
+    none = run(spark, first.unionByName(later), RunConfig(run_id="three", **settings), one.mapping)
+    assert none.bronze.count() == 0 and spark.table(name).count() == 115
+
+
 def test_masked_values_equal_recorded(spark, golden):
     assert golden.silver.filter(F.length("customer_email") != 64).count() == 0

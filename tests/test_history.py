@@ -259,6 +259,17 @@ def test_incremental_runs_build_history(spark):
     assert empty.silver.count() == 0 and empty.gold.count() == 4
 
 
+def test_an_empty_first_window_and_a_rerun_without_rows(spark):
+    root = shared_dir(spark, "run")
+    day = dict(root=root, timestamp="at", window_start="2024-01-01", window_end="2024-01-02", null_override="flag", keys=("id",), gold_mode="scd2")
+    none = run(spark, sales(spark, (1, 5.0, "2025-01-01T05:00:00")), RunConfig(run_id="a", **day))
+    assert (none.bronze.count(), none.gold.count(), none.card["dq_status"]) == (0, 0, "PASS")
+    some = run(spark, sales(spark, (1, 5.0, "2024-01-01T05:00:00")), RunConfig(run_id="b", **day))
+    assert (some.bronze.count(), some.gold.count()) == (1, 1)
+    again = run(spark, sales(spark, (1, 5.0, "2025-01-01T05:00:00")), RunConfig(run_id="c", **day))
+    assert (again.bronze.count(), again.gold.count()) == (0, 1)
+
+
 def test_run_profiles_what_it_wrote(spark):
     root = shared_dir(spark, "run")
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "a")] * 10, "order_id bigint, note string")

@@ -68,7 +68,9 @@ def test_history_merge_is_an_equi_join(spark):
         text = plan(scd2.classify(gold, new, ["o_orderkey"], ["o_totalprice"], snapshot=True))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in text and "NestedLoop" not in text
+    tree = text.split("\n\n\n")[0]
+    assert "SortMergeJoin FullOuter" in tree and "NestedLoop" not in tree
+    assert tree.count("Exchange") == 2
 
 
 def test_a_small_batch_does_not_move_gold(spark):
