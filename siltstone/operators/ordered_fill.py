@@ -40,7 +40,6 @@ def ordered_fill(
     if set(order_by) & set(columns):
         raise ValueError("a filled column cannot be an order column")
     spark = df.sparkSession
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(f"_o{i}") for i in range(len(order_by))]
     source = {f.name: f.dataType for f in df.schema.fields}
     value = {c: F.when(~is_null(F.col(q(c)), source[c]), F.col(q(c))) for c in columns}
@@ -50,11 +49,10 @@ def ordered_fill(
         F.max(gap).alias("_gap"), *[F.max(value[c]).alias(f"_v{i}") for i, c in enumerate(columns)]
     )
     path = shared_dir(spark, "positions")
-    (
-        positions.repartitionByRange(blocks, *order)
-        .withColumn("_block", F.spark_partition_id())
-        .write.parquet(path)
-    )
+    # Without a number there are at most as many blocks as shuffle partitions, and
+    # AQE joins neighbours that are small; either way block numbers follow the order.
+    ranged = positions.repartitionByRange(blocks, *order) if blocks else positions.repartitionByRange(*order)
+    ranged.withColumn("_block", F.spark_partition_id()).write.parquet(path)
     # Read back: block numbers are now data and stay the same when a task is rerun.
     positions = spark.read.schema(_position_schema(positions)).parquet(path)
 
@@ -69,7 +67,7 @@ def ordered_fill(
             )
         ]
     )
-    # One row per block, at most `blocks` rows: small enough for one task and for a broadcast.
+    # One row per block: few enough for one task and for a broadcast, whatever the table's size.
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     anywhere = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried = edges.select(
