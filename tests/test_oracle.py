@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from siltstone.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -27,15 +28,15 @@ def plain(value):
     return float(value) if type(value).__name__ == "Decimal" else value
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
-    found = contract.queries()[name](spark, SF)
+    found = QUERIES[name](spark, SF)
     columns = sorted(found.columns)
     got = sorted(repr([plain(r[c]) for c in columns]) for r in found.collect())
-    if name not in contract.oracle_sql():
+    if name not in ORACLES:
         assert got
         return
-    cursor = sql.execute(contract.oracle_sql()[name])
+    cursor = sql.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
@@ -44,7 +45,7 @@ def test_query(spark, sql, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
