@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltstone.llm.decontaminate import coverage_exceeds, find_hits
 from siltstone.llm.quality_rules import STOP_WORDS, judge
 from siltstone.llm.registry import query, table
 
@@ -51,3 +53,15 @@ FROM counted
 @query("op2_quality_rules", quality_sql())
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select(*QUALITY_COLUMNS)
+
+
+@query("op3_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        coverage_exceeds().alias("contaminated"),
+        F.col("longest_match").cast("long").alias("longest_match"),
+    )
