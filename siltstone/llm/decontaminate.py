@@ -238,16 +238,18 @@ def find_hits(
 def _one_pass(spark: SparkSession, docs: DataFrame, text: str, part: DataFrame, window: int, first: bool) -> DataFrame:
     rows = part.select("item", "words", "whole").collect()  # at most about block_words words
     automaton = Automaton([Piece(r["item"], bytes(r["words"]).split(b" "), r["whole"]) for r in rows], window)
-    shared = spark.sparkContext.broadcast(automaton)
+    shared = spark.sparkContext.broadcast(vars(automaton))  # plain values, readable without this package
 
     def scan(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        automaton = object.__new__(Automaton)
+        automaton.__dict__ = shared.value
         made: dict[str, list] = {n: [] for n in HITS.names}
         earlier = [[0, [], []] for _ in range(batch.num_rows)]
         if not first:
             earlier = list(zip(*(batch.column(f"__{n}").to_pylist() for n in HITS.names[1:]), strict=True))
         for raw, (length, spans, ids) in zip(texts_of(batch, text), earlier, strict=True):
             words = words_of(raw)
-            longest, hit, found = shared.value.match(words)
+            longest, hit, found = automaton.match(words)
             made["n_words"].append(len(words))
             made["longest_match"].append(max(longest, length))
             made["hit_spans"].append(_merge([*hit, *spans]) if spans else hit)
