@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.decontaminate import coverage_exceeds, find_hits
+from siltstone.llm.language_id import fit, held_out, predict
 from siltstone.llm.quality_rules import STOP_WORDS, judge
-from siltstone.llm.registry import query, table
+from siltstone.llm.registry import TOKENIZERS, query, table
+from siltstone.llm.token_counts import Rollup, count_tokens
+from siltstone.session import shared_dir
 
 QUALITY_COLUMNS = (
     "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -65,3 +68,24 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         coverage_exceeds().alias("contaminated"),
         F.col("longest_match").cast("long").alias("longest_match"),
     )
+
+
+@query("op4_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted, those labelled toxic taken down; the load is then sent again."""
+    docs = table(spark, sf_dir, "documents")
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
+    rollup = Rollup(spark, shared_dir(spark, "token-counts"))
+    counted = count_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", "byte_bpe_50k")
+    rollup.commit("load", counted)
+    rollup.commit("takedown", deletes=toxic.withColumn("tokenizer", F.lit("byte_bpe_50k")))
+    rollup.commit("load", counted)
+    return rollup.totals()
+
+
+@query("op10_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    dictionaries = fit(docs.filter(~held_out()))
+    found = predict(docs.select("doc_id", "text", held_out().alias("held_out")), dictionaries)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "margin", "rejected")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.session import configure
 
+# Where the machines keep the vocabulary files of public tokenizers.
+TOKENIZERS = os.environ.get("TOKENIZERS", "/opt/tokenizers")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
