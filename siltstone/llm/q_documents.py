@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.decontaminate import coverage_exceeds, find_hits
 from siltstone.llm.language_id import fit, held_out, predict
+from siltstone.llm.piece_sampling import sample_pieces
 from siltstone.llm.quality_rules import STOP_WORDS, judge
 from siltstone.llm.registry import TOKENIZERS, query, table
 from siltstone.llm.token_counts import Rollup, count_tokens
@@ -89,3 +90,9 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     dictionaries = fit(docs.filter(~held_out()))
     found = predict(docs.select("doc_id", "text", held_out().alias("held_out")), dictionaries)
     return found.select("doc_id", "held_out", "lang_pred", "score", "margin", "rejected")
+
+
+@query("op5_sentencepiece_sampling")
+def sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sample_pieces(docs, f"{TOKENIZERS}/piece_bpe_32k.model", digests=True).drop("text")
