@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.decontaminate import coverage_exceeds, find_hits
 from siltstone.llm.language_id import fit, held_out, predict
 from siltstone.llm.piece_sampling import sample_pieces
+from siltstone.llm.pii_sanitise import sanitise, spans_text
 from siltstone.llm.quality_rules import STOP_WORDS, judge
 from siltstone.llm.registry import TOKENIZERS, query, table
 from siltstone.llm.token_counts import Rollup, count_tokens
@@ -96,3 +97,14 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sample_pieces(docs, f"{TOKENIZERS}/piece_bpe_32k.model", digests=True).drop("text")
+
+
+@query("op9_pii_sanitisation")
+def pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
