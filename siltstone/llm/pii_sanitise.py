@@ -182,13 +182,15 @@ def revealing_terms(
     together = distinct.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
     entities = distinct.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= support)
     words = texts.select(F.explode(F.split(F.lower(F.col(f"`{text}`")), NO_WORD)).alias("term")).filter("term <> ''")
-    counted = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    total = counted.agg(F.sum("n_term").alias("n_words"))
+    folder = shared_dir(texts.sparkSession, "term-counts")
+    words.groupBy("term").agg(F.count("*").alias("n_term")).write.parquet(folder)
+    counted = texts.sparkSession.read.parquet(folder)
+    n_words = counted.agg(F.sum("n_term")).first()[0] or 1
     rates = together.filter(F.col("n_both") >= support).join(entities, "entity").join(counted, "term")
     p_given = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    p_entity = F.least(F.lit(0.5), F.col("n_entity") * 2 * window / F.col("n_words"))
+    p_entity = F.least(F.lit(0.5), F.col("n_entity") * (2 * window / n_words))
     share = F.log(p_given / p_entity) / -F.log(p_entity)
-    scored = rates.join(F.broadcast(total)).select("entity", "term", share.alias("disclosure"))  # total: one row
+    scored = rates.select("entity", "term", share.alias("disclosure"))
     return scored.filter(F.col("disclosure") >= generalise_at).withColumn("removed", F.col("disclosure") >= remove_at)
 
 

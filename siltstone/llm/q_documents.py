@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.decontaminate import coverage_exceeds, find_hits
+from siltstone.llm.jaccard_join import similar_components
 from siltstone.llm.language_id import fit, held_out, predict
 from siltstone.llm.piece_sampling import sample_pieces
 from siltstone.llm.pii_sanitise import sanitise, spans_text
@@ -108,3 +109,8 @@ def pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(spans_text(base), 256).alias("base_sha256"),
         spans_text(F.col("spans")).alias("spans"),
     )
+
+
+@query("op7_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents"))
