@@ -11,8 +11,8 @@ relations between sets keep the work small:
   skipped whose size and position rule out enough overlap.
 * **Derived answers.** Sets that turn out to be one component need no answers
   of each other. For the pairs of a list that are left, what can overlap is
-  bounded from their overlaps with the head; only pairs within the bound are
-  compared. So groups of copies cost in proportion to their size, no link
+  bounded from their overlaps with the head and from a map of parities of each
+  set; only pairs within both bounds are compared. So groups of copies cost in proportion to their size, no link
   between different texts is lost, and answers are exact (up to hash collisions,
   about 2^-64 for a pair of shingles).
 
@@ -45,10 +45,12 @@ from siltstone.llm.shingles import shingle_sets
 from siltstone.session import shared_dir
 
 SLICE_BYTES = 1 << 20
-COUNTERS = 1 << 15  # shingle counters in a task
-HOT = 20_000  # shingles put last in the order
+COUNTERS = 1 << 20  # shingle counters in a task
+GATHERED = 1 << 21  # shingles counted at once
+HOT = 200_000  # shingles put last in the order: 3 MB are broadcast
 GROUP = 2_000  # sets compared with one head in a task
 LONG_LIST = 1 << 16  # entries of one list held at once
+BITS = 1024  # of a set's parity map
 
 
 def _least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -60,6 +62,11 @@ def _sid(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes()))))
 
 
+def _parities(shingles: np.ndarray) -> bytes:
+    """For each of BITS classes of hashes, whether the set has an odd number; two sets differ in at least as many shingles as bits."""
+    return np.packbits(np.bincount((shingles & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
+
+
 def _rows(columns: dict[str, list | np.ndarray], types: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[n], t) for n, t in types.items()], names=list(types))
 
@@ -69,9 +76,16 @@ class Counters:
 
     def __init__(self) -> None:
         self.names, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+
+    def add(self, shingles: list[np.ndarray]) -> None:
+        self.waiting += shingles
+        if sum(map(len, self.waiting)) > GATHERED:
+            self.settle()
 
-    def add(self, shingles: np.ndarray) -> None:
-        names, counts = np.unique(shingles, return_counts=True)
+    def settle(self) -> None:
+        names, counts = np.unique(np.concatenate([self.names[:0], *self.waiting]), return_counts=True)
+        self.waiting = []
         names, inverse = np.unique(np.r_[self.names, names], return_inverse=True)
         total = np.bincount(inverse, np.r_[self.counts, counts]).astype(np.int64)
         if len(names) > COUNTERS:
@@ -80,8 +94,8 @@ class Counters:
 
 
 def document_sets(docs: DataFrame, text: str) -> DataFrame:
-    """kind 0: (doc_id, n, sid) for each row; kind 1: (shingle, count, null)."""
-    types = {"kind": pa.int32(), "a": pa.int64(), "b": pa.int64(), "c": pa.int64()}
+    """kind 0: (doc_id, n, sid, parities) for each row; kind 1: (shingle, count, null, null)."""
+    types = {"kind": pa.int32(), "a": pa.int64(), "b": pa.int64(), "c": pa.int64(), "d": pa.binary()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = Counters()
@@ -90,15 +104,15 @@ def document_sets(docs: DataFrame, text: str) -> DataFrame:
                 sets = shingle_sets(texts_of(part, "text"))
                 sids = [_sid(s) if len(s) else None for s in sets]
                 fresh = list({i: s for i, s in zip(sids, sets, strict=True) if i is not None}.values())
-                if fresh:
-                    counters.add(np.concatenate(fresh))
+                counters.add(fresh)
                 ids = part.column(0).to_pylist()
-                yield _rows({"kind": [0] * len(sets), "a": ids, "b": [len(s) for s in sets], "c": [s if d is not None else None for s, d in zip(sids, ids, strict=True)]}, types)
-        often = np.flatnonzero(counters.counts >= 8)
-        yield _rows({"kind": np.ones(len(often), np.int32), "a": counters.names[often].view(np.int64), "b": counters.counts[often], "c": pa.nulls(len(often))}, types)
+                yield _rows({"kind": [0] * len(sets), "a": ids, "b": [len(s) for s in sets], "c": [s if d is not None else None for s, d in zip(sids, ids, strict=True)], "d": [_parities(s) if len(s) else None for s in sets]}, types)
+        counters.settle()
+        often = np.flatnonzero(counters.counts >= 3)
+        yield _rows({"kind": np.ones(len(often), np.int32), "a": counters.names[often].view(np.int64), "b": counters.counts[often], "c": pa.nulls(len(often)), "d": pa.nulls(len(often))}, types)
 
     picked = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[text].alias("text"))
-    return picked.mapInArrow(scan, "kind int, a bigint, b bigint, c bigint")
+    return picked.mapInArrow(scan, "kind int, a bigint, b bigint, c bigint, d binary")
 
 
 def postings(docs: DataFrame, text: str, hot: dict[int, int]) -> DataFrame:
@@ -260,16 +274,16 @@ def overlaps(docs: DataFrame, text: str, sets: DataFrame, pairs: DataFrame) -> D
 def pairs_left(members: DataFrame) -> DataFrame:
     """Pairs (head, sid) of different components in one list that their overlaps with its head do not rule out.
 
-    members: list, sid, n, root, both (null where not known).
+    members: list, sid, n, root, both (null where not known), parities.
     """
     types = {"head": pa.int64(), "sid": pa.int64()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 5
+        rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 5 + [np.zeros((0, BITS // 64), np.uint64)]
 
-        def pairs(sid: np.ndarray, n: np.ndarray, root: np.ndarray, both: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def pairs(sid: np.ndarray, n: np.ndarray, root: np.ndarray, both: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
             order = np.argsort(n, kind="stable")
-            sid, n, root, both = sid[order], n[order], root[order], both[order]
+            sid, n, root, both, bits = sid[order], n[order], root[order], both[order], bits[order]
             most = np.where(both < 0, n, both)  # not known: all of it may be shared
             other = np.where(both < 0, n, n - both)
             found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -278,6 +292,9 @@ def pairs_left(members: DataFrame) -> DataFrame:
                 j = slice(i + 1, int(np.searchsorted(n, 5 * n[i] // 4, side="right")))
                 bound = np.minimum(np.minimum(most[i], most[j]) + np.minimum(other[i], other[j]), np.minimum(n[i], n[j]))
                 ok = np.flatnonzero((root[j] != root[i]) & (bound >= _least_overlap(n[i], n[j]))) + i + 1
+                if len(ok):
+                    differ = np.bitwise_count(bits[ok] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    ok = ok[9 * differ <= n[i] + n[ok]]
                 if len(ok):
                     found.append((np.minimum(sid[i], sid[ok]), np.maximum(sid[i], sid[ok])))
                 if sum(len(x) for x, _ in found[-64:]) > 1 << 16 or len(found) > 4096:
@@ -293,13 +310,15 @@ def pairs_left(members: DataFrame) -> DataFrame:
                     yield from pairs(*part)
 
         for batch in batches:
-            columns = [np.concatenate([r, batch.column(i).to_numpy()]) for i, r in enumerate(rest)]
+            bits = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            new = [*[batch.column(i).to_numpy() for i in range(5)], bits]
+            columns = [np.concatenate(x) for x in zip(rest, new, strict=True)]
             last = int(np.searchsorted(columns[0], columns[0][-1]))
             yield from whole([c[:last] for c in columns])
             rest = [c[last:] for c in columns]
         yield from whole(rest)
 
-    placed = members.select("list", "sid", F.col("n").cast("long"), "root", F.coalesce("both", F.lit(-1)).cast("long").alias("both"))
+    placed = members.select("list", "sid", F.col("n").cast("long"), "root", F.coalesce("both", F.lit(-1)).cast("long").alias("both"), "parities")
     return placed.repartition("list").sortWithinPartitions("list", "sid").mapInArrow(scan, "head bigint, sid bigint").distinct()
 
 
@@ -328,7 +347,8 @@ def similar_components(docs: DataFrame, text: str = "text") -> DataFrame:
     rooted = kept(rooted, "lists")
     mixed = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("list")
     known = compared.select("head", "sid", "both").unionByName(rooted.filter("head = sid").select("head", "sid", F.col("n").alias("both")).distinct())
-    unsettled = rooted.join(mixed, "list", "left_semi").join(known, ["head", "sid"], "left")
+    maps = scanned.filter("kind = 0 AND c IS NOT NULL").groupBy(F.col("c").alias("sid")).agg(F.any_value("d").alias("parities"))
+    unsettled = rooted.join(mixed, "list", "left_semi").join(known, ["head", "sid"], "left").join(maps, "sid")
     left = kept(pairs_left(unsettled), "pairs-left")
     done = compared.select(F.least("head", "sid").alias("head"), F.greatest("head", "sid").alias("sid"))
     more = overlaps(docs, text, sets, left.join(done, ["head", "sid"], "left_anti"))
