@@ -50,7 +50,8 @@ GATHERED = 1 << 21  # shingles counted at once
 HOT = 200_000  # shingles put last in the order: 3 MB are broadcast
 GROUP = 2_000  # sets compared with one head in a task
 LONG_LIST = 1 << 16  # entries of one list held at once
-BITS = 1024  # of a set's parity map
+LEAST_BITS = 1024  # of a set's parity map
+BROADCAST_IDS = 1 << 21  # 16 MB
 
 
 def _least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -63,8 +64,16 @@ def _sid(shingles: np.ndarray) -> int:
 
 
 def _parities(shingles: np.ndarray) -> bytes:
-    """For each of BITS classes of hashes, whether the set has an odd number; two sets differ in at least as many shingles as bits."""
-    return np.packbits(np.bincount((shingles & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
+    """For each class of hashes, whether the set has an odd number; two sets differ in at least as many shingles as bits.
+
+    A power of two of classes, one or more for a shingle; a map is folded to a shorter one by XOR of its parts.
+    """
+    bits = max(LEAST_BITS, 1 << (len(shingles) - 1).bit_length())
+    return np.packbits(np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def _folded(maps: np.ndarray, size: int) -> np.ndarray:
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(m, np.uint64).reshape(-1, size // 8), axis=0) for m in maps])
 
 
 def _rows(columns: dict[str, list | np.ndarray], types: dict[str, pa.DataType]) -> pa.RecordBatch:
@@ -247,7 +256,11 @@ def overlaps(docs: DataFrame, text: str, sets: DataFrame, pairs: DataFrame) -> D
     folder = shared_dir(spark, "compared")
     members.unionByName(heads).join(place, "sid").write.parquet(folder)
     wanted = spark.read.parquet(folder)
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[text].alias("text")).join(wanted, "doc_id")
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[text].alias("text"))
+    ids = wanted.select("doc_id").distinct()
+    if ids.count() <= BROADCAST_IDS:  # then only the texts to compare are shuffled, else all
+        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
+    texts = texts.join(wanted, "doc_id")
     types = {"head": pa.int64(), "sid": pa.int64(), "n_head": pa.int32(), "n": pa.int32(), "both": pa.int32()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,11 +292,13 @@ def pairs_left(members: DataFrame) -> DataFrame:
     types = {"head": pa.int64(), "sid": pa.int64()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 5 + [np.zeros((0, BITS // 64), np.uint64)]
+        rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 5 + [np.zeros(0, object)]
 
-        def pairs(sid: np.ndarray, n: np.ndarray, root: np.ndarray, both: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def pairs(sid: np.ndarray, n: np.ndarray, root: np.ndarray, both: np.ndarray, maps: np.ndarray) -> Iterator[pa.RecordBatch]:
             order = np.argsort(n, kind="stable")
-            sid, n, root, both, bits = sid[order], n[order], root[order], both[order], bits[order]
+            sid, n, root, both, maps = sid[order], n[order], root[order], both[order], maps[order]
+            length = np.array([len(m) for m in maps])  # grows with n
+            bits, skipped = np.zeros((0, 1), np.uint64), 0
             most = np.where(both < 0, n, both)  # not known: all of it may be shared
             other = np.where(both < 0, n, n - both)
             found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -293,7 +308,9 @@ def pairs_left(members: DataFrame) -> DataFrame:
                 bound = np.minimum(np.minimum(most[i], most[j]) + np.minimum(other[i], other[j]), np.minimum(n[i], n[j]))
                 ok = np.flatnonzero((root[j] != root[i]) & (bound >= _least_overlap(n[i], n[j]))) + i + 1
                 if len(ok):
-                    differ = np.bitwise_count(bits[ok] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    if bits.shape[1] * 8 != length[i]:
+                        bits, skipped = _folded(maps[i:], length[i]), i
+                    differ = np.bitwise_count(bits[ok - skipped] ^ bits[i - skipped]).sum(axis=1, dtype=np.int64)
                     ok = ok[9 * differ <= n[i] + n[ok]]
                 if len(ok):
                     found.append((np.minimum(sid[i], sid[ok]), np.maximum(sid[i], sid[ok])))
@@ -310,7 +327,7 @@ def pairs_left(members: DataFrame) -> DataFrame:
                     yield from pairs(*part)
 
         for batch in batches:
-            bits = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            bits = np.array([*batch.column(5).to_pylist(), None], object)[:-1]
             new = [*[batch.column(i).to_numpy() for i in range(5)], bits]
             columns = [np.concatenate(x) for x in zip(rest, new, strict=True)]
             last = int(np.searchsorted(columns[0], columns[0][-1]))
