@@ -12,6 +12,7 @@ from siltstone.llm.piece_sampling import sample_pieces
 from siltstone.llm.pii_sanitise import sanitise, spans_text
 from siltstone.llm.quality_rules import STOP_WORDS, judge
 from siltstone.llm.registry import TOKENIZERS, query, table
+from siltstone.llm.suffix_dedup import remove_repeats
 from siltstone.llm.token_counts import Rollup, count_tokens
 from siltstone.session import shared_dir
 
@@ -114,3 +115,8 @@ def pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
