@@ -18,7 +18,8 @@ together by their content first, by rules that equal strings share:
   others induced by a scan of the buckets by first symbol. Neighbours with a
   common prefix as long as a window are repeats.
   An anchor with more than `BLOCK` classes is dealt over several tasks; their
-  distinct windows are then compared across tasks by fingerprint.
+  distinct windows are then compared across tasks by fingerprint, first of the
+  core that `RANGE` neighbouring windows share, then of those left.
 
 Defined results: a null text is empty; empty and short texts lose nothing.
 Matches never cross texts. Rows that repeat are separate occurrences, so both
@@ -45,6 +46,7 @@ from siltstone.session import shared_dir
 LENGTH = 400
 GRAM = 257  # a window then differs from others with its anchor in 143 bytes only
 BLOCK = 4_096  # classes of one anchor in a task
+RANGE = 8  # windows of a split anchor that are first compared by their core
 SORTED_BYTES = 1 << 19  # of surroundings sorted at once; one anchor's are never parted
 SLICE_BYTES = 1 << 20
 SEGMENT = 1 << 23
@@ -237,11 +239,17 @@ def repeated_windows(groups: list[list[tuple[bytes, bytes]]], side: int) -> tupl
     return owner, before, np.bincount(run, minlength=1)[run], run
 
 
+def _print(before: bytes, after: bytes, left: int, right: int) -> int:
+    """Fingerprint of the bytes next to an anchor."""
+    digest = hashlib.blake2b(before[len(before) - left :] + after[:right], digest_size=8, salt=left.to_bytes(8, "little"))
+    return int.from_bytes(digest.digest(), "little", signed=True)
+
+
 def sorted_windows(cut: DataFrame, length: int, gram: int) -> DataFrame:
     """kind 0: (anchor, around, low, high), least and most bytes before the anchor of repeated windows;
-    kind 1: (anchor, around, before, print, alone), a distinct window of an anchor that is split."""
+    kind 1: (anchor, around, low, core, windows), distinct windows of an anchor that is split, by ranges of `before` that share a core."""
     side = length - gram
-    types = {"kind": pa.int32(), "anchor": pa.int64(), "around": pa.int64(), "low": pa.int32(), "high": pa.int32(), "print": pa.int64(), "alone": pa.bool_()}
+    types = {"kind": pa.int32(), "anchor": pa.int64(), "around": pa.int64(), "low": pa.int32(), "high": pa.int32(), "core": pa.int64(), "windows": pa.list_(pa.struct({"before": pa.int32(), "print": pa.int64(), "alone": pa.bool_()}))}
 
     def settle(groups: list[tuple]) -> Iterator[pa.RecordBatch]:
         owner, before, size, run = repeated_windows([g[3] for g in groups], side)
@@ -254,17 +262,24 @@ def sorted_windows(cut: DataFrame, length: int, gram: int) -> DataFrame:
             np.minimum.at(low, owner[many], before[many])
             np.maximum.at(high, owner[many], before[many])
             hit = np.flatnonzero(high >= 0)
-            yield _rows({"kind": np.zeros(len(hit), np.int32), "anchor": anchor[hit], "around": around[hit], "low": low[hit], "high": high[hit], "print": np.zeros(len(hit), np.int64), "alone": np.zeros(len(hit), bool)}, types)
+            yield _rows({"kind": np.zeros(len(hit), np.int32), "anchor": anchor[hit], "around": around[hit], "low": low[hit], "high": high[hit], "core": np.zeros(len(hit), np.int64), "windows": pa.nulls(len(hit))}, types)
+        # Of an anchor that is split: one of each run of equal windows, in ranges that share a core.
         _, first = np.unique(run, return_index=True)
         first = first[split[owner[first]]]
         if len(first):
             texts = [m for g in groups for m in g[3]]
-            prints = []
-            for o, b in zip(owner[first].tolist(), before[first].tolist(), strict=True):
+            span = before[first] // RANGE
+            first = first[np.lexsort((span, owner[first]))]
+            name = owner[first] * np.int64(side + 1) + before[first] // RANGE
+            out = []
+            for rows in np.split(first, np.flatnonzero(np.diff(name)) + 1):
+                o, j = int(owner[rows[0]]), int(before[rows[0]]) // RANGE
                 left, right = texts[o]
-                prints.append(int.from_bytes(hashlib.blake2b(left[len(left) - b :] + b"|" + right[: side - b], digest_size=8).digest(), "little", signed=True))
-            o, b = owner[first], before[first].astype(np.int32)
-            yield _rows({"kind": np.ones(len(o), np.int32), "anchor": anchor[o], "around": around[o], "low": b, "high": b, "print": prints, "alone": size[first] == 1}, types)
+                befores = before[rows].tolist()
+                prints = [_print(left, right, b, side - b) for b in befores]
+                core = _print(left, right, j * RANGE, max(0, side - j * RANGE - RANGE + 1))
+                out.append((1, int(anchor[o]), int(around[o]), j, j, core, [dict(before=b, print=p, alone=x) for b, p, x in zip(befores, prints, (size[rows] == 1).tolist(), strict=True)]))
+            yield _rows(dict(zip(types, zip(*out, strict=True), strict=True)), types)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: list[tuple] = []
@@ -288,7 +303,7 @@ def sorted_windows(cut: DataFrame, length: int, gram: int) -> DataFrame:
             yield from settle(groups)
 
     placed = cut.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "around")
-    return placed.mapInArrow(scan, "kind int, anchor bigint, around bigint, low int, high int, print bigint, alone boolean")
+    return placed.mapInArrow(scan, "kind int, anchor bigint, around bigint, low int, high int, core bigint, windows array<struct<before:int,print:bigint,alone:boolean>>")
 
 
 def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -312,8 +327,11 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     wanted = kept(classes.join(several, "anchor").groupBy("id", F.col("at.hash").alias("hash")).agg(F.collect_list(place).alias("places")), "wanted")
     windows = kept(sorted_windows(surroundings(docs, wanted, length, gram), length, gram), "windows")
     prints = windows.filter("kind = 1")
-    crossing = prints.groupBy("anchor", "low", "print").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    across = prints.filter("alone").join(crossing, ["anchor", "low", "print"]).select("anchor", "around", "low", "high")
+    # Ranges whose core occurs once have no equal windows elsewhere.
+    cores = prints.groupBy("anchor", "low", "core").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    single = kept(prints.join(cores, ["anchor", "low", "core"]).select("anchor", "around", F.explode("windows").alias("w")).select("anchor", "around", "w.*"), "prints")
+    crossing = single.groupBy("anchor", "before", "print").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    across = single.filter("alone").join(crossing, ["anchor", "before", "print"]).select("anchor", "around", F.col("before").alias("low"), F.col("before").alias("high"))
     whole = classes.filter("n > 1").select("anchor", "around", F.lit(0).alias("low"), F.lit(side).alias("high"))
     spans = (
         windows.filter("kind = 0").select("anchor", "around", "low", "high").unionByName(across).unionByName(whole)
