@@ -18,7 +18,7 @@ from siltstone.llm.decontaminate import decontaminate
 from siltstone.llm.jaccard_join import similar_components
 from siltstone.llm.piece_sampling import sample_pieces
 from siltstone.llm.pii_sanitise import sanitise
-from siltstone.llm.quality_rules import judge
+from siltstone.llm.quality_rules import keep
 from siltstone.llm.queries import ORACLES, QUERIES
 from siltstone.llm.registry import TOKENIZERS, query, table
 from siltstone.session import shared_dir
@@ -33,7 +33,7 @@ def _like(docs: DataFrame, changed: DataFrame, text: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    return keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,3 +165,10 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ba
         (F.size(compile_rules(base, prefix)) > 0).alias(prefix + "base_failed"),
         compile_rules(base + rules, prefix).alias(prefix + "failed_rules"),
     ).withColumn(prefix + "kept", F.size(prefix + "failed_rules") == 0)
+
+
+def keep(df: DataFrame, text: str = "text", **how) -> DataFrame:
+    """The rows of `df` that pass. A generator does the filtering: a filter would be moved below the measures, each then repeated in it."""
+    judged = judge(df, text, prefix="__", **how)
+    once = F.when(F.col("__kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    return judged.select(*[F.col(f"`{c}`") for c in df.columns], F.explode(once).alias("__once")).drop("__once")
