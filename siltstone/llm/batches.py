@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches by bytes: 10 000 long texts at once would fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """UTF-8 bytes of a text column, null as empty."""
     column = batch.column(batch.schema.get_field_index(name))
@@ -34,6 +40,7 @@ def with_columns(df: DataFrame, added: StructType, function: Callable[[pa.Record
     if clash:
         raise ValueError(f"columns in the way: {sorted(clash)}")
     schema = StructType([*df.schema.fields, *added.fields])
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

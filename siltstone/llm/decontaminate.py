@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from siltstone.llm.batches import texts_of, with_columns
+from siltstone.llm.batches import small_batches, texts_of, with_columns
 from siltstone.session import shared_dir
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -216,6 +216,7 @@ def find_hits(
     if clash:
         raise ValueError(f"columns in the way: {sorted(clash)}")
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = item_pieces(items, item_id, item_text, window)
     total, n_bytes = pieces.agg(F.sum("n"), F.sum(F.length("words"))).first()
     blocks = max(1, -(-(total or 0) // block_words), -(-(n_bytes or 0) // (16 * block_words)))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.batches import slices, texts_of
+from siltstone.llm.batches import slices, small_batches, texts_of
 from siltstone.llm.components import connected_components
 from siltstone.llm.shingles import shingle_sets
 from siltstone.session import shared_dir
@@ -342,6 +342,7 @@ def pairs_left(members: DataFrame) -> DataFrame:
 def similar_components(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of `docs`."""
     spark = docs.sparkSession
+    small_batches(spark)
 
     def kept(df: DataFrame, label: str) -> DataFrame:
         folder = shared_dir(spark, label)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.batches import slices, texts_of
+from siltstone.llm.batches import slices, small_batches, texts_of
 from siltstone.llm.shingles import BASE, INVERSE, mixed, powers
 from siltstone.session import shared_dir
 
@@ -309,6 +309,7 @@ def sorted_windows(cut: DataFrame, length: int, gram: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """(id, hash, spans): merged spans [from, to) of repeated bytes; `to` may lie beyond the text. docs: id, hash, text."""
     spark = docs.sparkSession
+    small_batches(spark)
 
     def kept(df: DataFrame, label: str) -> DataFrame:
         folder = shared_dir(spark, label)
