@@ -45,8 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; a span of more than 50 words that is left is cut out."""
-    cleaned = decontaminate(docs.withColumn("__before", F.col("text")), table(spark, sf_dir, "benchmark"))
-    return _like(docs, cleaned.withColumnsRenamed({"text": "__after", "__before": "text"}), "__after")
+    return _like(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")), "cleaned")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,7 @@ def with_columns(df: DataFrame, added: StructType, function: Callable[[pa.Record
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives back what it frees; workers outlive a stage
         for batch in batches:
             made = function(batch)
             fields = [*batch.schema, *[pa.field(n, made[n].type) for n in added.names]]

@@ -41,7 +41,7 @@ HITS = StructType([
     StructField("hit_spans", ArrayType(ArrayType(IntegerType()))),
     StructField("item_ids", ArrayType(StringType())),
 ])
-HIT_COLUMNS = (*HITS.names, "n_hit")
+HIT_COLUMNS = (*HITS.names, "n_hit", "cleaned")
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -210,8 +210,12 @@ def find_hits(
     item_text: str = "text",
     window: int = 13,
     block_words: int = 250_000,
+    max_span_words: int | None = None,
 ) -> DataFrame:
-    """`docs` with n_words, longest_match, hit_spans (words, end exclusive), item_ids (sorted) and n_hit."""
+    """`docs` with n_words, longest_match, hit_spans (words, end exclusive), item_ids (sorted) and n_hit.
+
+    With `max_span_words` also `cleaned`: the text without spans of more words; other texts stay byte for byte.
+    """
     clash = set(HIT_COLUMNS) & set(docs.columns)
     if clash:
         raise ValueError(f"columns in the way: {sorted(clash)}")
@@ -227,8 +231,9 @@ def find_hits(
     found = docs
     for block in range(blocks):
         part = pieces if blocks == 1 else pieces.filter(F.col("block") == block)
-        found = _one_pass(spark, found, text, part, window, first=block == 0)
-        if block < blocks - 1:  # one automaton at a time in a worker
+        last = block == blocks - 1
+        found = _one_pass(spark, found, text, part, window, first=block == 0, cut=max_span_words if last else None)
+        if not last:  # one automaton at a time in a worker
             folder = shared_dir(spark, "benchmark-hits")
             found.write.parquet(folder)
             found = spark.read.parquet(folder)
@@ -236,7 +241,7 @@ def find_hits(
     return found.withColumn("n_hit", covered)
 
 
-def _one_pass(spark: SparkSession, docs: DataFrame, text: str, part: DataFrame, window: int, first: bool) -> DataFrame:
+def _one_pass(spark: SparkSession, docs: DataFrame, text: str, part: DataFrame, window: int, first: bool, cut: int | None) -> DataFrame:
     rows = part.select("item", "words", "whole").collect()  # at most about block_words words
     automaton = Automaton([Piece(r["item"], bytes(r["words"]).split(b" "), r["whole"]) for r in rows], window)
     shared = spark.sparkContext.broadcast(vars(automaton))  # plain values, readable without this package
@@ -256,12 +261,17 @@ def _one_pass(spark: SparkSession, docs: DataFrame, text: str, part: DataFrame,
             made["hit_spans"].append(_merge([*hit, *spans]) if spans else hit)
             made["item_ids"].append(sorted({x for x in found if x is not None} | set(ids)))
         types = (pa.int64(), pa.int32(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.string()))
-        return {n: pa.array(made[n], t) for n, t in zip(HITS.names, types, strict=True)}
+        out = {n: pa.array(made[n], t) for n, t in zip(HITS.names, types, strict=True)}
+        if cut is not None:
+            texts = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary()).to_pylist()
+            out["cleaned"] = pa.array([_without(t, s, cut) for t, s in zip(texts, made["hit_spans"], strict=True)], pa.string())
+        return out
 
+    added = HITS if cut is None else StructType([*HITS.fields, StructField("cleaned", StringType())])
     if first:
-        return with_columns(docs, HITS, scan)
+        return with_columns(docs, added, scan)
     before = docs.drop("n_words").withColumnsRenamed({n: f"__{n}" for n in HITS.names[1:]})
-    return with_columns(before, HITS, scan).drop(*[f"__{n}" for n in HITS.names[1:]])
+    return with_columns(before, added, scan).drop(*[f"__{n}" for n in HITS.names[1:]])
 
 
 def coverage_exceeds(limit_percent: int = 5):
@@ -269,29 +279,19 @@ def coverage_exceeds(limit_percent: int = 5):
     return (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= limit_percent * F.col("n_words"))
 
 
-def remove_spans(hits: DataFrame, text: str = "text", max_span_words: int = 50) -> DataFrame:
-    """Cuts out of the text every span of more than `max_span_words` words; other texts stay byte for byte."""
-
-    def cut(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        column = batch.column(batch.schema.get_field_index(text))
-        out = []
-        for raw, spans in zip(column.cast(pa.large_binary()).to_pylist(), batch.column(batch.schema.get_field_index("hit_spans")).to_pylist(), strict=True):
-            long = [s for s in spans if s[1] - s[0] > max_span_words]
-            if long:
-                places = [m.span() for m in WORD.finditer(raw.lower())]
-                kept, at = [], 0
-                for start, end in long:
-                    kept.append(raw[at : places[start][0]])
-                    at = places[end - 1][1]
-                raw = b"".join([*kept, raw[at:]])
-            out.append(None if raw is None else raw.decode())
-        return {"__cleaned": pa.array(out, pa.string())}
-
-    cleaned = with_columns(hits, StructType([StructField("__cleaned", StringType())]), cut)
-    return cleaned.select(*[F.col("__cleaned").alias(text) if c == text else F.col(f"`{c}`") for c in hits.columns])
+def _without(raw: bytes | None, spans: list[list[int]], max_span_words: int) -> str | None:
+    long = [s for s in spans if s[1] - s[0] > max_span_words]
+    if raw is None or not long:
+        return None if raw is None else raw.decode()
+    places = [m.span() for m in WORD.finditer(raw.lower())]
+    kept, at = [], 0
+    for start, end in long:
+        kept.append(raw[at : places[start][0]])
+        at = places[end - 1][1]
+    return b"".join([*kept, raw[at:]]).decode()
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", max_span_words: int = 50, limit_percent: int = 5, **how) -> DataFrame:
-    """Documents over the coverage limit go; spans over the length limit are cut out of the rest."""
-    hits = find_hits(docs, items, text, **how).filter(~coverage_exceeds(limit_percent))
-    return remove_spans(hits, text, max_span_words).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """`docs` and `cleaned`: documents over the coverage limit go; spans over the length limit are cut out of the rest."""
+    hits = find_hits(docs, items, text, max_span_words=max_span_words, **how).filter(~coverage_exceeds(limit_percent))
+    return hits.select(*[F.col(f"`{c}`") for c in (*docs.columns, "cleaned")])

@@ -39,8 +39,8 @@ from siltstone.llm.batches import slices, with_columns
 
 BLANK = 0x2581
 FOREIGN = 0x110000  # stands for U+2581 in a text
-SLICE_BYTES = 1 << 18
-KNOWN_CHARS = 3 << 19
+SLICE_BYTES = 1 << 17
+KNOWN_CHARS = 1 << 20
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
