@@ -120,7 +120,7 @@ def validate_contracts(df: DataFrame, contracts: Sequence[Contract]) -> DataFram
                 outside = outside | (value > high)
             bad = ~gone & outside
         else:
-            bad = F.lit(False)
+            raise ValueError(f"unknown rule type {c.rule_type!r}, choose from NOT_NULL, FORMAT, RANGE")
         aggs.append(F.count_if(bad).alias(f"_b{i}"))
     rows = []
     for i, c in enumerate(contracts):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -144,7 +145,7 @@ def read_payload(spark: SparkSession, path: str, *, records_field: str | None =
 
 
 def is_query(text: str) -> bool:
-    return text.strip().lower().startswith(("select", "with"))
+    return re.match(r"\s*(select|with)(?!\w)", text, re.IGNORECASE) is not None
 
 
 def read_table_or_query(spark: SparkSession, table_or_query: str) -> DataFrame:
