@@ -36,8 +36,7 @@ def _detected(spark, sf_dir):
     writers.write_layer(source, f"{root}/s.json", fmt="json")
     counts = []
     for kind in ("csv", "parquet", "json"):
-        extra = {"multiline": False} if kind == "json" else {}
-        rows = readers.load(spark, f"{root}/s.{kind}", schema=source.schema, **extra)
+        rows = readers.load(spark, f"{root}/s.{kind}", schema=source.schema)
         counts.append(rows.agg(F.lit(kind).alias("kind"), F.count("s_suppkey").alias("n")))
     return readers.union_all(counts)
 

@@ -30,7 +30,7 @@ def _json(spark, sf_dir):
     path = shared_dir(spark, "json")
     source = table(spark, sf_dir, "orders")
     source.write.json(path)
-    rows = readers.load(spark, path, format="json", schema=source.schema, multiline=False)
+    rows = readers.load(spark, path, format="json", schema=source.schema)
     return rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 

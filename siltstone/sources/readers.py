@@ -114,8 +114,8 @@ def _cast_inferred(raw: DataFrame) -> DataFrame:
     return raw.select(*casts)
 
 
-def read_json(spark: SparkSession, path: str | Sequence[str], schema=None, *, multiline: bool = True) -> DataFrame:
-    """JSON files: one document per file, or one per line with `multiline=False` (which splits)."""
+def read_json(spark: SparkSession, path: str | Sequence[str], schema=None, *, multiline: bool = False) -> DataFrame:
+    """JSON files: one document per line (which splits), or one per file with `multiline=True`."""
     reader = spark.read.option("multiLine", str(multiline).lower())
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
