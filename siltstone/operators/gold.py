@@ -46,3 +46,11 @@ def build_gold(
         F.count(F.lit(1)).alias("_record_count"),
     )
     return gold, f"Aggregated by {keys}"
+
+
+def merge_groups(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Aggregates of several loads as one: the sums and counts of a group add up, in the types they have."""
+    sums = [f for f in parts.schema.fields if f.name not in keys]
+    return parts.groupBy(*[F.col(q(k)) for k in keys]).agg(
+        *[F.coalesce(F.sum(q(f.name)), F.lit(0)).cast(f.dataType).alias(f.name) for f in sums]
+    )

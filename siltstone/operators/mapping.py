@@ -101,6 +101,16 @@ def build_mapping(
     return rows
 
 
+def with_personal(mapping: Sequence[MappingRow], schema: T.StructType, pii: Sequence[str]) -> list[MappingRow]:
+    """A saved mapping, which also hashes the personal columns that it does not know."""
+    known = {row.source_column for row in mapping}
+    fresh = [f for f in schema.fields if f.name not in known and f.name in pii]
+    return [
+        *mapping,
+        *[MappingRow(f.name, f.dataType.simpleString(), f.name, "SHA256_hash", f.name, True, False, 0.0, "n/a") for f in fresh],
+    ]
+
+
 MAPPING_SCHEMA = (
     "source_column string, source_dtype string, silver_column string, silver_transform string, "
     "gold_column string, is_pii boolean, is_key boolean, null_pct double, scd_type string"

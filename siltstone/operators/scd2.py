@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,17 @@ def first_load(batch: DataFrame, tracked: Sequence[str], as_of) -> DataFrame:
     )
 
 
+def _same(current: DataFrame, columns: Sequence[str]) -> Column:
+    """The old and the new row agree in these columns; maps have no order, so they are compared as text."""
+    parts = []
+    for c in columns:
+        sides = [F.col(f"{side}.{q(c)}") for side in ("old", "new")]
+        if "map<" in current.schema[c].dataType.simpleString():
+            sides = [F.to_json(F.struct(side)) for side in sides]
+        parts.append(sides[0].eqNullSafe(sides[1]))
+    return reduce(lambda a, b: a & b, parts, F.lit(True))
+
+
 def classify(
     current: DataFrame,
     batch: DataFrame,
@@ -63,14 +75,19 @@ def classify(
     enough to broadcast by `spark.sql.autoBroadcastJoinThreshold`; otherwise it
     shuffles both. `snapshot=True` says that the batch is about as large as gold
     and joins the two sides once.
+
+    A row has changed if a tracked column that both sides have holds another
+    value, null-safe. So the order of the batch's columns, the session's time
+    zone, a column the batch lacks and a new column without values change nothing.
     """
     types = {f.name: f.dataType for f in current.schema.fields}
-    # Hashes compare text, so values must first have the types gold has.
+    # Values are compared in, and hashed as, the types and the order gold has.
+    tracked = [c for c in current.columns if c in tracked] + [c for c in tracked if c not in types]
     aligned = batch.select(
         *[F.col(q(c)).cast(types[c]).alias(c) if c in types else F.col(q(c)) for c in batch.columns]
     )
     single = one_row_per_key(aligned, keys, order_by, keep_key=True)
-    single = single.withColumn("_change_hash", change_hash(single, tracked))
+    single = single.withColumn("_change_hash", change_hash(single, [c for c in tracked if c in single.columns]))
     # Both sides hold one row per key, so no key can be hot in these joins.
     left = current.select(key_of(keys), F.struct(*[F.col(q(c)) for c in current.columns]).alias("old"))
     right = single.select(KEY, F.struct(*[F.col(q(c)) for c in single.columns if c != KEY]).alias("new"))
@@ -85,13 +102,18 @@ def classify(
         "status",
         F.when(F.col("old").isNull(), F.lit("new"))
         .when(F.col("new").isNull(), F.lit("missing"))
-        .when(F.col("old._change_hash") == F.col("new._change_hash"), F.lit("unchanged"))
+        .when(_same(current, [c for c in tracked if c in types and c in single.columns]), F.lit("unchanged"))
         .otherwise(F.lit("changed")),
     )
 
 
 def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expire_missing: bool = False) -> DataFrame:
-    """The versions that follow from a classified batch: kept, expired and inserted rows."""
+    """The versions that follow from a classified batch: kept, expired and inserted rows.
+
+    A column the batch lacks keeps its value. A version cannot end before it
+    began: a batch dated before the version it would end raises when the result
+    is computed, before a table publishes it.
+    """
     now, open_end = _stamp(as_of), F.lit(None).cast("timestamp")
     names = [f.name for f in classified.schema["old"].dataType.fields]
     arrived = {f.name for f in classified.schema["new"].dataType.fields}
@@ -102,8 +124,10 @@ def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expi
 
     old = {c: F.col(f"old.{q(c)}") for c in names}
     kept = version(old)
-    expired = version({**old, "_valid_to": now, "_is_current": F.lit(False)})
-    fresh = {c: F.col(f"new.{q(c)}") if c in arrived else F.lit(None) for c in names}
+    late = F.concat(F.lit("the batch is dated "), now.cast("string"), F.lit(", its version began "), old["_valid_from"].cast("string"))
+    end = F.when(now < old["_valid_from"], F.raise_error(late).cast("timestamp")).otherwise(now)
+    expired = version({**old, "_valid_to": end, "_is_current": F.lit(False)})
+    fresh = {c: F.col(f"new.{q(c)}") if c in arrived else old[c] for c in names}
     inserted = version(
         {**fresh, "_valid_from": now, "_valid_to": open_end, "_is_current": F.lit(True), "_last_updated": now}
     )

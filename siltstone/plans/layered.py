@@ -12,22 +12,29 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.digest import quoted
 from siltstone.functions.names import pii_columns
-from siltstone.operators.gold import build_gold, split_columns
+from siltstone.operators.gold import build_gold, merge_groups, split_columns
 from siltstone.operators.incremental import date_window, load_watermark, newer_than, save_watermark
 from siltstone.operators.keys import one_row_per_key
-from siltstone.operators.mapping import MappingRow, build_mapping, needs_cardinality
+from siltstone.operators.mapping import MappingRow, build_mapping, needs_cardinality, with_personal
 from siltstone.operators.profile import column_profile, timestamp_column
 from siltstone.operators.quality import gate, quality_checks, scorecard
 from siltstone.operators.scd2 import classify, default_keys, first_load, scd1_upsert, versions_after, widened
 from siltstone.operators.silver import build_silver
 from siltstone.plans.runlog import log_table, transform_log
 from siltstone.sources import writers
-from siltstone.sources.tables import HistoryTable, VersionedTable
+from siltstone.sources.tables import HistoryTable, PartedTable, VersionedTable
 
 
 @dataclass
 class RunConfig:
-    """What a run does. Paths must be visible to all executors."""
+    """What a run does. Paths must be visible to all executors.
+
+    `silver_table_mode` and `gold_table_mode` are `table_mode` where not given.
+    An appended table gets the rows of the run, once per run id; gold that is a
+    whole (an aggregate, an upsert, a history) can only be replaced. Incremental
+    runs have all flag columns unless `fixed_schema` is false, so that what they
+    write fits together.
+    """
 
     root: str
     keys: tuple[str, ...] = ()
@@ -51,11 +58,13 @@ class RunConfig:
     group_by: str = ""
     batch_order: tuple[str, ...] = ()
     expire_missing: bool = False
-    fixed_schema: bool = False
+    fixed_schema: bool | None = None
     profile_distinct: str = "approx"
     silver_table: str | None = None
     gold_table: str | None = None
     table_mode: str = "replace"
+    silver_table_mode: str | None = None
+    gold_table_mode: str | None = None
     as_of: str | None = None
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -81,8 +90,16 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     Each layer is written once and the next reads what was written, so a lost
     executor costs a few tasks, not the run, and counters come from the written
     tables: a rerun task cannot count twice. A saved mapping may be passed in
-    so that later loads keep the first one's decisions.
+    so that later loads keep the first one's decisions; a column it does not know
+    is hashed if its name is personal and passes through otherwise.
+
+    An increment is one part of bronze, silver and a copied or aggregated gold,
+    named by its window or else its run id; the same window again replaces its
+    part. Windows must not overlap: rows in two of them are in both parts. A full
+    load leaves the parts of bronze and silver alone and starts gold anew.
     """
+    if config.gold_table and _mode(config, "gold") == "append" and config.gold_mode != "passthrough":
+        raise ValueError(f"gold of mode {config.gold_mode} is a whole, its table can only be replaced")
     windowed = config.window_start is not None or config.window_end is not None
     incremental = windowed or config.watermark is not None
     stamp = config.timestamp or timestamp_column(source)
@@ -91,9 +108,11 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
         source = date_window(source, stamp, config.window_start, config.window_end)
     last = load_watermark(spark, marks).watermark if config.watermark else None
     source = newer_than(source, config.watermark, last, keep_null=config.watermark_keep_null)
-    bronze = _bronze(spark, source, config, windowed)
+    part = _part(config, windowed)
+    bronze = _bronze(spark, source, config, windowed, part)
 
     profile = None
+    personal = pii_columns(bronze.columns, match=config.pii_match, allow=config.pii_allow, deny=config.pii_deny)
     if mapping is None:
         exact = needs_cardinality(bronze.schema) if not config.null_override else []
         found = column_profile(bronze, distinct=config.profile_distinct, exact_for=exact, scan="per_column")
@@ -102,16 +121,19 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
         mapping = build_mapping(
             bronze.schema,
             profile.collect(),
-            pii=pii_columns(bronze.columns, match=config.pii_match, allow=config.pii_allow, deny=config.pii_deny),
+            pii=personal,
             keys=config.keys,
             scd_type="2" if config.gold_mode == "scd2" else "1",
             override=config.null_override,
         )
-    order = config.order_by or tuple(c for c in (stamp, *config.keys) if c)
-    built = build_silver(bronze, mapping, rules=config.rules, order_by=order, fixed_schema=config.fixed_schema)
+    else:
+        mapping = with_personal(mapping, bronze.schema, personal)
+    fixed = incremental if config.fixed_schema is None else config.fixed_schema
+    order = config.order_by or _fill_order(bronze, mapping, (stamp, *config.keys))
+    built = build_silver(bronze, mapping, rules=config.rules, order_by=order, fixed_schema=fixed)
     if built.source_rows is None:
         built.source_rows = bronze.count()
-    silver_path = f"{config.root}/silver" + (f"/run={config.run_id}" if incremental else "")
+    silver_path = f"{config.root}/silver_parts/part={part}" if incremental else f"{config.root}/silver"
     writers.write_layer(built.df, silver_path)
     silver = spark.read.parquet(silver_path)
 
@@ -126,11 +148,9 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     writers.append_records(log, f"{config.root}/run_log", config.run_id)
     gate(card, on_fail=config.on_fail, min_score=config.min_score, checks=checks)
 
-    gold, note = _gold(spark, silver, config, incremental)
-    if config.silver_table:
-        writers.write_table(silver, config.silver_table, mode=config.table_mode)
-    if config.gold_table:
-        writers.write_table(gold, config.gold_table, mode=config.table_mode)
+    gold, added, note = _gold(spark, silver, config, incremental, part)
+    _to_table(spark, config, "silver", config.silver_table, silver, silver)
+    _to_table(spark, config, "gold", config.gold_table, gold, added)
     if config.watermark:
         # Only now that everything is written; a failed run is repeated from the old mark.
         newest = bronze.agg(F.max(quoted(config.watermark)).cast("string")).first()[0]
@@ -139,38 +159,82 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     return RunResult(bronze, silver, gold, checks, card, log, profile, mapping, note)
 
 
-def _bronze(spark: SparkSession, source: DataFrame, config: RunConfig, windowed: bool) -> DataFrame:
-    """The raw copy: one partition per window end or per run past a watermark, else the whole table."""
+def _moment(bound: str | None) -> str:
+    return "open" if bound is None else dt.datetime.fromisoformat(str(bound)).strftime("%Y%m%dT%H%M%S.%f%z")
+
+
+def _part(config: RunConfig, windowed: bool) -> str:
+    """The name of an increment: its whole window, so that two of one day differ, or its run."""
+    return f"{_moment(config.window_start)}_{_moment(config.window_end)}" if windowed else f"run-{config.run_id}"
+
+
+def _bronze(spark: SparkSession, source: DataFrame, config: RunConfig, windowed: bool, part: str) -> DataFrame:
+    """The raw copy: one folder per window or per run past a watermark, else the whole table."""
     if windowed:
-        day = (config.window_end or config.window_start)[:10]
-        path = f"{config.root}/bronze"
-        writers.write_bronze(source, path, day)
-        return writers.read_bronze(spark, path, [day])
-    if config.watermark:
-        path = f"{config.root}/bronze_runs"
-        writers.write_layer(source, f"{path}/run_id={config.run_id}")
-        return spark.read.parquet(f"{path}/run_id={config.run_id}")
-    path = f"{config.root}/bronze_full"
+        path = f"{config.root}/bronze/window={part}"
+    elif config.watermark:
+        path = f"{config.root}/bronze_runs/run_id={config.run_id}"
+    else:
+        path = f"{config.root}/bronze_full"
     writers.write_bronze(source, path)
     return writers.read_bronze(spark, path)
 
 
-def _gold(spark: SparkSession, silver: DataFrame, config: RunConfig, incremental: bool) -> tuple[DataFrame, str]:
+def _fill_order(bronze: DataFrame, mapping: list[MappingRow], wanted: tuple) -> tuple[str, ...]:
+    """The wanted order columns but for those to be filled along it; all other columns where none is left."""
+    filled = {row.source_column for row in mapping if row.strategy == "ffill_bfill_else_drop"}
+    left = tuple(c for c in wanted if c and c not in filled)
+    return left or tuple(c for c in bronze.columns if c not in filled)
+
+
+def _mode(config: RunConfig, layer: str) -> str:
+    return (config.silver_table_mode if layer == "silver" else config.gold_table_mode) or config.table_mode
+
+
+def _to_table(spark: SparkSession, config: RunConfig, layer: str, name: str | None, whole: DataFrame, added: DataFrame) -> None:
+    """Replace a catalog table by the whole layer, or append the run's rows unless this run id already has."""
+    if name is None:
+        return
+    mode = _mode(config, layer)
+    if mode != "append":
+        writers.write_table(whole, name, mode=mode)
+        return
+    done = VersionedTable(spark, f"{config.root}/{layer}_table_appends")
+    if not done.has(config.run_id):
+        writers.write_table(added, name, mode=mode)
+        done.publish((done.latest() or 0) + 1, config.run_id, added.schema)
+
+
+def _gold(
+    spark: SparkSession, silver: DataFrame, config: RunConfig, incremental: bool, part: str
+) -> tuple[DataFrame, DataFrame, str]:
+    """All of gold, the rows this run adds to a copy, and what was done."""
     as_of = config.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     path = f"{config.root}/gold_{config.gold_mode}"
-    if config.gold_mode == "scd2" and incremental:
+    if config.gold_mode == "scd2":
         table = HistoryTable(spark, path)
         apply_batch(table, silver, config.keys, as_of, label=config.run_id, order_by=config.batch_order, expire_missing=config.expire_missing)
-        return table.read(), "SCD type 2"
-    table = VersionedTable(spark, path)
-    if config.gold_mode == "scd1" and incremental:
+        return table.read(), silver, "SCD type 2"
+    whole = VersionedTable(spark, path)
+    if config.gold_mode == "scd1":
         keys, _ = default_keys(silver.columns, config.keys)
-        gold, note = scd1_upsert(table.read(), silver, keys, config.batch_order), "SCD type 1"
+        before = whole.read() if incremental else None
+        whole.replace(scd1_upsert(before, silver, keys, config.batch_order), config.run_id)
+        return whole.read(), silver, "SCD type 1"
+    group = split_columns(config.group_by) if config.gold_mode == "aggregate" else []
+    rows, note = build_gold(silver, group)
+    keys = [c for c in group if c in silver.columns]
+    summed = note.startswith("Aggregated")
+    # An aggregate keeps the sums of each load, which are small, beside the merged table.
+    parts = PartedTable(spark, f"{path}_parts" if summed else path)
+    if incremental:
+        parts.add_part(rows, part)
     else:
-        group = split_columns(config.group_by) if config.gold_mode == "aggregate" else ()
-        gold, note = build_gold(silver, group)
-    table.replace(gold, config.run_id)
-    return table.read(), note
+        parts.replace(rows, config.run_id)
+    if summed:
+        whole.replace(merge_groups(parts.read(), keys), config.run_id)
+        return whole.read(), rows, note
+    return parts.read(), rows, note
 
 
 def apply_batch(

@@ -74,6 +74,39 @@ class VersionedTable:
         return version
 
 
+PART = "_part"
+
+
+class PartedTable(VersionedTable):
+    """A table that grows by parts, each named by the load that wrote it.
+
+    `replace` starts anew with one part. `add_part` writes one folder and leaves
+    the others alone; a part of the same name is replaced, so a repeated load
+    counts once. Parts may bring columns of their own, which are null in others.
+    """
+
+    def _folder(self, version: int, part: str) -> str:
+        return f"{self.path(version)}/{PART}={part}"
+
+    def read(self) -> DataFrame | None:
+        version = self.latest()
+        if version is None:
+            return None
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path(version)).drop(PART)
+
+    def replace(self, df: DataFrame, label: str) -> int:
+        version = (self.latest() or 0) + 1
+        df.write.mode("overwrite").parquet(self._folder(version, "full"))
+        self.publish(version, label, df.schema)
+        return version
+
+    def add_part(self, df: DataFrame, part: str) -> None:
+        version = self.latest()
+        df.write.mode("overwrite").parquet(self._folder(version or 1, part))
+        if version is None:
+            self.publish(1, part, df.schema)
+
+
 def _schema(line: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(line["schema"]))
 

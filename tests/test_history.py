@@ -9,6 +9,7 @@ from siltstone.plans.layered import RunConfig, apply_batch, run
 from siltstone.operators.quality import QualityGateError
 from siltstone.session import shared_dir
 from siltstone.sources.tables import HistoryTable, VersionedTable
+from siltstone.streaming.ingest import file_stream, stream_history
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 
@@ -135,7 +136,9 @@ def test_history_table_starts_empty_and_takes_new_columns(spark):
     assert got == [(1, "w", True), (1, None, False), (2, None, True)]
     narrower = spark.createDataFrame([(2, 2)], "k int, r int")
     apply_batch(table, narrower, ["k", "r"], T3, label="three")
-    assert table.current().filter("k = 2").first()["v"] is None
+    # What the batch does not bring keeps its value, and without a change there is no version.
+    assert table.current().filter("k = 2").first()["v"] == "b"
+    assert table.read().count() == 3
 
 
 def test_versioned_table_can_be_replaced_from_itself(spark):
@@ -294,3 +297,85 @@ def test_tables_and_upsert_mode(spark):
     config = RunConfig(root=root, keys=("id",), gold_mode="scd1", timestamp="at", window_end="2024-01-02", silver_table=name + "_s", gold_table=name + "_g")
     run(spark, sales(spark, (1, 5.0, "2024-01-01T05:00:00")), config)
     assert spark.table(name + "_g").count() == 1 and spark.table(name + "_s").count() == 1
+
+
+def test_a_batch_in_another_shape_makes_no_false_history(spark):
+    gold = HistoryTable(spark, shared_dir(spark, "gold"))
+    first = spark.sql("SELECT 1 AS k, 'x' AS v, timestamp'2024-01-01 05:00:00' AS at, map('a', 1) AS m")
+    apply_batch(gold, first, ["k"], T1, label="one")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        moved = first.select("m", "at", "v", "k").withColumn("fresh", F.lit(None).cast("string"))
+        apply_batch(gold, moved, ["k"], T2, label="two")
+        assert gold.read().count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    changed = spark.sql("SELECT 1 AS k, 'y' AS v")
+    apply_batch(gold, changed, ["k"], T2, label="three")
+    assert sorted((r["v"], r["m"]["a"], r["_is_current"]) for r in gold.read().collect()) == [("x", 1, False), ("y", 1, True)]
+
+
+def test_a_batch_from_before_a_version_raises(spark):
+    gold = HistoryTable(spark, shared_dir(spark, "gold"))
+    apply_batch(gold, orders(spark, (1, 1, "a")), ["k", "r"], T2, label="one")
+    with pytest.raises(Exception, match="its version began"):
+        apply_batch(gold, orders(spark, (1, 1, "b")), ["k", "r"], T1, label="two")
+    assert state(gold.read()) == [(1, 1, "a", T2, "None", True)]
+
+
+def test_two_streams_into_one_history(spark):
+    root = shared_dir(spark, "streams")
+    schema = "k int, r int, v string"
+    for name, row in (("a", (1, 1, "a")), ("b", (2, 2, "b"))):
+        orders(spark, row).write.parquet(f"{root}/{name}")
+        stream = file_stream(spark, f"{root}/{name}", schema)
+        stream_history(stream, f"{root}/gold", f"{root}/{name}-marks", ["k", "r"], lambda i: T1, trigger="available").awaitTermination()
+    assert [r[0] for r in state(HistoryTable(spark, f"{root}/gold").read())] == [1, 2]
+
+
+HOURS = [f"2024-01-01T{h:02}:00:00" for h in range(24)]
+
+
+@pytest.mark.parametrize("mode", ["passthrough", "aggregate", "scd1", "scd2"])
+def test_windows_of_one_day_and_a_full_load_lose_nothing(spark, mode):
+    root = shared_dir(spark, "run")
+    name = "w" + root.rsplit("-", 1)[-1]
+    everything = sales(spark, *[(i, -1.0 if i == 20 else 2.0, t) for i, t in enumerate(HOURS)])
+    base = dict(root=root, keys=("id",), timestamp="at", gold_mode=mode, group_by="at_day", null_override="flag",
+                rules="at_day = cast(at as date)", silver_table=name, silver_table_mode="append", as_of=T1)
+    windows = [("2024-01-01", "2024-01-01 10:00:00"), ("2024-01-01 10:00", "2024-01-02")]
+    first = run(spark, everything, RunConfig(window_start=windows[0][0], window_end=windows[0][1], run_id="a", **base))
+    for _ in range(2):  # the second window, and the same run again
+        last = run(spark, everything, RunConfig(window_start=windows[1][0], window_end=windows[1][1], run_id="b", **base), first.mapping)
+
+    def check(gold):
+        if mode == "aggregate":
+            assert [(r["id"], r["amount"], r["amount_had_negative"], r["_record_count"]) for r in gold.collect()] == [(276, 46.0, 1, 24)]
+        else:
+            assert sorted(r["id"] for r in gold.collect()) == list(range(24))
+
+    check(last.gold)
+    assert spark.read.parquet(f"{root}/bronze").count() == 24 and spark.read.parquet(f"{root}/silver_parts").count() == 24
+    assert spark.table(name).count() == 24
+    check(run(spark, everything, RunConfig(run_id="c", **{**base, "silver_table": None}), first.mapping).gold)
+    assert spark.read.parquet(f"{root}/silver_parts").count() == 24
+
+
+def test_gold_that_is_a_whole_is_not_appended(spark):
+    config = RunConfig(root=shared_dir(spark, "run"), gold_mode="scd2", gold_table="t", table_mode="append")
+    with pytest.raises(ValueError, match="only be replaced"):
+        run(spark, sales(spark, (1, 5.0, HOURS[0])), config)
+
+
+def test_a_personal_column_that_comes_later_is_hashed(spark):
+    root = shared_dir(spark, "run")
+    one = run(spark, sales(spark, (1, 5.0, HOURS[0])), RunConfig(root=root, timestamp="at"))
+    later = sales(spark, (2, 5.0, HOURS[1])).withColumn("customer_phone", F.lit("+1 555 0100"))
+    two = run(spark, later, RunConfig(root=root, timestamp="at"), one.mapping)
+    assert len(two.gold.first()["customer_phone"]) == 64
+
+
+def test_a_key_with_a_null_is_filled_along_the_rest(spark):
+    rows = sales(spark, *[(i, 1.0, t) for i, t in enumerate(HOURS)]).withColumn("id", F.expr("nullif(id, 7)"))
+    done = run(spark, rows, RunConfig(root=shared_dir(spark, "run"), keys=("id",), timestamp="at", on_fail="warn"))
+    assert sorted(r["id"] for r in done.gold.collect()) == sorted([*range(7), 6, *range(8, 24)])
