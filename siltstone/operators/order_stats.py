@@ -32,6 +32,7 @@ class _Bracket:
     distinct: int
     answer: float | None = None
     misses: int = 0
+    stuck: bool = False
 
     def holds(self) -> Column:
         return F.col(q(self.column)).between(F.lit(self.low), F.lit(self.high))
@@ -51,9 +52,12 @@ def order_statistics(
 ) -> dict[tuple[str, int], float]:
     """Value at each 0-based rank of each double column, nulls left out.
 
-    The columns must be doubles without NaN. Only one row of statistics per
-    round reaches the driver.
+    The columns must be doubles without NaN; infinity is a value like others.
+    Only one row of statistics per round reaches the driver. A bracket that no
+    longer shrinks is given to `percentile_disc` as it is.
     """
+    if accuracy < 10:
+        raise ValueError("accuracy below 10 narrows nothing")
     if not ranks:
         return {}
     stats = df.agg(
@@ -78,20 +82,15 @@ def order_statistics(
         for b in brackets:
             if b.low == b.high:
                 b.answer = b.low
-        wide = [b for b in brackets if b.answer is None and b.distinct > max_distinct]
+        wide = [b for b in brackets if b.answer is None and not b.stuck and b.distinct > max_distinct]
         if not wide:
             break
         _narrow(df, wide, accuracy)
     open_ = [b for b in brackets if b.answer is None]
     if open_:
-        found = df.agg(
-            *[
-                F.expr(
-                    f"percentile_disc({b.share!r}D) within group (order by {q(b.column)}) "
-                    f"filter (where {q(b.column)} between {b.low!r}D and {b.high!r}D)"
-                ).alias(f"p{i}")
-                for i, b in enumerate(open_)
-            ]
+        inside = df.select(*[F.when(b.holds(), F.col(q(b.column))).alias(f"v{i}") for i, b in enumerate(open_)])
+        found = inside.agg(
+            *[F.expr(f"percentile_disc({b.share!r}D) within group (order by v{i})").alias(f"p{i}") for i, b in enumerate(open_)]
         ).first()
         for i, b in enumerate(open_):
             b.answer = found[f"p{i}"]
@@ -123,7 +122,9 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
     for i, (b, (low, high)) in enumerate(zip(brackets, cuts)):
         below, inside, distinct = counted[f"b{i}"], counted[f"i{i}"], counted[f"d{i}"]
         if below <= b.rank < below + inside:
+            b.stuck = inside >= b.inside
             b.low, b.high, b.below, b.inside, b.distinct = low, high, below, inside, distinct
         else:
             # The sketch missed the rank: keep the bracket, guess wider.
+            b.stuck = margins[i] >= 1
             b.misses += 1

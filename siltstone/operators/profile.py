@@ -135,37 +135,24 @@ def top_null_columns(profile: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def parse_share(df: DataFrame, columns: Sequence[str], sample_rows: int | None = None) -> DataFrame:
-    """Per text column the share of non-null values that parse as a time stamp."""
-    def one(name: str) -> DataFrame:
-        values = df.select(F.col(q(name)).alias("v")).filter("v is not null")
-        if sample_rows is not None:
-            values = values.limit(sample_rows)
-        return values.agg(
-            F.lit(name).alias("column"),
-            F.count("v").alias("values"),
-            F.count(F.try_to_timestamp("v")).alias("parsed"),
-        )
-
-    if sample_rows is not None:
-        parts = [one(c) for c in columns]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-    else:
-        aggs = []
-        for i, c in enumerate(columns):
-            aggs += [F.count(q(c)).alias(f"_v{i}"), F.count(F.try_to_timestamp(q(c))).alias(f"_p{i}")]
-        rows = [
-            F.struct(F.lit(c).alias("column"), F.col(f"_v{i}").alias("values"), F.col(f"_p{i}").alias("parsed"))
-            for i, c in enumerate(columns)
-        ]
-        out = df.agg(*aggs).select(F.inline(F.array(*rows)))
+def parse_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per text column the share of non-null values that parse as a time stamp; one aggregate."""
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs += [F.count(q(c)).alias(f"_v{i}"), F.count(F.try_to_timestamp(q(c))).alias(f"_p{i}")]
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.col(f"_v{i}").alias("values"), F.col(f"_p{i}").alias("parsed"))
+        for i, c in enumerate(columns)
+    ]
+    out = df.agg(*aggs).select(F.inline(F.array(*rows)))
     return out.withColumn("share", F.coalesce(F.col("parsed") / F.nullif(F.col("values").cast("double"), F.lit(0.0)), F.lit(0.0)))
 
 
-def timestamp_column(df: DataFrame, sample_rows: int | None = 100) -> str | None:
-    """The row's time stamp: by name, else by type, else the first text column that mostly parses."""
+def timestamp_column(df: DataFrame) -> str | None:
+    """The row's time stamp: by name, else by type, else the first text column that mostly parses.
+
+    Only the last needs the data: one aggregate over the text columns of all rows.
+    """
     for name in df.columns:
         if name.lower() in TIMESTAMP_NAMES:
             return name
@@ -174,7 +161,7 @@ def timestamp_column(df: DataFrame, sample_rows: int | None = 100) -> str | None
             return f.name
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if text:
-        shares = {r["column"]: r["share"] for r in parse_share(df, text, sample_rows).collect()}
+        shares = {r["column"]: r["share"] for r in parse_share(df, text).collect()}
         for name in text:
             if shares[name] > 0.8:
                 return name
@@ -196,30 +183,25 @@ def role_by_name(name: str) -> str | None:
     return None
 
 
-def column_roles(df: DataFrame, sample_rows: int | None = 50) -> DataFrame:
+def column_roles(df: DataFrame) -> DataFrame:
     """One row per column: id, timestamp, numeric_metric, categorical or text.
 
-    With `sample_rows=None` the share of numbers is taken over all values. Few
-    distinct values (< 30) are counted by sketch first; the sketch is exact far
-    beyond 30.
+    The share of numbers is taken over all values, in one aggregate. Few distinct
+    values (< 30) are counted by sketch; the sketch is exact far beyond 30.
     """
     undecided = [f for f in df.schema.fields if role_by_name(f.name) is None]
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    source = df.limit(sample_rows) if sample_rows is not None else df
-    sample_aggs = []
     for i, f in enumerate(undecided):
         # Numbers need no look at their text, which Spark may write as 1.0E7.
         text = F.trim(F.col(q(f.name)).cast("string"))
         plain = F.col(q(f.name)).isNotNull() if family(f.dataType) == "numeric" else text.rlike(PLAIN_NUMBER)
-        sample_aggs += [F.count(text).alias(f"_v{i}"), F.count_if(plain).alias(f"_m{i}")]
-        aggs.append(approx_distinct(F.col(q(f.name))).alias(f"_d{i}"))
-    if sample_rows is None:
-        stats = df.agg(*aggs, *sample_aggs)
-        numbers = {f.name: (F.col(f"_v{i}"), F.col(f"_m{i}")) for i, f in enumerate(undecided)}
-    else:
-        shares = source.agg(F.lit(1).alias("_one"), *sample_aggs).first()
-        stats = df.agg(*aggs)
-        numbers = {f.name: (F.lit(shares[f"_v{i}"]), F.lit(shares[f"_m{i}"])) for i, f in enumerate(undecided)}
+        aggs += [
+            F.count(text).alias(f"_v{i}"),
+            F.count_if(plain).alias(f"_m{i}"),
+            approx_distinct(F.col(q(f.name))).alias(f"_d{i}"),
+        ]
+    stats = df.agg(*aggs)
+    numbers = {f.name: (F.col(f"_v{i}"), F.col(f"_m{i}")) for i, f in enumerate(undecided)}
     index = {f.name: i for i, f in enumerate(undecided)}
     rows = []
     for f in df.schema.fields:

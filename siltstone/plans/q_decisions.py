@@ -58,7 +58,7 @@ def _date_like(spark, sf_dir):
 def _timestamp(spark, sf_dir):
     # Found by parsing: neither the name nor the type gives it away.
     orders = table(spark, sf_dir, "orders").select("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("created"))
-    name = timestamp_column(orders, sample_rows=None)
+    name = timestamp_column(orders)
     return orders.agg(F.lit(name).alias("column"), F.count(name).alias("values"))
 
 

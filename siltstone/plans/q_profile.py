@@ -107,12 +107,12 @@ def roles_sql(source: str, fixed: dict[str, str], open_: list[str]) -> str:
 
 @query("p07_column_roles", roles_sql("events", {"event_id": "id", "ts": "timestamp", "user_id": "id"}, ["event_type", "value", "props"]))
 def _roles(spark, sf_dir):
-    return column_roles(table(spark, sf_dir, "events"), sample_rows=None)
+    return column_roles(table(spark, sf_dir, "events"))
 
 
 @query("p07_document_roles", roles_sql("documents", {"doc_id": "id"}, ["text", "lang", "source", "n_chars"]))
 def _document_roles(spark, sf_dir):
-    return column_roles(table(spark, sf_dir, "documents"), sample_rows=None)
+    return column_roles(table(spark, sf_dir, "documents"))
 
 
 @query(
@@ -164,7 +164,7 @@ def _strip(spark, sf_dir):
 )
 def _dates(spark, sf_dir):
     sales = dirty_sales(spark, sf_dir).select("transaction_id", "transaction_date", "customer_phone")
-    parsed = parse_dates(sales, date_text_columns(sales, sample_rows=None))
+    parsed = parse_dates(sales, date_text_columns(sales))
     return parsed.withColumn("transaction_date", F.date_format("transaction_date", STAMP))
 
 

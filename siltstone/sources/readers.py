@@ -67,11 +67,15 @@ def read_csv(
 
     With a schema, text that does not fit its type raises, or becomes null with
     `on_bad="null"`. Without one, types are inferred over all rows: bigint,
-    double, boolean or string; dates stay text.
+    double, boolean or string; dates stay text. A row with more or fewer fields
+    than the header raises too; with `on_bad="null"` missing fields are null and
+    surplus ones are left out.
     """
     if on_bad not in ("raise", "null"):
         raise ValueError("on_bad is 'raise' or 'null'")
-    settings = {"header": "true", "escape": '"', "multiLine": str(multiline).lower(), **options}
+    # All fields are parsed when rows may raise: pruning would hide surplus ones.
+    strict = {"mode": "FAILFAST", "columnPruning": "false"} if on_bad == "raise" else {}
+    settings = {"header": "true", "escape": '"', "multiLine": str(multiline).lower(), **strict, **options}
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     reader = spark.read.options(**settings)
@@ -114,18 +118,28 @@ def _cast_inferred(raw: DataFrame) -> DataFrame:
     return raw.select(*casts)
 
 
-def read_json(spark: SparkSession, path: str | Sequence[str], schema=None, *, multiline: bool = False) -> DataFrame:
-    """JSON files: one document per line (which splits), or one per file with `multiline=True`."""
-    reader = spark.read.option("multiLine", str(multiline).lower())
+def read_json(
+    spark: SparkSession, path: str | Sequence[str], schema=None, *, multiline: bool = False, on_bad: str = "raise"
+) -> DataFrame:
+    """JSON files: one document per line (which splits), or one per file with `multiline=True`.
+
+    A broken document, or a value that does not fit the schema, raises; with
+    `on_bad="null"` what cannot be read is null.
+    """
+    if on_bad not in ("raise", "null"):
+        raise ValueError("on_bad is 'raise' or 'null'")
+    mode = "FAILFAST" if on_bad == "raise" else "PERMISSIVE"
+    reader = spark.read.option("multiLine", str(multiline).lower()).option("mode", mode)
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
 def read_payload(spark: SparkSession, path: str, *, records_field: str | None = None, schema=None, multiline: bool = True) -> DataFrame:
     """Landed API payloads as rows.
 
-    A list of records is read as rows. Of an object, the field holding a list
-    of records is spread out; if there are several, name it. An object without
-    one is a row itself.
+    A list of records is read as rows, whatever lists the records hold. Of an
+    object, the field holding a list of records is spread out; if there are
+    several, name it. An object without one is a row itself. Lists beside objects
+    raise unless the field is named.
     """
     table = read_json(spark, path, schema, multiline=multiline)
     lists = [
@@ -134,6 +148,8 @@ def read_payload(spark: SparkSession, path: str, *, records_field: str | None =
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)
     ]
     if records_field is None:
+        if lists and _top_level_lists(spark, path, multiline):
+            return table
         if len(lists) > 1:
             raise ValueError(f"several lists of records, choose records_field from {lists}")
         if not lists:
@@ -144,6 +160,16 @@ def read_payload(spark: SparkSession, path: str, *, records_field: str | None =
     return table.select(F.inline(q(records_field)))
 
 
+def _top_level_lists(spark: SparkSession, path: str, multiline: bool) -> bool:
+    """Whether the documents are lists of records; Spark reads such a list like single records."""
+    text = spark.read.text(path, wholetext=multiline)
+    starts = [F.count_if(F.col("value").rlike(rf"^\s*{c}")).alias(n) for c, n in ((r"\[", "lists"), (r"\{", "objects"))]
+    seen = text.agg(*starts).first()
+    if seen["lists"] and seen["objects"]:
+        raise ValueError("some documents are lists, others objects: choose records_field")
+    return bool(seen["lists"])
+
+
 def is_query(text: str) -> bool:
     return re.match(r"\s*(select|with)(?!\w)", text, re.IGNORECASE) is not None
 

@@ -230,3 +230,12 @@ def test_layouts_keep_all_rows(spark, layout):
 def test_record_schema(spark):
     df = spark.createDataFrame([("", 1), ("x", 1)], "t string, n int")
     assert [(r["dtype"], r["null_rate"], r["n_unique"]) for r in record_schema(df).collect()] == [("string", 0.5, 1), ("numeric", 0.0, 1)]
+
+
+def test_layout_of_names_that_only_look_like_dates_and_of_bad_dates(spark):
+    assert choose_layout([column("products", "string", 5), column("created", "numeric")], 200_000)[:2] == ("list", "products")
+    assert choose_layout([column("id", "numeric")], 10**12).granularity == "50000_buckets"
+    df = spark.createDataFrame([("2024-01-05",), ("soon",), (None,)], "day string")
+    path = shared_dir(spark, "layout")
+    write_layout(df, Layout("range", "day", "daily", ""), path)
+    assert sorted(str(r["_part"]) for r in spark.read.parquet(path).collect()) == ["2024-01-05", "None", "None"]

@@ -175,3 +175,28 @@ def test_no_local_checkpoint_or_python_udf_in_the_package():
             if name.endswith(".py"):
                 with open(os.path.join(folder, name)) as f:
                     assert not re.search(r"localCheckpoint|pandas_udf|\.rdd\b|F\.udf|crossJoin", f.read()), name
+
+
+def test_broken_rows_raise_or_become_null(spark, tmp_path):
+    (tmp_path / "fields.csv").write_text("a,b\n1,2\n3,4,5\n")
+    (tmp_path / "short.csv").write_text("a,b\n1,2\n6\n")
+    for name in ("fields.csv", "short.csv"):
+        for schema in (None, "a int, b int"):
+            with pytest.raises(Exception, match="(?i)malformed"):
+                readers.read_csv(spark, str(tmp_path / name), schema).select("a").collect()
+            assert readers.read_csv(spark, str(tmp_path / name), schema, on_bad="null").count() == 2
+    (tmp_path / "broken.jsonl").write_text('{"a": 1}\n{"a": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.load(spark, str(tmp_path / "broken.jsonl"), schema="a int").collect()
+    assert readers.read_json(spark, str(tmp_path / "broken.jsonl"), "a int", on_bad="null").count() == 2
+
+
+def test_records_that_hold_lists(spark, tmp_path):
+    (tmp_path / "list.json").write_text('[{"id": 1, "s": [{"x": 1}, {"x": 2}]}, {"id": 2, "s": []}]')
+    rows = readers.read_payload(spark, str(tmp_path / "list.json"))
+    assert sorted((r["id"], len(r["s"])) for r in rows.collect()) == [(1, 2), (2, 0)]
+    (tmp_path / "both").mkdir()
+    (tmp_path / "both" / "a.json").write_text('[{"id": 1, "s": [{"x": 1}]}]')
+    (tmp_path / "both" / "b.json").write_text('{"id": 3, "s": [{"x": 1}]}')
+    with pytest.raises(ValueError, match="others objects"):
+        readers.read_payload(spark, str(tmp_path / "both"))

@@ -72,9 +72,8 @@ def test_timestamp_column_passes(spark):
 
 def test_roles_of_numbers_and_text(spark):
     df = spark.createDataFrame([(1, 2.5e8, "7", "x", "2024")], "order_id int, big double, figure string, word string, ts string")
-    for sample in (50, None):
-        got = {r["column"]: r["role"] for r in column_roles(df, sample).collect()}
-        assert got == {"order_id": "id", "big": "numeric_metric", "figure": "numeric_metric", "word": "categorical", "ts": "timestamp"}
+    got = {r["column"]: r["role"] for r in column_roles(df).collect()}
+    assert got == {"order_id": "id", "big": "numeric_metric", "figure": "numeric_metric", "word": "categorical", "ts": "timestamp"}
 
 
 def test_long_text_counts_by_digest(spark):
@@ -258,3 +257,28 @@ def test_date_text(spark):
 def test_narrow_checks_both_ends(spark):
     df = spark.createDataFrame([(-(2**40), 1), (5, 2)], "a bigint, b bigint")
     assert dict(clean.narrow_integers(df).dtypes) == {"a": "bigint", "b": "int"}
+
+
+def test_first_rows_that_mislead_decide_nothing(spark):
+    # 150 dates and numbers come first, 850 words after them.
+    df = spark.range(0, 1000, 1, 1).selectExpr("if(id < 150, '2024-01-05', concat('word', id)) AS a", "if(id < 150, '7', concat('w', id)) AS b")
+    assert clean.date_text_columns(df) == [] and timestamp_column(df) is None
+    assert {r["column"]: r["role"] for r in column_roles(df).collect()} == {"a": "text", "b": "text"}
+    out, _ = clean.standard_clean(df)
+    assert out.filter("a IS NULL").count() == 0
+    mostly = spark.range(100).selectExpr("if(id % 10 = 0, concat('2024-99-0', id % 7, id), date_format(date_add(date'2024-01-01', int(id)), 'yyyy-MM-dd')) AS a")
+    _, log = clean.standard_clean(mostly)
+    assert next(s for s in log if s["action"].startswith("Date Parsing"))["rows_affected"].startswith("90 rows, 10 unreadable")
+
+
+@pytest.mark.parametrize("max_distinct", [100_000, 5])
+def test_order_statistics_of_infinite_values(spark, max_distinct):
+    values = [float("-inf")] * 20 + [float(i) for i in range(60)] + [float("inf")] * 21
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    ranks = [0, 19, 20, 50, 79, 80, 100]
+    found = order_statistics(df, {"v": ranks}, max_distinct=max_distinct, accuracy=50)
+    assert found == {("v", r): values[r] for r in ranks}
+    assert sv.medians(df, ["v"]) == {"v": values[50]}
+    with pytest.raises(ValueError, match="narrows nothing"):
+        order_statistics(df, {"v": [0]}, accuracy=4)
+    assert order_statistics(df, {"v": [50]}, max_distinct=1, accuracy=10) == {("v", 50): values[50]}
