@@ -23,16 +23,13 @@ class Contract(NamedTuple):
 
 # Formats, descriptions and the words that call for a rule.
 EMAIL = r"^[\w\.\+\-]+@[\w\-]+\.[a-zA-Z]{2,}$"
-PHONE = r"^\+?[\d\s\-\(\)]{7,15}$"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 DESCRIPTIONS = {
     "not_null": "Column must not contain null values",
     "email": "Valid email format",
-    "phone": "Valid phone number format",
     "date": "ISO date format YYYY-MM-DD",
     "positive": "Must be non-negative",
     "rating": "Rating must be between 1 and 5",
-    "percentage": "Percentage between 0 and 100",
     "score": "Score normalized between 0 and 1",
 }
 DATE_WORDS = ("date", "ts", "timestamp", "created", "updated")
@@ -43,7 +40,6 @@ AMOUNT_WORDS = ("weight", "distance", "revenue", "amount", "count", "qty", "quan
 RANGES: dict[str, tuple[float | None, float | None]] = {
     "0 <= value <= 1": (0.0, 1.0),
     "1 <= value <= 5": (1.0, 5.0),
-    "0 <= value <= 100": (0.0, 100.0),
     "value >= 0": (0.0, None),
 }
 

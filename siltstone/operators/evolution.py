@@ -65,9 +65,9 @@ def schema_changes(current: DataFrame, baseline: DataFrame) -> DataFrame:
             .when(is_breaking(old, new), F.lit("FAIL"))
             .otherwise(F.lit("WARN"))
             .alias("severity"),
-            F.when(F.col("change") == "new", F.concat(F.lit("New column '"), name, F.lit("' detected — update downstream models and documentation")))
-            .when(F.col("change") == "removed", F.concat(F.lit("Column '"), name, F.lit("' removed — breaking change; check all downstream consumers")))
-            .otherwise(F.concat(F.lit("Type change '"), old, F.lit("' → '"), new, F.lit("' on '"), name, F.lit("'")))
+            F.when(F.col("change") == "new", F.concat(name, F.lit(": not in the baseline; save a new one once its readers know it")))
+            .when(F.col("change") == "removed", F.concat(name, F.lit(": in the baseline only; whoever selects it fails")))
+            .otherwise(F.concat(name, F.lit(": was "), old, F.lit(", is "), new))
             .alias("recommendation"),
         )
     )
@@ -86,7 +86,7 @@ def evolution_status(changes: DataFrame) -> DataFrame:
         "removed",
         "retyped",
         F.when(F.col("_fails") > 0, F.lit("FAIL")).when(F.col("_warns") > 0, F.lit("WARN")).otherwise(F.lit("PASS")).alias("status"),
-        F.format_string("%d new · %d removed · %d type changes", "new", "removed", "retyped").alias("summary"),
+        F.format_string("%d columns came, %d went, %d have another type", "new", "removed", "retyped").alias("summary"),
     )
 
 

@@ -10,6 +10,7 @@ only rows with a gap are joined to the filled positions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,6 +22,10 @@ from siltstone.operators.keys import q
 from siltstone.session import shared_dir
 
 
+# At most about this many positions are filled by one task.
+ROWS_PER_BLOCK = 10_000_000
+
+
 def ordered_fill(
     df: DataFrame,
     columns: Sequence[str],
@@ -49,8 +54,12 @@ def ordered_fill(
         F.max(gap).alias("_gap"), *[F.max(value[c]).alias(f"_v{i}") for i, c in enumerate(columns)]
     )
     path = shared_dir(spark, "positions")
-    # Without a number there are at most as many blocks as shuffle partitions, and
-    # AQE joins neighbours that are small; either way block numbers follow the order.
+    # A block is one group of a window, so their number follows the rows. Where the
+    # shuffle partitions are enough, AQE joins neighbours that are small; either
+    # way block numbers follow the order.
+    needed = math.ceil(df.count() / ROWS_PER_BLOCK)
+    if blocks is None and needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        blocks = needed
     ranged = positions.repartitionByRange(blocks, *order) if blocks else positions.repartitionByRange(*order)
     ranged.withColumn("_block", F.spark_partition_id()).write.parquet(path)
     # Read back: block numbers are now data and stay the same when a task is rerun.
@@ -67,7 +76,7 @@ def ordered_fill(
             )
         ]
     )
-    # One row per block: few enough for one task and for a broadcast, whatever the table's size.
+    # One row per block: few enough for one task. Spark broadcasts it if it is small.
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     anywhere = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried = edges.select(
@@ -85,7 +94,7 @@ def ordered_fill(
             "_block", "_gap", *order, *[F.last(f"_v{i}", True).over(so_far).alias(f"_f{i}") for i in range(len(columns))]
         )
         .filter("_gap")
-        .join(F.broadcast(carried), "_block")
+        .join(carried, "_block")
         .select(*order, *[F.coalesce(f"_f{i}", f"_c{i}").alias(f"_f{i}") for i in range(len(columns))])
     )
 

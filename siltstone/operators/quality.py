@@ -47,17 +47,19 @@ def quality_checks(
     dup_threshold: float = 1.0,
     ranges: str | list[RangeRule] = "",
     distinct_rows: bool = False,
+    duplicates: bool = True,
 ) -> DataFrame:
     """One row per check, numbered in `check_no`.
 
     Everything comes from one pass. Identical rows are first collapsed with
     their number of copies (on the map side too), and each counter is weighted
     by it. A table known to hold no copies, such as a silver table just written,
-    is checked with `distinct_rows=True`, which leaves that shuffle out.
+    is checked with `distinct_rows=True`, which leaves that shuffle out;
+    `duplicates=False` leaves out the check of copies together with the shuffle.
     """
     rules = split_ranges(ranges) if isinstance(ranges, str) else ranges
     rules = [r for r in rules if r.column in df.columns]
-    if distinct_rows:
+    if distinct_rows or not duplicates:
         source, copies = df.withColumn("_copies", F.lit(1).cast("bigint")), F.lit(1).cast("bigint")
     else:
         # Columns under a range rule keep their text, which is to be read as a number.
@@ -97,10 +99,11 @@ def quality_checks(
         pct = percent(F.col(f"_n{i}"), F.col("_rows"))
         checks.append(check("Completeness", c, f"Null % ≤ {null_threshold}%", pct, null_threshold, pct <= null_threshold))
     dup = percent(F.col("_dups"), F.col("_rows"))
-    checks.append(check("Uniqueness", "_all_", f"Duplicate % ≤ {dup_threshold}%", dup, dup_threshold, dup <= dup_threshold))
+    unique = check("Uniqueness", "_all_", f"Duplicate % ≤ {dup_threshold}%", dup, dup_threshold, dup <= dup_threshold)
+    checks.append(F.when(F.lit(duplicates), unique))
     for i, (c, text) in enumerate(bounds):
         checks.append(check("Range", c, text, F.col(f"_r{i}"), 0, F.col(f"_r{i}") == 0))
-    return source.agg(*aggs).select(F.posexplode(F.array(*checks)).alias("check_no", "_c")).select("check_no", "_c.*")
+    return source.agg(*aggs).select(F.posexplode(F.array(*checks)).alias("check_no", "_c")).filter("_c is not null").select("check_no", "_c.*")
 
 
 def scorecard(checks: DataFrame) -> DataFrame:

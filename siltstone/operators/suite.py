@@ -56,17 +56,24 @@ def text_duplicates(df: DataFrame) -> DataFrame:
     ).withColumn("duplicate_rate", ratio(F.col("duplicate_count"), F.col("total_rows")))
 
 
-def suite_checks(df: DataFrame, *, baseline_rows: int | None = None, thresholds: Mapping[str, float] = THRESHOLDS) -> DataFrame:
+def suite_checks(
+    df: DataFrame, *, baseline_rows: int | None = None, thresholds: Mapping[str, float] = THRESHOLDS, duplicates: bool = True
+) -> DataFrame:
     """Null rate per column, row completeness, copies, column and row count, volume; one pass.
 
     Text that stands for nothing counts as missing; zero and false are values.
+    `duplicates=False` leaves out the check of copies and with it the shuffle of
+    rows: the others are counts.
     """
     width = len(df.columns)
     gone = [is_missing(F.col(q(f.name)), f.dataType) for f in df.schema.fields]
-    # Rows of equal text have equal missing cells, so one weighted pass does both.
-    copies = df.groupBy(*text_row(df)).agg(
-        F.count(F.lit(1)).alias("_copies"), *[F.bool_or(g).alias(f"_g{i}") for i, g in enumerate(gone)]
-    )
+    if duplicates:
+        # Rows of equal text have equal missing cells, so one weighted pass does both.
+        copies = df.groupBy(*text_row(df)).agg(
+            F.count(F.lit(1)).alias("_copies"), *[F.bool_or(g).alias(f"_g{i}") for i, g in enumerate(gone)]
+        )
+    else:
+        copies = df.select(F.lit(1).cast("bigint").alias("_copies"), *[g.alias(f"_g{i}") for i, g in enumerate(gone)])
     stats = copies.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("_rows"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint").alias("_dups"),
@@ -88,6 +95,7 @@ def suite_checks(df: DataFrame, *, baseline_rows: int | None = None, thresholds:
             F.lit(threshold).cast("double").alias("threshold"),
         )
 
+    # Names, categories and order of the checks.
     checks = []
     for i, c in enumerate(df.columns):
         rate = ratio(F.col(f"_n{i}"), rows)
@@ -106,12 +114,12 @@ def suite_checks(df: DataFrame, *, baseline_rows: int | None = None, thresholds:
         F.concat(F.lit("Average completeness: "), pct(complete)), complete, 0.95,
     ))
     dup = ratio(F.col("_dups"), rows)
-    checks.append(check(
+    checks.append(F.when(F.lit(duplicates), check(
         "Duplicate Rows", "Uniqueness",
         _tier(dup, 0.0, thresholds["duplicate_rate_warn"]),
         F.concat(F.format_string("%d duplicates (", F.col("_dups")), pct(dup), F.lit(")")),
         dup, thresholds["duplicate_rate_fail"],
-    ))
+    )))
     checks.append(check("Schema — Column Count", "Validity", F.lit("PASS"), F.lit(f"{width} columns"), F.lit(width), None))
     checks.append(check(
         "Row Count", "Completeness", F.when(rows > 0, F.lit("PASS")).otherwise(F.lit("FAIL")),

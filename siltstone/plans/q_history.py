@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from siltstone.functions.names import pii_columns
@@ -292,3 +293,134 @@ def _run_card(spark, sf_dir):
     from siltstone.operators.quality import scorecard
 
     return scorecard(layered_run(spark, sf_dir).checks)
+
+
+# Batches in another shape, and streams that share a table.
+@query("c06_reordered_batch", MERGED + "SELECT * FROM merged")
+def _reordered(spark, sf_dir):
+    # The batch has its columns backwards and one more, without values.
+    old, new = snapshots(spark, sf_dir)
+    gold = HistoryTable(spark, shared_dir(spark, "history"))
+    apply_batch(gold, old, [KEY], FIRST, label="first")
+    turned = new.select(*reversed(new.columns), F.lit(None).cast("string").alias("remark"))
+    apply_batch(gold, turned, [KEY], SECOND, label="second")
+    return _readable(gold.read())
+
+
+@query(
+    "c06_narrow_batch",
+    MERGED + """SELECT m.o_orderkey, o.o_orderpriority, m.o_totalprice, m.valid_from, m.is_current FROM merged m LEFT JOIN old o ON m.o_orderkey = o.o_orderkey""",
+)
+def _narrow(spark, sf_dir):
+    # A column the batch lacks keeps its value; of new keys it is null.
+    old, new = snapshots(spark, sf_dir)
+    gold = HistoryTable(spark, shared_dir(spark, "history"))
+    apply_batch(gold, old, [KEY], FIRST, label="first")
+    apply_batch(gold, new.drop("o_orderpriority"), [KEY], SECOND, label="second")
+    return gold.read().select(
+        KEY, "o_orderpriority", "o_totalprice", F.date_format("_valid_from", STAMP).alias("valid_from"), F.col("_is_current").alias("is_current")
+    )
+
+
+@query("c06_late_batch", MERGED + "SELECT * FROM merged")
+def _late(spark, sf_dir):
+    # A batch dated before the versions it would end is refused and leaves no trace.
+    old, new = snapshots(spark, sf_dir)
+    gold = HistoryTable(spark, shared_dir(spark, "history"))
+    apply_batch(gold, old, [KEY], FIRST, label="first")
+    try:
+        apply_batch(gold, new, [KEY], "2023-12-01 00:00:00", label="late")
+    except SparkRuntimeException as error:
+        if "its version began" not in str(error):
+            raise
+    apply_batch(gold, new, [KEY], SECOND, label="second")
+    return _readable(gold.read())
+
+
+@query("t04_two_streams", MERGED + "SELECT * FROM merged")
+def _two_streams(spark, sf_dir):
+    # Both streams count their batches from 0.
+    old, new = snapshots(spark, sf_dir)
+    path = shared_dir(spark, "landing")
+    for name, snapshot, start in (("a", old, FIRST), ("b", new, SECOND)):
+        snapshot.write.parquet(f"{path}/{name}")
+        stream = streams.file_stream(spark, f"{path}/{name}", old.schema)
+        streams.stream_history(
+            stream, f"{path}/gold", f"{path}/checkpoint-{name}", [KEY], lambda i, start=start: start, trigger="available"
+        ).awaitTermination()
+    return _readable(HistoryTable(spark, f"{path}/gold").read())
+
+
+# Two windows of one day; the run of the second is repeated.
+WINDOWS = (("2024-01-01", "2024-01-01 10:00:00"), ("2024-01-01 10:00:00", "2024-01-02"), ("2024-01-01 10:00:00", "2024-01-02"))
+
+
+def windowed_runs(spark, sf_dir, **settings):
+    hour = F.make_interval(hours=F.col(KEY) % 24)
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.lit("2024-01-01").cast("timestamp_ntz") + hour)
+    root, done = shared_dir(spark, "run"), None
+    for start, end in WINDOWS:
+        config = RunConfig(
+            root=root, keys=(KEY,), timestamp="o_orderdate", window_start=start, window_end=end,
+            on_fail="warn", run_id=f"until-{end[:10]}-{end[11:13]}", **settings,
+        )
+        done = run(spark, orders, config, done.mapping if done else None)
+    return done
+
+
+def _windowed_query(mode):
+    @query(f"l04_windows_{mode}", "SELECT o_orderstatus, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders GROUP BY o_orderstatus")
+    def _windows(spark, sf_dir):
+        gold = windowed_runs(spark, sf_dir, gold_mode=mode, group_by="o_orderstatus").gold
+        rows = F.col("_record_count") if mode == "aggregate" else F.lit(1)
+        return gold.groupBy("o_orderstatus").agg(F.sum(rows).cast("bigint").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+for _mode in ("passthrough", "aggregate", "scd1", "scd2"):
+    _windowed_query(_mode)
+
+
+@query(
+    "k03_layer_modes",
+    "SELECT 'silver' AS layer, COUNT(*) AS n FROM orders UNION ALL SELECT 'gold', COUNT(*) FROM orders",
+)
+def _layer_modes(spark, sf_dir):
+    # Silver is appended to, once per run id; gold is replaced as a whole.
+    name = "siltstone_" + shared_dir(spark, "t").rsplit("-", 1)[-1]
+    windowed_runs(spark, sf_dir, gold_mode="scd1", silver_table=f"{name}_s", silver_table_mode="append", gold_table=f"{name}_g")
+    counts = [spark.table(f"{name}_{layer[0]}").agg(F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("n")) for layer in ("silver", "gold")]
+    return counts[0].unionByName(counts[1])
+
+
+@query("f11_later_personal_column", "SELECT c_custkey, sha256(c_name) AS c_name, c_mktsegment FROM customer")
+def _later_personal(spark, sf_dir):
+    # The mapping is saved before the personal column exists.
+    customer, root = table(spark, sf_dir, "customer"), shared_dir(spark, "run")
+    config = RunConfig(root=root, timestamp="none", on_fail="warn")
+    first = run(spark, customer.select("c_custkey", "c_mktsegment"), config)
+    return run(spark, customer, config, first.mapping).gold.select("c_custkey", "c_name", "c_mktsegment")
+
+
+FILLED = ("ref_id", "batch_id", "load_id")
+
+
+@query(
+    "n06_run_defaults",
+    "WITH g AS (SELECT o_orderkey, o_orderdate, "
+    + ", ".join(f"CASE WHEN o_orderkey % {7 + 4 * i} <> 0 THEN o_orderkey * {i + 1} END AS {c}" for i, c in enumerate(FILLED))
+    + " FROM orders) SELECT o_orderkey, "
+    + ", ".join(
+        f"COALESCE(LAST_VALUE({c} IGNORE NULLS) OVER (ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING), "
+        f"FIRST_VALUE({c} IGNORE NULLS) OVER (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}"
+        for c in FILLED
+    )
+    + " FROM g",
+)
+def _fill_defaults(spark, sf_dir):
+    # Three id columns have gaps, one of them is a key; time stamp and the whole key give the order.
+    key = F.col(KEY)
+    orders = table(spark, sf_dir, "orders").select(
+        KEY, "o_orderdate", *[F.when(key % (7 + 4 * i) != 0, key * (i + 1)).alias(c) for i, c in enumerate(FILLED)]
+    )
+    config = RunConfig(root=shared_dir(spark, "run"), keys=(KEY, "ref_id"), timestamp="o_orderdate", on_fail="warn")
+    return run(spark, orders, config).gold.select(KEY, *FILLED)

@@ -11,7 +11,7 @@ from siltstone.operators import anomaly, contracts, evolution, keys, pii, suite
 from siltstone.operators.gold import build_gold
 from siltstone.operators.profile import duplicate_stats, record_schema
 from siltstone.operators.quality import quality_checks, scorecard
-from siltstone.operators.silver import drop_copies, medians
+from siltstone.operators.silver import drop_copies, fill_median, medians
 from siltstone.plans.inputs import DIRTY, DIRTY_COLUMNS, SNAPSHOTS, dirty_sales, snapshots, table
 from siltstone.plans.q_profile import SILVER, silver_sales
 from siltstone.plans.registry import query
@@ -250,7 +250,7 @@ DIRTY_NAMES = [c for c, _ in DIRTY_COLUMNS]
 
 @query("v01_completeness", DIRTY + f"SELECT * FROM ({_with_status(checks_sql('dirty', DIRTY_NAMES))}) y WHERE category = 'Completeness'")
 def _completeness(spark, sf_dir):
-    return quality_checks(dirty_sales(spark, sf_dir)).filter("category = 'Completeness'")
+    return quality_checks(dirty_sales(spark, sf_dir), duplicates=False).filter("category = 'Completeness'")
 
 
 @query("v02_uniqueness", DIRTY + f"SELECT * FROM ({_with_status(checks_sql('dirty', DIRTY_NAMES))}) y WHERE category = 'Uniqueness'")
@@ -260,7 +260,7 @@ def _uniqueness(spark, sf_dir):
 
 @query("v03_range_rules", DIRTY + f"SELECT * FROM ({_with_status(checks_sql('dirty', DIRTY_NAMES))}) y WHERE category = 'Range'")
 def _ranges(spark, sf_dir):
-    return quality_checks(dirty_sales(spark, sf_dir), ranges=RANGES).filter("category = 'Range'")
+    return quality_checks(dirty_sales(spark, sf_dir), ranges=RANGES, duplicates=False).filter("category = 'Range'")
 
 
 CARD = """SELECT CASE WHEN COUNT(*) = 0 THEN 100.0 ELSE round_even(COUNT(*) FILTER (WHERE status = 'PASS') * 100.0 / COUNT(*), 1) END::DOUBLE AS dq_score_pct,
@@ -315,7 +315,7 @@ def suite_sql(baseline: int = 12000) -> str:
 
 
 def _suite(spark, sf_dir, pattern):
-    found = suite.suite_checks(spotted(spark, sf_dir), baseline_rows=12000)
+    found = suite.suite_checks(spotted(spark, sf_dir), baseline_rows=12000, duplicates=pattern == "Duplicate%")
     return found.filter(F.col("check").like(pattern)).select("check", "category", "status", F.round("value", 8).alias("value"))
 
 
@@ -559,3 +559,36 @@ def _share(spark, sf_dir):
     copies = documents.groupBy(*compact_row(documents)).agg(F.count(F.lit(1)).alias("_copies"))
     totals = copies.groupBy("lang").agg(F.sum("_copies").alias("documents"), F.count(F.lit(1)).alias("_kept"))
     return totals.select("lang", "documents", percent(F.col("documents") - F.col("_kept"), F.col("documents")).alias("duplicate_pct"))
+
+
+@query(
+    "r02_broken_not_null",
+    """SELECT "column", violations, CASE WHEN violations > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM (
+    SELECT 'c_custkey' AS "column", 0 AS violations UNION ALL SELECT 'c_name', COUNT(*) FILTER (WHERE c_custkey % 17 = 0) FROM customer
+    UNION ALL SELECT 'c_nationkey', COUNT(*) FILTER (WHERE c_custkey % 5 = 0) FROM customer UNION ALL SELECT 'c_acctbal', 0
+    UNION ALL SELECT 'c_mktsegment', COUNT(*) FILTER (WHERE c_custkey % 3 = 0) FROM customer) v""",
+)
+def _broken_not_null(spark, sf_dir):
+    # Contracts of one snapshot, checked on a later one that has nulls, blanks included.
+    first, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    made = contracts.build_contracts(record_schema(first, distinct="none").orderBy("position").collect())
+    later = first.withColumns({
+        "c_name": F.when(key % 17 != 0, F.col("c_name")),
+        "c_nationkey": F.when(key % 5 != 0, F.col("c_nationkey")),
+        "c_mktsegment": F.when(key % 3 == 0, F.lit(" ")).otherwise(F.col("c_mktsegment")),
+    })
+    return contracts.validate_contracts(later, made).filter("rule_type = 'NOT_NULL'").select("column", "violations", "status")
+
+
+@query(
+    "n08_infinite_median",
+    """WITH v AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS k, COUNT(*) OVER () AS n FROM (SELECT CASE WHEN event_id % 3 = 0 THEN 'infinity'::DOUBLE ELSE value END AS v FROM events WHERE event_id % 7 <> 0 AND (event_id % 3 = 0 OR value IS NOT NULL)))
+    SELECT (SELECT ROUND(AVG(v), 6) FROM v WHERE k = (n - 1) // 2 OR k = n // 2) AS median, COUNT(*) AS filled FROM events WHERE event_id % 7 = 0 OR (event_id % 3 <> 0 AND value IS NULL)""",
+)
+def _infinite_median(spark, sf_dir):
+    # A third of the values is infinite, a seventh is missing and gets the median.
+    key = F.col("event_id")
+    value = F.when(key % 7 != 0, F.when(key % 3 == 0, F.lit(float("inf"))).otherwise(F.col("value")))
+    source = table(spark, sf_dir, "events").select("event_id", value.alias("v"), value.isNull().alias("gap"))
+    filled = fill_median(source, ["v"]).filter("gap")
+    return filled.agg(F.round(F.max("v"), 6).alias("median"), F.count(F.lit(1)).alias("filled"))

@@ -61,7 +61,7 @@ def _payload(spark, sf_dir):
     source = table(spark, sf_dir, "customer")
     documents = source.select(F.lit("ok").alias("status"), F.array(F.struct("*")).alias("records"))
     documents.write.json(path)
-    return readers.read_payload(spark, path, schema=documents.schema, multiline=False)
+    return readers.read_payload(spark, path, schema=documents.schema)
 
 
 @query(
@@ -173,3 +173,33 @@ def _choice(spark, sf_dir):
     schema = record_schema(sales).orderBy("position").collect()
     layout = choose_layout(schema, sales.count())
     return spark.createDataFrame([layout[:3]], "strategy string, column string, granularity string")
+
+
+@query("s09_records_with_lists", "SELECT c_custkey, c_custkey % 3 AS tags FROM customer")
+def _nested_records(spark, sf_dir):
+    # Documents that are lists of records, which hold lists of records themselves, some empty.
+    tags = F.array_repeat(F.struct(F.col("c_nationkey").alias("x")), (F.col("c_custkey") % 3).cast("int"))
+    records = table(spark, sf_dir, "customer").select("c_nationkey", F.struct("c_custkey", tags.alias("tags")).alias("r"))
+    path = shared_dir(spark, "payload")
+    records.groupBy("c_nationkey").agg(F.to_json(F.collect_list("r")).alias("value")).select("value").write.text(path)
+    return readers.read_payload(spark, path).select("c_custkey", F.size("tags").cast("bigint").alias("tags"))
+
+
+def _layout_query(name, source, column, strategy, grain, sql):
+    @query(name, sql)
+    def _written(spark, sf_dir):
+        path = shared_dir(spark, "layout")
+        write_layout(source(spark, sf_dir), Layout(strategy, column, grain, ""), path)
+        part = F.col("_part").cast("string") if strategy != "hash" else F.lit("any")
+        return spark.read.parquet(path).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _events(spark, sf_dir):
+    return table(spark, sf_dir, "events")
+
+
+_layout_query("l01_layout_list", _events, "event_type", "list", "per_value", "SELECT event_type AS part, COUNT(*) AS n FROM events GROUP BY 1")
+_layout_query("l01_layout_hash", _events, "user_id", "hash", "8_buckets", "SELECT 'any' AS part, COUNT(*) AS n FROM events")
+_layout_query(
+    "l01_layout_text_date", dirty_sales, "transaction_date", "range", "daily", DIRTY + "SELECT transaction_date AS part, COUNT(*) AS n FROM dirty GROUP BY 1"
+)

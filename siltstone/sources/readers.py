@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,14 +134,19 @@ def read_json(
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
-def read_payload(spark: SparkSession, path: str, *, records_field: str | None = None, schema=None, multiline: bool = True) -> DataFrame:
+def read_payload(spark: SparkSession, path: str, *, records_field: str | None = None, schema=None, multiline: bool | None = None) -> DataFrame:
     """Landed API payloads as rows.
 
+    Files of one document per line are told from files of one document by their
+    lines, unless `multiline` says which they are.
+
     A list of records is read as rows, whatever lists the records hold. Of an
     object, the field holding a list of records is spread out; if there are
     several, name it. An object without one is a row itself. Lists beside objects
     raise unless the field is named.
     """
+    if multiline is None:
+        multiline = not _documents_by_line(spark, path)
     table = read_json(spark, path, schema, multiline=multiline)
     lists = [
         f.name
@@ -160,6 +166,15 @@ def read_payload(spark: SparkSession, path: str, *, records_field: str | None =
     return table.select(F.inline(q(records_field)))
 
 
+def _documents_by_line(spark: SparkSession, path: str) -> bool:
+    """Whether every line that is not blank opens and closes a document."""
+    line = F.col("value")
+    seen = spark.read.text(path).agg(
+        F.count_if(line.rlike(r"\S")).alias("lines"), F.count_if(line.rlike(r"^\s*[\[{].*[\]}]\s*$")).alias("whole")
+    ).first()
+    return seen["lines"] == seen["whole"]
+
+
 def _top_level_lists(spark: SparkSession, path: str, multiline: bool) -> bool:
     """Whether the documents are lists of records; Spark reads such a list like single records."""
     text = spark.read.text(path, wholetext=multiline)
@@ -187,15 +202,30 @@ JDBC_SCHEMES = {
 
 
 def jdbc_url(uri: str) -> str:
+    return _jdbc_parts(uri)[0]
+
+
+def _jdbc_parts(uri: str) -> tuple[str, dict[str, str]]:
+    """A JDBC URL, and the user and password that other URLs carry before the host."""
     if uri.startswith("jdbc:"):
-        return uri
+        return uri, {}
     scheme, sep, rest = uri.partition("://")
     if not sep:
-        return f"jdbc:sqlite:{uri}"
-    kind = scheme.split("+")[0].lower()
-    if kind not in JDBC_SCHEMES:
+        return f"jdbc:sqlite:{uri}", {}
+    kind = JDBC_SCHEMES.get(scheme.split("+")[0].lower())
+    if kind is None:
         raise ValueError(f"no JDBC scheme for {scheme!r}")
-    return f"jdbc:{JDBC_SCHEMES[kind]}://{rest}"
+    if kind == "sqlite":
+        return f"jdbc:sqlite:{rest.removeprefix('/')}", {}
+    account, _, place = rest.rpartition("@")
+    user, _, password = account.partition(":")
+    login = {k: unquote(v) for k, v in (("user", user), ("password", password)) if v}
+    host, _, database = place.partition("/")
+    if kind == "oracle:thin":
+        return f"jdbc:oracle:thin:@//{place}", login
+    if kind == "sqlserver":
+        return f"jdbc:sqlserver://{host}" + (f";databaseName={database}" if database else ""), login
+    return f"jdbc:{kind}://{place}", login
 
 
 def jdbc_options(
@@ -210,7 +240,8 @@ def jdbc_options(
     """Options of a JDBC read; with a partition column the table is read by many tasks."""
     if not table_or_query:
         raise ValueError("name a table or a query")
-    found = {"url": jdbc_url(uri), **options}
+    url, login = _jdbc_parts(uri)
+    found = {"url": url, **login, **options}
     if partition_column is None:
         found["query" if is_query(table_or_query) else "dbtable"] = table_or_query
         return found

@@ -200,3 +200,19 @@ def test_records_that_hold_lists(spark, tmp_path):
     (tmp_path / "both" / "b.json").write_text('{"id": 3, "s": [{"x": 1}]}')
     with pytest.raises(ValueError, match="others objects"):
         readers.read_payload(spark, str(tmp_path / "both"))
+
+
+def test_jdbc_urls_of_each_database():
+    sql = readers.jdbc_options("postgresql://u:p%40ss@h:5432/d", "t")
+    assert sql == {"url": "jdbc:postgresql://h:5432/d", "user": "u", "password": "p@ss", "dbtable": "t"}
+    assert readers.jdbc_options("oracle://u:p@h:1521/x", "t")["url"] == "jdbc:oracle:thin:@//h:1521/x"
+    assert readers.jdbc_options("mssql+pyodbc://u:p@h:1433/d", "t")["url"] == "jdbc:sqlserver://h:1433;databaseName=d"
+    assert readers.jdbc_url("sqlite:///data/x.db") == "jdbc:sqlite:data/x.db"
+    assert readers.jdbc_url("sqlite:////data/x.db") == "jdbc:sqlite:/data/x.db"
+
+
+def test_payload_files_of_lines_keep_every_line(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('{"a": 1}\n\n{"a": 2}\n')
+    (tmp_path / "tall.json").write_text('[\n {"a": 1},\n {"a": 2}\n]\n')
+    for name in ("lines.json", "tall.json"):
+        assert sorted(r["a"] for r in readers.read_payload(spark, str(tmp_path / name)).collect()) == [1, 2]
