@@ -185,12 +185,22 @@ def build_silver(
     rows = [r for r in mapping if r.source_column in names]
     kept: list[Column] = []
     pending_drops = 0
+    pending_fills: list[str] = []
     mean_aggs: list[Column] = []
     changed: dict[str, Column] = {}
     means: dict[str, int] = {}
     flags: list[Column] = []
     steps: list[dict] = []
     counters: list[Column] = [F.count(F.lit(1)).alias("_rows")]
+
+    def fill() -> None:
+        """Fills that follow each other share one pass over the rows kept so far."""
+        nonlocal base, pending_drops
+        if pending_fills:
+            base = ordered_fill(base.filter(_all(kept[pending_drops:])), pending_fills, order_by)
+            pending_drops = len(kept)
+            pending_fills.clear()
+
     for row in rows:
         name, col = row.source_column, F.col(q(row.source_column))
         strategy = row.strategy
@@ -198,6 +208,7 @@ def build_silver(
             changed[name] = sha256_hex(col)
             steps.append({"kind": "hash", "column": name})
         elif strategy == "drop":
+            fill()
             counters.append(F.count_if(_all(kept)).alias(f"_before_{name}"))
             kept.append(col.isNotNull())
             counters.append(F.count_if(_all(kept)).alias(f"_after_{name}"))
@@ -225,10 +236,10 @@ def build_silver(
         elif strategy == "ffill_bfill_else_drop":
             counters.append(F.count_if(_all(kept)).alias(f"_before_{name}"))
             counters.append(F.count_if(_all([*kept, col.isNull()])).alias(f"_gaps_{name}"))
-            base = ordered_fill(base.filter(_all(kept[pending_drops:])), [name], order_by)
-            pending_drops = len(kept)
+            pending_fills.append(name)
             steps.append({"kind": "ordered", "column": name})
 
+    fill()
     if mean_aggs:
         statistics = source.agg(*mean_aggs)
         for name, i in means.items():

@@ -56,7 +56,8 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        # `local-cluster` runs executors of their own and counts as a cluster.
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         if context.applicationId not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="siltstone-")
