@@ -41,7 +41,6 @@ from siltstone.session import shared_dir
 WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 BLOCK = 128
-CONTEXT_CHARS = 400
 
 
 def _digits(match: Column) -> Column:
@@ -116,7 +115,7 @@ def _starts(parts: Column, matches: Column) -> Column:
 
 
 NO_TEXTS = "array<string>"
-FOUND = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
+FOUND = "array<struct<start:int,end:int,match:string>>"
 
 
 def detect(df: DataFrame, text: str = "text") -> DataFrame:
@@ -140,9 +139,7 @@ def detect(df: DataFrame, text: str = "text") -> DataFrame:
     def found(kind: Kind) -> Column:
         matches, parts, starts = (F.col(f"__{x}_{kind.name}") for x in "mps")
         rows = F.transform(matches, lambda m, i: F.struct(
-            starts[i].alias("start"), (starts[i] + F.length(m)).alias("end"), m.alias("match"),
-            F.substring(parts[i], -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"), F.substring(parts[i + 1], 1, CONTEXT_CHARS).alias("after"),
-        ))
+            starts[i].alias("start"), (starts[i] + F.length(m)).alias("end"), m.alias("match")))
         return F.when(F.size(matches) > 0, F.filter(rows, lambda r: kind.valid(r["match"]))).otherwise(F.array().cast(FOUND))
 
     return stage.select(*own, *[found(k).alias(f"__{k.name}") for k in KINDS])
@@ -156,22 +153,53 @@ def base_spans() -> Column:
     return F.concat(*map(of, KINDS))
 
 
-def _terms(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), NO_WORD), lambda w: w != "")
+def _before(places: Column, at: Column) -> Column:
+    """How many of the ascending `places` are below `at`, by bisection."""
+    half = lambda r: F.shiftright(r["low"] + r["high"], 1)
+    whole = F.struct(F.lit(0).alias("low"), F.size(places).alias("high"))
+
+    def step(r: Column, _: Column) -> Column:
+        return F.when(r["low"] >= r["high"], r).when(places[half(r)] < at, F.struct((half(r) + 1).alias("low"), r["high"].alias("high"))).otherwise(F.struct(r["low"].alias("low"), half(r).alias("high")))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(places) + 1)).cast("int"))
+    return F.aggregate(steps, whole, step, lambda r: r["low"])
 
 
 def entity_contexts(detected: DataFrame, text: str, window: int) -> DataFrame:
-    """(text_key, entity, terms): one row per base span; terms are the words around it."""
-    def near(r: Column) -> Column:
-        # A context cut off at CONTEXT_CHARS may begin or end within a word; `window` words are far shorter as a rule.
-        return F.concat(F.slice(F.reverse(_terms(r["before"])), F.lit(1), F.lit(window)), F.slice(_terms(r["after"]), F.lit(1), F.lit(window)))
+    """(text_key, entity, terms): one row per base span; terms are the words around it.
+
+    The `window` nearest words of the whole text on either side; words inside a base span are passed over.
+    """
+    body = F.col(f"`{text}`")
 
     def of(kind: Kind) -> Column:
         entity = lambda r: F.concat(F.lit(kind.name + ":"), kind.entity(r["match"]))
-        return F.transform(f"__{kind.name}", lambda r: F.struct(entity(r).alias("entity"), F.array_distinct(near(r)).alias("terms")))
+        return F.transform(f"__{kind.name}", lambda r: F.struct(entity(r).alias("entity"), r["start"].alias("start"), r["end"].alias("end")))
+
+    def rows(spans: Column, words: Column, starts: Column, ends: Column) -> Column:
+        def inside(r: Column) -> Column:
+            first, last = _before(starts, r["start"]), _before(ends, r["end"] + 1) - 1
+            return _bind(F.struct(first.alias("first"), last.alias("last")), lambda x: F.when(x["first"] <= x["last"], F.sequence(x["first"], x["last"])).otherwise(F.array().cast("array<int>")))
+
+        def around(words: Column, starts: Column) -> Column:
+            near = lambda p: F.slice(words, F.greatest(p - window, F.lit(0)) + 1, F.least(p, F.lit(window)) + window)
+            return F.transform(spans, lambda r: F.struct(r["entity"].alias("entity"), F.array_distinct(_bind(_before(starts, r["start"]), near)).alias("terms")))
+
+        free = F.array_except(F.sequence(F.lit(0), F.size(words) - 1), F.flatten(F.transform(spans, inside)))
+        return _bind(free, lambda free: _bind(
+            F.struct(F.transform(free, lambda i: F.lower(words[i])).alias("words"), F.transform(free, lambda i: starts[i]).alias("starts")), lambda x: around(x["words"], x["starts"])
+        ))
+
+    def placed(x: Column) -> Column:
+        return _bind(_starts(x["gaps"], x["words"]), lambda starts: _bind(
+            F.transform(x["words"], lambda w, i: starts[i] + F.length(w)), lambda ends: rows(x["spans"], x["words"], starts, ends)
+        ))
 
-    rows = F.concat(*map(of, KINDS))
-    return detected.select(F.md5(F.col(f"`{text}`").cast("binary")).alias("text_key"), F.explode(rows).alias("r")).select("text_key", "r.*")
+    spans = F.concat(*map(of, KINDS))
+    # Bound, not in columns of their own, which the optimizer would compute again for every element.
+    parts = F.struct(spans.alias("spans"), F.regexp_extract_all(body, F.lit(WORD), F.lit(0)).alias("words"), F.split(body, WORD).alias("gaps"))
+    found = F.when(F.size(spans) > 0, _bind(parts, placed))
+    return detected.select(F.md5(body.cast("binary")).alias("text_key"), F.explode(found).alias("r")).select("text_key", "r.*")
 
 
 def revealing_terms(

@@ -209,3 +209,27 @@ def test_language_edges(spark):
     assert [got[i].lang_pred for i in (1, 2, 3, 9)] == ["und"] * 4 and got[5].lang_pred in ("en", "de")
     assert {r.lang_pred for r in language_id.predict(df, {}).collect()} == {"und"}
     assert language_id.fit(learned.limit(0)) == {}
+
+
+def test_contexts_are_the_nearest_words(spark):
+    card = "4111 1111 1111 1111"
+    long = "ж" * 900
+    texts = [
+        f"one 2027 two 12 30 {card} three 55 four 2028 five",  # plain numbers are failed matches of a card
+        "a b c x@y.org d z@y.org e f +4930123456789 g +4930123456780 h",
+        f"{long} x@y.org {long}ende tail",
+        f"no{card} after",
+        "x@y.org",
+    ] + [" ".join(random.Random(i).choice(["w%d" % (i % 7), "x@y.org", card, "1.2.3.4", "77", "+49 30 1234567", "é"]) for i in range(200 * j, 200 * j + 90)) for j in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = sorted((r.text_key, r.entity, sorted(r.terms)) for r in pii_sanitise.entity_contexts(pii_sanitise.detect(df), "text", 3).collect())
+    want = []
+    for text in texts:
+        spans = [(k, m.start(), m.end(), m.group()) for k, p in PATTERNS.items() for m in re.finditer(p, text) if valid(k, m.group())]
+        words = [(m.group().lower(), m.start(), m.end()) for m in re.finditer(pii_sanitise.WORD, text)]
+        words = [w for w in words if not any(s <= w[1] and w[2] <= e for _, s, e, _ in spans)]
+        for k, s, _, match in spans:
+            near = [w for w, at, _ in words if at < s][-3:] + [w for w, at, _ in words if at >= s][:3]
+            entity = f"{k}:{match.lower() if k in ('email', 'ip') else re.sub('[^0-9]', '', match)}"
+            want.append((hashlib.md5(text.encode()).hexdigest(), entity, sorted(set(near))))
+    assert got == sorted(want)
