@@ -4,18 +4,22 @@ Base spans are found by pattern (email, ip, card, phone; leftmost, not
 overlapping within a kind; matches that fail their check are dropped). Each is
 an entity. Which words give an entity away is estimated over the whole corpus:
 
-* n(e, t): distinct contexts (the `window` words on either side) of entity e
-  that hold term t; equal contexts, as of copies, count once; n(e): its contexts;
-* n(t): how often t occurs in the corpus, counted over all words of all texts;
-* p(e | t) = n(e, t) / n(t), p(e) = n(e) / number of windows of the corpus, and
+* the unit is a word of a text that is not inside a base span, counted in every
+  copy: n(t) is how often term t occurs, n the number of words;
+* n(e, t): how many of the n(t) are near entity e, that is one of the `window`
+  words on either side of it; n(e): how many of all words are. A word between
+  two spans of e counts once;
+* p(e | t) = n(e, t) / n(t), p(e) = n(e) / n, and
 
       disclosure(e, t) = log(p(e | t) / p(e)) / log(1 / p(e)),
 
   pointwise mutual information as a share of the entity's information: 1 if the
-  term occurs with that entity only, 0 if it is independent of it.
+  term occurs near that entity only, 0 if it is independent of it (or if all
+  words are near the entity).
 
-Terms with `support` contexts or more and a disclosure of `generalise_at` are
-replaced by `[TERM]` in texts that hold the entity, from `remove_at` removed.
+Terms that occur `support` times or more near an entity which itself occurs as
+often, and have a disclosure of `generalise_at`, are replaced by `[TERM]` in texts
+that hold the entity, from `remove_at` removed.
 
 The patterns are written with possessive quantifiers and, at their start, a
 look at the character before, so that matching is linear in the text; they
@@ -166,9 +170,11 @@ def _before(places: Column, at: Column) -> Column:
 
 
 def entity_contexts(detected: DataFrame, text: str, window: int) -> DataFrame:
-    """(text_key, entity, terms): one row per base span; terms are the words around it.
+    """(text_key, entity, terms, counted, covered): one row per base span; terms are the words around it.
 
     The `window` nearest words of the whole text on either side; words inside a base span are passed over.
+    `counted` has every word near the entity once in all rows of a text together; `covered`, in one row
+    of a text, all words inside its base spans.
     """
     body = F.col(f"`{text}`")
 
@@ -181,14 +187,30 @@ def entity_contexts(detected: DataFrame, text: str, window: int) -> DataFrame:
             first, last = _before(starts, r["start"]), _before(ends, r["end"] + 1) - 1
             return _bind(F.struct(first.alias("first"), last.alias("last")), lambda x: F.when(x["first"] <= x["last"], F.sequence(x["first"], x["last"])).otherwise(F.array().cast("array<int>")))
 
-        def around(words: Column, starts: Column) -> Column:
-            near = lambda p: F.slice(words, F.greatest(p - window, F.lit(0)) + 1, F.least(p, F.lit(window)) + window)
-            return F.transform(spans, lambda r: F.struct(r["entity"].alias("entity"), F.array_distinct(_bind(_before(starts, r["start"]), near)).alias("terms")))
+        def around(words: Column, starts: Column, covered: Column) -> Column:
+            at = F.sort_array(F.transform(spans, lambda r: F.struct(r["entity"].alias("entity"), _before(starts, r["start"]).alias("p"))))
 
-        free = F.array_except(F.sequence(F.lit(0), F.size(words) - 1), F.flatten(F.transform(spans, inside)))
-        return _bind(free, lambda free: _bind(
-            F.struct(F.transform(free, lambda i: F.lower(words[i])).alias("words"), F.transform(free, lambda i: starts[i]).alias("starts")), lambda x: around(x["words"], x["starts"])
-        ))
+            def near(r: Column, low: Column) -> Column:
+                return F.slice(words, low + 1, r["p"] + window - low)
+
+            def row(at: Column, r: Column, i: Column) -> Column:
+                low = F.greatest(r["p"] - window, F.lit(0))
+                last = F.get(at, i - 1)  # the span of the same entity before this one, if any
+                free = F.when(last["entity"] == r["entity"], F.greatest(low, last["p"] + window)).otherwise(low)
+                return F.struct(
+                    r["entity"].alias("entity"), F.array_distinct(near(r, low)).alias("terms"), near(r, free).alias("counted"),
+                    F.when(i == 0, covered).otherwise(F.array().cast(NO_TEXTS)).alias("covered"),
+                )
+
+            return _bind(at, lambda at: F.transform(at, lambda r, i: row(at, r, i)))
+
+        def both(x: Column) -> Column:
+            lower = lambda at: F.transform(at, lambda i: F.lower(words[i]))
+            free = F.struct(lower(x["free"]).alias("words"), F.transform(x["free"], lambda i: starts[i]).alias("starts"), lower(x["covered"]).alias("covered"))
+            return _bind(free, lambda y: around(y["words"], y["starts"], y["covered"]))
+
+        covered = F.array_distinct(F.flatten(F.transform(spans, inside)))
+        return _bind(covered, lambda c: _bind(F.struct(c.alias("covered"), F.array_except(F.sequence(F.lit(0), F.size(words) - 1), c).alias("free")), both))
 
     def placed(x: Column) -> Column:
         return _bind(_starts(x["gaps"], x["words"]), lambda starts: _bind(
@@ -206,17 +228,17 @@ def revealing_terms(
     contexts: DataFrame, texts: DataFrame, text: str, window: int = 8, support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95
 ) -> DataFrame:
     """(entity, term, disclosure, removed) over the corpus `texts`."""
-    distinct = contexts.select("entity", F.array_sort("terms").alias("terms")).distinct()
-    together = distinct.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    entities = distinct.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= support)
-    words = texts.select(F.explode(F.split(F.lower(F.col(f"`{text}`")), NO_WORD)).alias("term")).filter("term <> ''")
+    together = contexts.select("entity", F.explode("counted").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    entities = contexts.groupBy("entity").agg(F.count("*").alias("n_spans"), F.sum(F.size("counted")).alias("n_near")).filter(F.col("n_spans") >= support)
+    # Lowered word by word: what a letter becomes may depend on its neighbours.
+    words = texts.select(F.explode(F.split(F.col(f"`{text}`"), NO_WORD)).alias("word")).filter("word <> ''").select(F.lower("word").alias("term"), F.lit(1).alias("n"))
+    covered = contexts.select(F.explode("covered").alias("term"), F.lit(-1).alias("n"))
     folder = shared_dir(texts.sparkSession, "term-counts")
-    words.groupBy("term").agg(F.count("*").alias("n_term")).write.parquet(folder)
+    words.unionByName(covered).groupBy("term").agg(F.sum("n").alias("n_term")).filter("n_term > 0").write.parquet(folder)
     counted = texts.sparkSession.read.parquet(folder)
     n_words = counted.agg(F.sum("n_term")).first()[0] or 1
-    rates = together.filter(F.col("n_both") >= support).join(entities, "entity").join(counted, "term")
-    p_given = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    p_entity = F.least(F.lit(0.5), F.col("n_entity") * (2 * window / n_words))
+    rates = together.filter(F.col("n_both") >= support).join(entities, "entity").join(counted, "term").filter(F.col("n_near") < n_words)
+    p_given, p_entity = F.col("n_both") / F.col("n_term"), F.col("n_near") / F.lit(n_words)
     share = F.log(p_given / p_entity) / -F.log(p_entity)
     scored = rates.select("entity", "term", share.alias("disclosure"))
     return scored.filter(F.col("disclosure") >= generalise_at).withColumn("removed", F.col("disclosure") >= remove_at)
@@ -230,7 +252,7 @@ def sanitise(df: DataFrame, text: str = "text", window: int = 8, **limits) -> Da
     spark = df.sparkSession
     detected = detect(df, text)
     folder = shared_dir(spark, "entity-contexts")
-    entity_contexts(detected, text, window).write.parquet(folder)
+    entity_contexts(detected, text, window).drop("terms").write.parquet(folder)
     contexts = spark.read.parquet(folder)
     revealing = revealing_terms(contexts, df.select(df[text]), text, window, **limits)
     telling = (

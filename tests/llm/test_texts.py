@@ -1,6 +1,7 @@
 """Operators on texts against brute force, with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -233,3 +234,41 @@ def test_contexts_are_the_nearest_words(spark):
             entity = f"{k}:{match.lower() if k in ('email', 'ip') else re.sub('[^0-9]', '', match)}"
             want.append((hashlib.md5(text.encode()).hexdigest(), entity, sorted(set(near))))
     assert got == sorted(want)
+
+
+def test_terms_of_copies_and_brute_force(spark):
+    rng = random.Random(11)
+    say = lambda n: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet", "org"]) for _ in range(n))
+    copies = [f"{say(30)} Sign{i} zed{i}@example.org {say(30)}" for i in range(3)]
+    texts = copies[:1] * 300 + copies[1:] * 40 + [f"{say(10)} Rare{i % 5} mail a{i % 2}@b.org a{i % 2}@b.org Odd x +49 30 12345{i % 3}7 {say(9)} Rare{i % 4}" for i in range(30)]
+    texts += [say(300) for _ in range(60)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got = {r.doc_id: r for r in pii_sanitise.sanitise(df).collect()}
+    for i in (0, 299, 300, 301):
+        assert "Sign" not in got[i].sanitised and "[EMAIL]" in got[i].sanitised and "lorem" in got[i].sanitised
+    near, all_words, spans_of = {}, {}, {}
+    for text in filter(None, texts):
+        spans = [(k, m.start(), m.end(), m.group()) for k, p in PATTERNS.items() for m in re.finditer(p, text) if valid(k, m.group())]
+        words = [(m.group().lower(), m.start(), m.end()) for m in re.finditer(pii_sanitise.WORD, text)]
+        words = [w for w in words if not any(s <= w[1] and w[2] <= e for _, s, e, _ in spans)]
+        for w in words:
+            all_words[w[0]] = all_words.get(w[0], 0) + 1
+        places = {}
+        for k, s, _, match in spans:
+            entity = f"{k}:{match.lower() if k in ('email', 'ip') else re.sub('[^0-9]', '', match)}"
+            spans_of[entity] = spans_of.get(entity, 0) + 1
+            p = sum(w[1] < s for w in words)
+            places.setdefault(entity, set()).update(range(max(p - 8, 0), min(p + 8, len(words))))
+        for entity, at in places.items():
+            for i in at:
+                near.setdefault(entity, {}).setdefault(words[i][0], []).append(1)
+    n, want = sum(all_words.values()), {}
+    for entity, terms in near.items():
+        p_entity = sum(map(len, terms.values())) / n
+        for term, found in terms.items():
+            score = math.log(len(found) / all_words[term] / p_entity) / -math.log(p_entity)
+            if len(found) >= 3 and spans_of[entity] >= 3 and score >= 0.8:
+                want[entity, term] = score
+    contexts = pii_sanitise.entity_contexts(pii_sanitise.detect(df), "text", 8)
+    told = {(r.entity, r.term): r.disclosure for r in pii_sanitise.revealing_terms(contexts, df, "text").collect()}
+    assert told == pytest.approx(want) and ("email:zed0@example.org", "sign0") in told
