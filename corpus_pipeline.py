@@ -4,9 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which `run`
 writes and reads again as the next one's documents. All but the last return the
 columns of `documents`; n_chars follows a text that a stage has changed.
 
-Rows whose doc_id is null take part in every stage but the near-duplicates, of
-which they are none. Rows that share a doc_id stay or go together there. Empty
-documents are rejected by the first stage; no documents give no rows.
+Every stage judges rows: rows whose doc_id is null take part in all of them, and
+rows that share a doc_id are told apart among the near-duplicates. Empty documents
+are rejected by the first stage; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -37,10 +37,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest doc_id stays."""
+    """Of each component one row stays: the smallest doc_id (null last), then text hash, then row."""
+    folder = shared_dir(spark, "rows")
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(folder)  # written once, so a row keeps its number
+    rows = spark.read.parquet(folder)
+    linked = similar_components(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    keys = rows.select("__row", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.md5(F.col("text").cast("binary")).alias("hash"), "__row").alias("key"))
     folder = shared_dir(spark, "copies")
-    similar_components(docs).filter("doc_id <> component_id").select("doc_id").distinct().write.parquet(folder)
-    return docs.join(spark.read.parquet(folder), "doc_id", "left_anti").select(*docs.columns)
+    linked.join(keys, "__row").write.parquet(folder)
+    copies = spark.read.parquet(folder)
+    stays = copies.groupBy("component_id").agg(F.min("key").alias("key")).select(F.col("key.__row").alias("__row"))
+    gone = copies.select("__row").join(stays, "__row", "left_anti")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

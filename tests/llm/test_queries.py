@@ -50,3 +50,15 @@ def test_pipeline_matches_its_parts(spark):
         assert any(linked[o] == linked[d] and o != d for o in kept)
     assert len({linked[d] for d in out}) == len(out)
     assert all(r.lossless for r in out.values())
+
+
+def test_one_row_of_each_component_stays(spark):
+    import corpus_pipeline as p
+
+    text, near, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "aab")
+    near += " tail"
+    rows = [(7, text, 1), (7, text, 1), (7, text, 1), (7, other, 2), (None, near, 3), (9, near, 4)]  # repeated id, one id with two texts
+    rows += [(None, " ".join(f"c{i}" for i in range(60)), 5)] * 40 + [(None, "", 6), (None, None, 7)]  # no id at all
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int").repartition(5)
+    got = sorted((r.n_chars, r.doc_id, r.text) for r in p.near_duplicates(spark, docs, "").collect())
+    assert got == [(1, 7, text), (2, 7, other), (5, None, rows[6][1]), (6, None, ""), (7, None, None)]
