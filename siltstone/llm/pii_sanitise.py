@@ -18,8 +18,8 @@ an entity. Which words give an entity away is estimated over the whole corpus:
   words are near the entity).
 
 Terms that occur `support` times or more near an entity which itself occurs as
-often, and have a disclosure of `generalise_at`, are replaced by `[TERM]` in texts
-that hold the entity, from `remove_at` removed.
+often, and have a disclosure of `generalise_at`, are replaced by `[TERM]`, from
+`remove_at` removed, in every text, whether it holds the entity or not.
 
 The patterns are written with possessive quantifiers and, at their start, a
 look at the character before, so that matching is linear in the text; they
@@ -45,6 +45,7 @@ from siltstone.session import shared_dir
 WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 BLOCK = 128
+BROADCAST_BYTES = 1 << 25  # of marked terms, and of the texts' keys with their marked terms
 
 
 def _digits(match: Column) -> Column:
@@ -255,20 +256,31 @@ def sanitise(df: DataFrame, text: str = "text", window: int = 8, **limits) -> Da
     entity_contexts(detected, text, window).drop("terms").write.parquet(folder)
     contexts = spark.read.parquet(folder)
     revealing = revealing_terms(contexts, df.select(df[text]), text, window, **limits)
+    folder = shared_dir(spark, "marked-terms")
+    revealing.groupBy("term").agg(F.max("removed").alias("removed")).write.parquet(folder)
+    marked = spark.read.parquet(folder)
+    if marked.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0] <= BROADCAST_BYTES:  # then no word is shuffled
+        marked = F.broadcast(marked)
+    body = F.col(f"`{text}`")
+    words = df.select(F.md5(body.cast("binary")).alias("text_key"), F.explode(F.array_distinct(F.split(body, NO_WORD))).alias("word"))
     telling = (
-        contexts.select("text_key", "entity").distinct().join(revealing, "entity")
+        words.select("text_key", F.lower("word").alias("term")).join(marked, "term")
         .groupBy("text_key", "term").agg(F.max("removed").alias("removed"))
         .groupBy("text_key").agg(F.collect_list(F.struct("term", "removed")).alias("__telling"))
     )
     folder = shared_dir(spark, "revealing-terms")
-    telling.write.parquet(folder)  # a few words for each text with an entity; its size decides the join
+    telling.write.parquet(folder)
+    telling = spark.read.parquet(folder)
+    weight = 128 + F.aggregate("__telling", F.lit(0), lambda a, t: a + F.octet_length(t["term"]) + 32)
+    if telling.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0] <= BROADCAST_BYTES:  # else all texts are shuffled once
+        telling = F.broadcast(telling)
     own = [F.col(f"`{c}`") for c in df.columns]
-    keyed = detected.withColumn("__spans", base_spans()).withColumn("__key", F.when(F.size("__spans") > 0, F.md5(F.col(f"`{text}`").cast("binary"))))
-    marked = keyed.join(spark.read.parquet(folder), F.col("__key") == F.col("text_key"), "left")
+    keyed = detected.withColumn("__spans", base_spans()).withColumn("__key", F.md5(F.col(f"`{text}`").cast("binary")))
+    told = keyed.join(telling, F.col("__key") == F.col("text_key"), "left")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     has = F.col("__telling").isNotNull()
     none = F.array().cast(NO_TEXTS)
-    marked = marked.select(
+    told = told.select(
         *own, "__spans", "__telling", *[F.size(f"__{k.name}").cast("long").alias(f"n_{k.name}") for k in KINDS],
         F.when(has, F.regexp_extract_all(body, F.lit(WORD), F.lit(0))).otherwise(none).alias("__words"),
         F.when(has, F.split(body, WORD)).otherwise(none).alias("__gaps"),
@@ -282,12 +294,12 @@ def sanitise(df: DataFrame, text: str = "text", window: int = 8, **limits) -> Da
         return F.transform(picked, lambda r: F.struct(F.lit("term").alias("kind"), r["start"].alias("start"), r["end"].alias("end"), F.array_contains(removed, r["w"]).alias("removed")))
 
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,removed:boolean>>")
-    marked = marked.withColumn(
+    told = told.withColumn(
         "__terms", F.when(has & (F.size("__words") > 0), _bind(names, lambda told: _bind(gone, lambda removed: term_spans(told, removed)))).otherwise(empty)
     )
     whole = F.concat(F.transform("__spans", lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["end"].alias("end"), F.lit(False).alias("removed"))), F.col("__terms"))
-    marked = marked.withColumn("spans", whole)
-    return marked.select(
+    told = told.withColumn("spans", whole)
+    return told.select(
         *own, *[f"n_{k.name}" for k in KINDS],
         F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"),
         F.when(F.size("spans") > 0, _rewritten(body, F.col("spans"))).otherwise(F.col(f"`{text}`")).alias("sanitised"),

@@ -272,3 +272,16 @@ def test_terms_of_copies_and_brute_force(spark):
     contexts = pii_sanitise.entity_contexts(pii_sanitise.detect(df), "text", 8)
     told = {(r.entity, r.term): r.disclosure for r in pii_sanitise.revealing_terms(contexts, df, "text").collect()}
     assert told == pytest.approx(want) and ("email:zed0@example.org", "sign0") in told
+
+
+@pytest.mark.parametrize("bound", [1 << 25, 0])
+def test_marked_terms_go_from_every_text(spark, monkeypatch, bound):
+    monkeypatch.setattr(pii_sanitise, "BROADCAST_BYTES", bound)
+    rng = random.Random(5)
+    say = lambda n: " ".join(rng.choice([f"plain{i}" for i in range(40)]) for _ in range(n))
+    rows = [(i, f"{say(20)} Zorblatt {say(2)} zed@example.org {say(20)}") for i in range(60)] + [(100 + i, say(300)) for i in range(30)]
+    rows += [(200, "plain1 zorblatt, plain2"), (201, "plain1 zorblatt, plain2"), (202, "Zorblatts"), (203, None)]
+    got = {r.doc_id: r for r in pii_sanitise.sanitise(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(got) == len(rows) and got[200].sanitised == got[201].sanitised == "plain1 , plain2"
+    assert [tuple(x) for x in got[200].spans] == [("term", 7, 15)] and got[200].n_email == 0
+    assert got[202].sanitised == "Zorblatts" and got[203].sanitised is None and got[100].sanitised == rows[60][1]
