@@ -27,8 +27,8 @@ def with_planted_runs(docs: DataFrame) -> DataFrame:
 
 def _longest() -> Column:
     """Of `runs` the one of greatest length, then smallest start, then smallest period; null where there is none."""
-    ranked = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r))
-    return F.try_element_at(F.sort_array(ranked, asc=False), F.lit(1))["r"]
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"), r.alias("run")))
+    return F.try_element_at(F.sort_array(ranked, asc=False), F.lit(1))["run"]
 
 
 @query("op12_periodic_runs")
