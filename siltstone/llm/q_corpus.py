@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.periodic_runs import find_runs
 from siltstone.llm.registry import query, table
+from siltstone.llm.simhash_links import simhash_components
+from siltstone.llm.spelling_variants import group_variants, word_counts
 
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -44,3 +48,26 @@ def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op13_simhash_dedup")
+def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def with_letters_deleted(doc_id: str, words: list[str]) -> list[str]:
+    """By a checksum of document and word, one word in 199 loses a letter."""
+    out, prefix = [], zlib.crc32(f"{doc_id}:".encode())
+    for word in words:
+        h = zlib.crc32(word.encode(), prefix)
+        if h % 199 == 0:
+            at = h % len(word)
+            word = word[:at] + word[at + 1 :]
+        out.append(word)
+    return out
+
+
+@query("op11_spelling_variants")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = word_counts(table(spark, sf_dir, "documents"), change=with_letters_deleted)
+    return group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
