@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 import warnings
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.functions.types import family
+from siltstone.functions.digest import row_digest
+from siltstone.functions.types import family, is_fractional
 from siltstone.operators.keys import q
-from siltstone.sources.tables import read_if_there
+from siltstone.sources.versions import VersionLog
 
 Bound = str | dt.date | dt.datetime
 
@@ -53,10 +56,8 @@ def _past(df: DataFrame, column: str | None, watermark: Any | None, mode: str, k
     if mode == "full_load" or watermark is None or column is None:
         return None
     col, data_type = F.col(q(column)), df.schema[column].dataType
-    newer = col > F.lit(str(watermark)).cast(data_type)
-    absent = col.isNull()
-    if family(data_type) == "string":
-        absent = F.coalesce(F.trim(col) == "", F.lit(True))
+    newer, absent = col > F.lit(str(watermark)).cast(data_type), _absent(df, column)
+    if family(data_type) == "string" or is_fractional(data_type):
         newer = F.coalesce(newer, F.lit(False)) & ~absent
     return newer | absent if keep_null else newer
 
@@ -84,7 +85,7 @@ def watermark_stats(
     counts = df.agg(
         F.count(F.lit(1)).alias("rows_in_source"),
         F.count_if(taken).alias("rows_returned"),
-        F.max(F.when(taken, F.col(q(column)))).cast("string").alias("_max"),
+        F.max(F.when(taken & ~_absent(df, column), F.col(q(column)))).cast("string").alias("_max"),
     )
     return counts.select(
         F.lit("full_load" if past is None else mode).alias("mode"),
@@ -102,19 +103,100 @@ class Watermark(NamedTuple):
     last_updated: dt.datetime | None
 
 
-WATERMARK_SCHEMA = "watermark string, type string, last_updated timestamp"
+def _mark(value: Any, kind: str, at: dt.datetime | None) -> str:
+    at = at or dt.datetime.now(dt.timezone.utc)
+    return json.dumps({"watermark": str(value), "type": kind, "last_updated": at.isoformat()})
 
 
 def save_watermark(spark: SparkSession, path: str, value: Any, kind: str = "timestamp", at: dt.datetime | None = None) -> None:
-    """Append the new watermark. Call it after the sink's write has succeeded."""
-    at = at or dt.datetime.now(dt.timezone.utc)
-    spark.createDataFrame([(str(value), kind, at)], WATERMARK_SCHEMA).coalesce(1).write.mode("append").json(path)
+    """Publish the new watermark. Call it after the sink's write has succeeded."""
+    VersionLog(spark, path).publish("watermark", {"mark": _mark(value, kind, at)})
 
 
 def load_watermark(spark: SparkSession, path: str) -> Watermark:
     """The watermark saved last, or nothing."""
-    table = read_if_there(lambda: spark.read.schema(WATERMARK_SCHEMA).option("mode", "FAILFAST").json(path))
-    if table is None:
+    state = VersionLog(spark, path).state()
+    if state is None or "mark" not in state.entries:
         return Watermark(None, None, None)
-    last = table.agg(F.max_by(F.struct("*"), "last_updated").alias("w")).first()["w"]
-    return Watermark(*last) if last else Watermark(None, None, None)
+    found = json.loads(state.entries["mark"])
+    return Watermark(found["watermark"], found["type"], dt.datetime.fromisoformat(found["last_updated"]))
+
+
+DIGEST = "__digest"
+
+
+class Frontier:
+    """How far a source has been read: a mark, and the rows beside it that have been taken.
+
+    A row is new if its value is past the mark. Rows at the mark, and rows without
+    a value (null, NaN, blank text), are new if their digest was not taken before:
+    so rows that come late with the mark's own value are not lost, rows without a
+    value come once, and NaN, which is greater than all numbers, moves nothing. A row
+    equal in all columns to one that was taken beside the mark counts as that row.
+
+    Digests are kept as files beside the mark, one folder for each run that took
+    such rows; those at the mark are let go when it moves.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.log = VersionLog(spark, f"{self.path}/_versions")
+
+    def mark(self) -> Watermark:
+        return load_watermark(self.spark, self.log.path)
+
+    def _taken(self) -> DataFrame | None:
+        state = self.log.state()
+        folders = [b for e, b in state.entries.items() if e.startswith(("at/", "without/"))] if state else []
+        return self.spark.read.schema(f"{DIGEST} string").parquet(*[f"{self.path}/{f}" for f in folders]) if folders else None
+
+    def unseen(self, df: DataFrame, column: str, *, keep_null: bool = True) -> DataFrame:
+        """The rows that are new."""
+        col, mark, taken = F.col(q(column)), self.mark().watermark, self._taken()
+        absent = _absent(df, column)
+        beside = absent if keep_null else F.lit(False)
+        if mark is None:
+            past = ~absent
+        else:
+            last = F.lit(mark).cast(df.schema[column].dataType)
+            past = F.coalesce(col > last, F.lit(False)) & ~absent
+            beside = beside | (F.coalesce(col == last, F.lit(False)) & ~absent)
+        # The two are read apart, so that rows past the mark are neither digested nor joined.
+        some = df.filter(beside)
+        if taken is not None:
+            some = some.withColumn(DIGEST, row_digest(df, df.columns)).join(taken.distinct(), DIGEST, "left_anti").drop(DIGEST)
+        return df.filter(past).unionByName(some)
+
+    def advance(self, taken: DataFrame, column: str, label: str, at: dt.datetime | None = None) -> None:
+        """Publish that these rows, which `unseen` gave and a sink has written, are taken. Once for each label."""
+        if self.log.has(label):
+            return
+        col, absent, before = F.col(q(column)), _absent(taken, column), self.mark().watermark
+        kind = taken.schema[column].dataType
+        newest = taken.agg(F.max(F.when(~absent, col)).alias("m")).select(F.col("m").cast("string")).first()[0]
+        state = self.log.state()
+        entries: dict[str, str | None] = {}
+        mark = before
+        if newest is not None and newest != before:
+            mark = newest
+            entries = {e: None for e in (state.entries if state else {}) if e.startswith("at/")}
+            entries["mark"] = _mark(newest, kind.simpleString(), at)
+        last = F.lit(mark).cast(kind)
+        for name, rows in (("without", absent), ("at", F.coalesce(col == last, F.lit(False)) & ~absent)):
+            folder = f"taken/{uuid.uuid4().hex}"
+            digests = taken.filter(rows).select(row_digest(taken, taken.columns).alias(DIGEST)).distinct()
+            digests.write.parquet(f"{self.path}/{folder}")
+            if not self.spark.read.schema(f"{DIGEST} string").parquet(f"{self.path}/{folder}").isEmpty():
+                entries[f"{name}/{folder}"] = folder
+        self.log.publish(label, entries, before=state)
+
+
+def _absent(df: DataFrame, column: str) -> Column:
+    """Whether a row has no value to compare with a mark."""
+    col, data_type = F.col(q(column)), df.schema[column].dataType
+    absent = col.isNull()
+    if is_fractional(data_type):
+        absent = absent | F.coalesce(F.isnan(col.cast("double")), F.lit(False))
+    if family(data_type) == "string":
+        absent = absent | F.coalesce(F.trim(col) == "", F.lit(False))
+    return absent

@@ -112,7 +112,8 @@ def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expi
 
     A column the batch lacks keeps its value. A version cannot end before it
     began: a batch dated before the version it would end raises when the result
-    is computed, before a table publishes it.
+    is computed, before a table publishes it. A version that began at the same
+    moment never held, so the new one stands in its place.
     """
     now, open_end = _stamp(as_of), F.lit(None).cast("timestamp")
     names = [f.name for f in classified.schema["old"].dataType.fields]
@@ -131,10 +132,11 @@ def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expi
     inserted = version(
         {**fresh, "_valid_from": now, "_valid_to": open_end, "_is_current": F.lit(True), "_last_updated": now}
     )
-    status = F.col("status")
-    gone = F.array(expired) if expire_missing else F.array(kept)
+    status, at_once = F.col("status"), old["_valid_from"] == now
+    none = F.slice(F.array(kept), F.lit(1), F.lit(0))
+    gone = F.when(at_once, none).otherwise(F.array(expired)) if expire_missing else F.array(kept)
     rows = (
-        F.when(status == "new", F.array(inserted))
+        F.when((status == "new") | ((status == "changed") & at_once), F.array(inserted))
         .when(status == "changed", F.array(expired, inserted))
         .when(status == "missing", gone)
         .otherwise(F.array(kept))
@@ -173,24 +175,31 @@ def scd2_merge(
     return history.unionByName(versions_after(classified, gold.columns, as_of, expire_missing=expire_missing))
 
 
-def merge_stats(classified: DataFrame) -> DataFrame:
-    """One row: new, changed, unchanged, missing and expired (one old version per changed key)."""
+def merge_stats(classified: DataFrame, *, expire_missing: bool = False) -> DataFrame:
+    """One row: new, changed, unchanged, missing and expired (one old version per changed or, on request, missing key)."""
     by = lambda s: F.count_if(F.col("status") == s)
     return classified.agg(
         by("new").alias("new"),
         by("changed").alias("changed"),
         by("unchanged").alias("unchanged"),
         by("missing").alias("missing"),
-        by("changed").alias("expired"),
+        (by("changed") + by("missing") if expire_missing else by("changed")).alias("expired"),
     )
 
 
 def scd1_upsert(gold: DataFrame | None, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the batch's, or gold's where the batch has none.
 
-    Gold rows are not moved when the batch is small enough to broadcast.
+    Values are taken in the types gold has, and a column the batch lacks keeps
+    gold's value. Gold rows are not moved when the batch is small enough to broadcast.
     """
     latest = one_row_per_key(batch, keys, order_by)
     if gold is None:
         return latest
+    types = {f.name: f.dataType for f in gold.schema.fields}
+    latest = latest.select(*[F.col(q(c)).cast(types[c]).alias(c) if c in types else F.col(q(c)) for c in latest.columns])
+    lacking = [c for c in gold.columns if c not in batch.columns]
+    if lacking:
+        old = with_keys(gold, latest, keys).select(key_of(keys), *[F.col(q(c)) for c in lacking])
+        latest = latest.select(key_of(keys), "*").join(old, KEY, "left").drop(KEY)
     return without_keys(gold, latest, keys).unionByName(latest, allowMissingColumns=True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from siltstone.functions.digest import quoted
 from siltstone.functions.names import pii_columns
 from siltstone.operators.gold import build_gold, merge_groups, split_columns
-from siltstone.operators.incremental import date_window, load_watermark, newer_than, save_watermark
+from siltstone.operators.incremental import Frontier, date_window
 from siltstone.operators.keys import one_row_per_key
 from siltstone.operators.mapping import MappingRow, build_mapping, needs_cardinality, with_personal
 from siltstone.operators.profile import column_profile, timestamp_column
@@ -22,7 +22,7 @@ from siltstone.operators.scd2 import classify, default_keys, first_load, scd1_up
 from siltstone.operators.silver import build_silver
 from siltstone.plans.runlog import log_table, transform_log
 from siltstone.sources import writers
-from siltstone.sources.tables import HistoryTable, PartedTable, VersionedTable
+from siltstone.sources.tables import HistoryTable, KeyedTable, PartedTable, VersionedTable
 
 
 @dataclass
@@ -58,6 +58,7 @@ class RunConfig:
     group_by: str = ""
     batch_order: tuple[str, ...] = ()
     expire_missing: bool = False
+    buckets: int = 64  # folders of gold in an upsert or a history
     fixed_schema: bool | None = None
     profile_distinct: str = "approx"
     silver_table: str | None = None
@@ -103,13 +104,15 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     windowed = config.window_start is not None or config.window_end is not None
     incremental = windowed or config.watermark is not None
     stamp = config.timestamp or timestamp_column(source)
-    marks = f"{config.root}/watermark"
+    frontier = Frontier(spark, f"{config.root}/watermark")
+    if config.watermark and frontier.log.has(config.run_id):
+        raise ValueError(f"run {config.run_id} is complete and the mark has moved: its rows would not be found again")
     if windowed:
         source = date_window(source, stamp, config.window_start, config.window_end)
-    last = load_watermark(spark, marks).watermark if config.watermark else None
-    source = newer_than(source, config.watermark, last, keep_null=config.watermark_keep_null)
+    if config.watermark and config.watermark in source.columns:
+        source = frontier.unseen(source, config.watermark, keep_null=config.watermark_keep_null)
     part = _part(config, windowed)
-    bronze = _bronze(spark, source, config, windowed, part)
+    bronze = _written(spark, source, config, "bronze", part if incremental else None)
 
     profile = None
     personal = pii_columns(bronze.columns, match=config.pii_match, allow=config.pii_allow, deny=config.pii_deny)
@@ -133,9 +136,7 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     built = build_silver(bronze, mapping, rules=config.rules, order_by=order, fixed_schema=fixed)
     if built.source_rows is None:
         built.source_rows = bronze.count()
-    silver_path = f"{config.root}/silver_parts/part={part}" if incremental else f"{config.root}/silver"
-    writers.write_layer(built.df, silver_path)
-    silver = spark.read.parquet(silver_path)
+    silver = _written(spark, built.df, config, "silver", part if incremental else None)
 
     checks = quality_checks(
         silver, null_threshold=config.null_threshold, dup_threshold=config.dup_threshold,
@@ -151,11 +152,9 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     gold, added, note = _gold(spark, silver, config, incremental, part)
     _to_table(spark, config, "silver", config.silver_table, silver, silver)
     _to_table(spark, config, "gold", config.gold_table, gold, added)
-    if config.watermark:
+    if config.watermark and config.watermark in bronze.columns:
         # Only now that everything is written; a failed run is repeated from the old mark.
-        newest = bronze.agg(F.max(quoted(config.watermark)).cast("string")).first()[0]
-        if newest is not None:
-            save_watermark(spark, marks, newest, bronze.schema[config.watermark].dataType.simpleString())
+        frontier.advance(bronze, config.watermark, config.run_id)
     return RunResult(bronze, silver, gold, checks, card, log, profile, mapping, note)
 
 
@@ -168,16 +167,20 @@ def _part(config: RunConfig, windowed: bool) -> str:
     return f"{_moment(config.window_start)}_{_moment(config.window_end)}" if windowed else f"run-{config.run_id}"
 
 
-def _bronze(spark: SparkSession, source: DataFrame, config: RunConfig, windowed: bool, part: str) -> DataFrame:
-    """The raw copy: one folder per window or per run past a watermark, else the whole table."""
-    if windowed:
-        path = f"{config.root}/bronze/window={part}"
-    elif config.watermark:
-        path = f"{config.root}/bronze_runs/run_id={config.run_id}"
-    else:
-        path = f"{config.root}/bronze_full"
-    writers.write_bronze(source, path)
-    return writers.read_bronze(spark, path)
+def _written(spark: SparkSession, rows: DataFrame, config: RunConfig, layer: str, part: str | None) -> DataFrame:
+    """A layer as it was written: a part of the increments, published when it is whole, or all of a full load."""
+    if part is None:
+        table = VersionedTable(spark, f"{config.root}/{layer}")
+        table.replace(rows, config.run_id)
+        return table.read()
+    parts = PartedTable(spark, f"{config.root}/{layer}_parts")
+    parts.add_part(rows, part)
+    return parts.read_part(part)
+
+
+def read_layer(spark: SparkSession, root: str, layer: str, *, increments: bool = False) -> DataFrame | None:
+    """Bronze or silver as runs have written it: the last full load, or all parts of the increments."""
+    return PartedTable(spark, f"{root}/{layer}_parts").read() if increments else VersionedTable(spark, f"{root}/{layer}").read()
 
 
 def _fill_order(bronze: DataFrame, mapping: list[MappingRow], wanted: tuple) -> tuple[str, ...]:
@@ -192,17 +195,14 @@ def _mode(config: RunConfig, layer: str) -> str:
 
 
 def _to_table(spark: SparkSession, config: RunConfig, layer: str, name: str | None, whole: DataFrame, added: DataFrame) -> None:
-    """Replace a catalog table by the whole layer, or append the run's rows unless this run id already has."""
+    """Replace a catalog table by the whole layer, or append the run's rows; a repeated run replaces its own."""
     if name is None:
         return
     mode = _mode(config, layer)
-    if mode != "append":
+    if mode == "append":
+        writers.append_run(added, name, config.run_id)
+    else:
         writers.write_table(whole, name, mode=mode)
-        return
-    done = VersionedTable(spark, f"{config.root}/{layer}_table_appends")
-    if not done.has(config.run_id):
-        writers.write_table(added, name, mode=mode)
-        done.publish((done.latest() or 0) + 1, config.run_id, added.schema)
 
 
 def _gold(
@@ -212,19 +212,22 @@ def _gold(
     as_of = config.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     path = f"{config.root}/gold_{config.gold_mode}"
     if config.gold_mode == "scd2":
-        table = HistoryTable(spark, path)
+        table = HistoryTable(spark, path, config.buckets)
         apply_batch(table, silver, config.keys, as_of, label=config.run_id, order_by=config.batch_order, expire_missing=config.expire_missing)
         return table.read(), silver, "SCD type 2"
-    whole = VersionedTable(spark, path)
     if config.gold_mode == "scd1":
-        keys, _ = default_keys(silver.columns, config.keys)
-        before = whole.read() if incremental else None
-        whole.replace(scd1_upsert(before, silver, keys, config.batch_order), config.run_id)
-        return whole.read(), silver, "SCD type 1"
+        keyed = KeyedTable(spark, path, config.buckets)
+        if incremental:
+            upsert(keyed, silver, config.keys, label=config.run_id, order_by=config.batch_order)
+        else:
+            keys, _ = default_keys(silver.columns, config.keys)
+            keyed.write(scd1_upsert(None, silver, keys, config.batch_order), config.run_id, keys)
+        return keyed.read(), silver, "SCD type 1"
     group = split_columns(config.group_by) if config.gold_mode == "aggregate" else []
     rows, note = build_gold(silver, group)
     keys = [c for c in group if c in silver.columns]
     summed = note.startswith("Aggregated")
+    whole = VersionedTable(spark, path)
     # An aggregate keeps the sums of each load, which are small, beside the merged table.
     parts = PartedTable(spark, f"{path}_parts" if summed else path)
     if incremental:
@@ -240,16 +243,29 @@ def _gold(
 def apply_batch(
     table: HistoryTable, batch: DataFrame, keys, as_of, *, label: str, order_by=(), expire_missing: bool = False
 ) -> bool:
-    """Merge a batch into a history table once: a label that is already published is skipped."""
+    """Merge a batch into a history table once: a label that is already published is skipped.
+
+    Only the folders of the batch's keys are read and written, all of them where missing keys end.
+    """
     if table.has(label):
         return False
     keys, tracked = default_keys(batch.columns, keys)
-    current = table.current()
-    if current is None:
-        rows = first_load(one_row_per_key(batch, keys, order_by), tracked, as_of)
+    if table.schema() is None:
+        rows, touched = first_load(one_row_per_key(batch, keys, order_by), tracked, as_of), None
     else:
-        current = widened(current, batch)
+        touched = None if expire_missing else table.touched(batch, keys)
+        current = widened(table.current(touched), batch)
         classified = classify(current, batch, keys, tracked, order_by=order_by, snapshot=expire_missing)
         rows = versions_after(classified, current.columns, as_of, expire_missing=expire_missing)
-    table.add(rows, label)
+    table.write(rows, label, keys, touched, ended=~F.col("_is_current"))
+    return True
+
+
+def upsert(table: KeyedTable, batch: DataFrame, keys, *, label: str, order_by=()) -> bool:
+    """Put a batch into a table of one row per key, once; only the folders of its keys are read and written."""
+    if table.has(label):
+        return False
+    keys, _ = default_keys(batch.columns, keys)
+    touched = None if table.schema() is None else table.touched(batch, keys)
+    table.write(scd1_upsert(table.current(touched), batch, keys, order_by), label, keys, touched)
     return True

@@ -10,13 +10,13 @@ from siltstone.operators import cdc, scd2
 from siltstone.operators.mapping import build_mapping
 from siltstone.operators.profile import column_profile
 from siltstone.plans.inputs import DIRTY, SNAPSHOTS, dirty_sales, snapshots, table
-from siltstone.plans.layered import RunConfig, apply_batch, run
+from siltstone.plans.layered import RunConfig, apply_batch, run, upsert
 from siltstone.plans.q_profile import SILVER, silver_sales
 from siltstone.plans.q_quality import CARD, SILVER_COLUMNS, _with_status, checks_sql
 from siltstone.plans.registry import query
 from siltstone.plans.runlog import lineage_edges, log_table, transform_log
 from siltstone.session import shared_dir
-from siltstone.sources.tables import HistoryTable
+from siltstone.sources.tables import HistoryTable, KeyedTable
 from siltstone.streaming import ingest as streams
 
 KEY = "o_orderkey"
@@ -424,3 +424,83 @@ def _fill_defaults(spark, sf_dir):
     )
     config = RunConfig(root=shared_dir(spark, "run"), keys=(KEY, "ref_id"), timestamp="o_orderdate", on_fail="warn")
     return run(spark, orders, config).gold.select(KEY, *FILLED)
+
+
+@query(
+    "c06_same_moment",
+    SNAPSHOTS + f"""SELECT o_orderkey, o_custkey, o_totalprice, '{FIRST}' AS valid_from, CAST(NULL AS VARCHAR) AS valid_to, TRUE AS is_current, '{FIRST}' AS last_updated FROM new
+    UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, '{FIRST}', NULL, TRUE, '{FIRST}' FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)""",
+)
+def _same_moment(spark, sf_dir):
+    # Two batches of one moment: versions that never held are replaced.
+    old, new = snapshots(spark, sf_dir)
+    gold = HistoryTable(spark, shared_dir(spark, "history"), buckets=8)
+    apply_batch(gold, old, [KEY], FIRST, label="first")
+    apply_batch(gold, new, [KEY], FIRST, label="second")
+    return _readable(gold.read())
+
+
+@query("c07_expired_missing", EVENTS + "SELECT COUNT(*) FILTER (WHERE op = 'delete') AS missing, COUNT(*) FILTER (WHERE op IN ('update', 'delete')) AS expired FROM ev")
+def _expired_missing(spark, sf_dir):
+    old, new = snapshots(spark, sf_dir)
+    classified = scd2.classify(scd2.first_load(old, _tracked(old), FIRST), new, [KEY], _tracked(old), snapshot=True)
+    return scd2.merge_stats(classified, expire_missing=True).select("missing", "expired")
+
+
+@query(
+    "c08_narrow_batch",
+    SNAPSHOTS + """SELECT COALESCE(n.o_orderkey, o.o_orderkey) AS o_orderkey, o.o_orderpriority, COALESCE(n.o_totalprice, o.o_totalprice) AS o_totalprice
+    FROM old o FULL OUTER JOIN new n ON o.o_orderkey = n.o_orderkey""",
+)
+def _narrow_upsert(spark, sf_dir):
+    # Batches by folder of the table; the second lacks a column, whose values stay, and comes twice.
+    old, new = snapshots(spark, sf_dir)
+    gold = KeyedTable(spark, shared_dir(spark, "gold"), buckets=8)
+    upsert(gold, old, [KEY], label="first")
+    for _ in range(2):
+        upsert(gold, new.drop("o_orderpriority"), [KEY], label="second")
+    return gold.read().select(KEY, "o_orderpriority", "o_totalprice")
+
+
+def _marked_runs(spark, orders, sf_dir):
+    """Three runs past a watermark, of which the last brings rows that were late."""
+    root, done = shared_dir(spark, "run"), None
+    for i, part in enumerate((F.col(KEY) % 3 == 0, F.col(KEY) % 3 < 2, F.lit(True))):
+        config = RunConfig(root=root, keys=(KEY,), timestamp="o_orderdate", watermark="mark", on_fail="warn", null_override="flag", run_id=f"run-{i}")
+        done = run(spark, orders.filter(part), config, done.mapping if done else None)
+    return done.gold.select(KEY, "o_totalprice")
+
+
+@query("f02_null_marks", "SELECT o_orderkey, o_totalprice FROM orders")
+def _null_marks(spark, sf_dir):
+    # A row in five has no mark; the marks of the others rise from run to run.
+    key = F.col(KEY)
+    orders = table(spark, sf_dir, "orders").withColumn("mark", F.when(key % 5 != 0, key % 3))
+    return _marked_runs(spark, orders, sf_dir)
+
+
+@query("f02_nan_marks", "SELECT o_orderkey, o_totalprice FROM orders")
+def _nan_marks(spark, sf_dir):
+    key = F.col(KEY)
+    orders = table(spark, sf_dir, "orders").withColumn("mark", F.when(key % 5 == 0, F.lit(float("nan"))).otherwise((key % 3).cast("double")))
+    return _marked_runs(spark, orders, sf_dir)
+
+
+@query("f02_late_ties", "SELECT o_orderkey, o_totalprice FROM orders")
+def _late_ties(spark, sf_dir):
+    # All rows have one mark and come in three loads.
+    return _marked_runs(spark, table(spark, sf_dir, "orders").withColumn("mark", F.lit("2024-01-01")), sf_dir)
+
+
+@query("k02_wider_part", "SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE o_custkey * 5000000000 END AS BIGINT) AS v FROM orders")
+def _wider_part(spark, sf_dir):
+    # A column is int in one window and bigint in the next.
+    orders, root = table(spark, sf_dir, "orders"), shared_dir(spark, "run")
+    halves = (orders.filter("o_orderkey % 2 = 0").select(KEY, "o_orderdate", F.col("o_custkey").cast("int").alias("v")),
+              orders.filter("o_orderkey % 2 <> 0").select(KEY, "o_orderdate", (F.col("o_custkey").cast("bigint") * 5000000000).alias("v")))
+    done = None
+    for i, half in enumerate(halves):
+        at = (F.lit("2024-01-01").cast("date") + F.lit(i)).cast("timestamp")
+        config = RunConfig(root=root, keys=(KEY,), timestamp="at", window_start=f"2024-01-0{i + 1}", window_end=f"2024-01-0{i + 2}", on_fail="warn", null_override="flag")
+        done = run(spark, half.withColumn("at", at), config, done.mapping if done else None)
+    return done.gold.select(KEY, "v")

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.digest import quoted
+
 BRONZE_PARTITION = "ingest_date"
 
 
@@ -56,6 +58,25 @@ def write_table(df: DataFrame, name: str, *, mode: str = "append", path: str | N
     writer.saveAsTable(name)
 
 
+RUN = "_run_id"
+
+
+def append_run(df: DataFrame, name: str, run_id: str) -> None:
+    """Append to a catalog table once: the rows of a run are a partition, which a repeated run replaces.
+
+    A column the table does not know raises, one the rows lack is null.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.withColumn(RUN, F.lit(run_id)).limit(0).write.partitionBy(RUN).saveAsTable(name)
+    columns = [f for f in spark.table(name).schema.fields if f.name != RUN]
+    unknown = set(df.columns) - {f.name for f in columns}
+    if unknown:
+        raise ValueError(f"columns that table {name} does not have: {sorted(unknown)}")
+    rows = df.select(*[(F.col(quoted(f.name)) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in columns])
+    spark.sql("INSERT OVERWRITE TABLE IDENTIFIER({name}) PARTITION (_run_id = {run}) SELECT * FROM {rows}", name=name, run=run_id, rows=rows)
+
+
 def append_records(df: DataFrame, path: str, run_id: str) -> None:
     """Check or log rows of one run; a rerun with the same id replaces its own rows."""
     marked = df.withColumn("run_id", F.lit(run_id))

@@ -5,10 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators import cdc, incremental, keys, scd2
-from siltstone.plans.layered import RunConfig, apply_batch, run
+from siltstone.plans.layered import RunConfig, apply_batch, read_layer, run, upsert
 from siltstone.operators.quality import QualityGateError
 from siltstone.session import shared_dir
-from siltstone.sources.tables import HistoryTable, VersionedTable
+from siltstone.sources import versions
+from siltstone.sources.tables import HistoryTable, KeyedTable, PartedTable
+from siltstone.sources.versions import VersionLog, folder_names
 from siltstone.streaming.ingest import file_stream, stream_history
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
@@ -116,7 +118,7 @@ def test_history_table_counts_a_label_once_and_ignores_unpublished_writes(spark)
     assert apply_batch(table, orders(spark, (1, 1, "a"), (2, 1, "b")), ["k", "r"], T1, label="one")
     assert not apply_batch(table, orders(spark, (1, 1, "zzz")), ["k", "r"], T2, label="one")
     # A write that was never published leaves no trace.
-    table.read().limit(1).write.partitionBy("_is_current").parquet(table.path(2))
+    table.read().limit(1).write.parquet(f"{table.root}/data/unfinished")
     assert table.read().count() == 2
     assert apply_batch(table, orders(spark, (1, 1, "A")), ["k", "r"], T2, label="two")
     assert apply_batch(table, orders(spark, (1, 1, "AA")), ["k", "r"], T3, label="three")
@@ -253,7 +255,7 @@ def test_incremental_runs_build_history(spark):
         RunConfig(window_start="2024-01-02", window_end="2024-01-03", as_of=T3, run_id="r2", **base), one.mapping,
     )
     assert sorted((r["id"], r["amount"], r["_is_current"]) for r in again.gold.collect()) == got
-    assert spark.read.parquet(f"{root}/bronze").count() == 4
+    assert read_layer(spark, root, "bronze", increments=True).count() == 4
     # An empty increment is a run like any other.
     empty = run(
         spark, sales(spark, (9, 9.0, "2023-01-02T05:00:00")),
@@ -287,7 +289,7 @@ def test_block_stops_before_gold(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "id bigint, note string")
     with pytest.raises(QualityGateError):
         run(spark, df, RunConfig(root=root, null_override="flag"))
-    assert spark.read.parquet(f"{root}/silver").count() == 2
+    assert read_layer(spark, root, "silver").count() == 2
     assert VersionedTable(spark, f"{root}/gold_passthrough").read() is None
 
 
@@ -355,10 +357,10 @@ def test_windows_of_one_day_and_a_full_load_lose_nothing(spark, mode):
             assert sorted(r["id"] for r in gold.collect()) == list(range(24))
 
     check(last.gold)
-    assert spark.read.parquet(f"{root}/bronze").count() == 24 and spark.read.parquet(f"{root}/silver_parts").count() == 24
+    assert read_layer(spark, root, "bronze", increments=True).count() == read_layer(spark, root, "silver", increments=True).count() == 24
     assert spark.table(name).count() == 24
     check(run(spark, everything, RunConfig(run_id="c", **{**base, "silver_table": None}), first.mapping).gold)
-    assert spark.read.parquet(f"{root}/silver_parts").count() == 24
+    assert read_layer(spark, root, "silver", increments=True).count() == 24
 
 
 def test_gold_that_is_a_whole_is_not_appended(spark):
@@ -379,3 +381,144 @@ def test_a_key_with_a_null_is_filled_along_the_rest(spark):
     rows = sales(spark, *[(i, 1.0, t) for i, t in enumerate(HOURS)]).withColumn("id", F.expr("nullif(id, 7)"))
     done = run(spark, rows, RunConfig(root=shared_dir(spark, "run"), keys=("id",), timestamp="at", on_fail="warn"))
     assert sorted(r["id"] for r in done.gold.collect()) == sorted([*range(7), 6, *range(8, 24)])
+
+
+def data_files(spark, root):
+    """Paths of data files below a table's folder."""
+    return {r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/data").select("path").collect()}
+
+
+@pytest.mark.parametrize("kind", ["history", "upsert"])
+def test_a_small_batch_writes_its_share_of_folders(spark, kind):
+    rows = spark.range(4000).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("r"), F.lit("a").alias("v"))
+    batch = rows.filter("k % 400 = 7").withColumn("v", F.lit("b"))  # ten keys
+    if kind == "history":
+        table = HistoryTable(spark, shared_dir(spark, "gold"), buckets=100)
+        put = lambda df, at, label: apply_batch(table, df, ["k"], at, label=label)
+    else:
+        table = KeyedTable(spark, shared_dir(spark, "gold"), buckets=100)
+        put = lambda df, at, label: upsert(table, df, ["k"], label=label)
+    put(rows, T1, "one")
+    before = data_files(spark, table.root)
+    put(batch, T2, "two")
+    written = data_files(spark, table.root) - before
+    folders = {p.rsplit("/", 1)[0] for p in written if "_state=current" in p}
+    assert 0 < len(folders) <= 10
+    now = table.current()
+    assert now.count() == 4000 and now.filter("v = 'b'").count() == 10
+    if kind == "history":
+        assert table.read().count() == 4010
+    wider = batch.withColumn("k", F.col("k").cast("bigint"))  # the same keys in another type
+    put(wider.withColumn("v", F.lit("c")), T3, "three")
+    assert table.current().count() == 4000 and table.current().filter("v = 'c'").count() == 10
+
+
+def test_a_narrow_upsert_keeps_what_it_lacks(spark):
+    gold = spark.createDataFrame([(1, "a", "p"), (2, "b", None), (None, "n", "q")], "k int, v string, w string")
+    batch = spark.createDataFrame([(1, "A"), (None, "N"), (3, "c")], "k int, v string")
+    got = scd2.scd1_upsert(gold, batch, ["k"]).select("k", "v", "w")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, "A", "p"), (2, "b", None), (None, "N", "q"), (3, "c", None)], key=repr)
+
+
+def test_a_version_of_no_length_is_replaced(spark):
+    gold = scd2.first_load(orders(spark, (1, 1, "a"), (2, 2, "b")), ["v"], T1)
+    merged = scd2.scd2_merge(gold, orders(spark, (1, 1, "x")), ["k", "r"], ["v"], T1, expire_missing=True)
+    assert state(merged) == [(1, 1, "x", T1, "None", True)]
+
+
+def test_expired_counts_missing_keys_that_end(spark):
+    gold = scd2.first_load(orders(spark, (1, 1, "a"), (2, 1, "b"), (3, 1, "c")), ["v"], T1)
+    classified = scd2.classify(gold, orders(spark, (1, 1, "a"), (2, 1, "B")), ["k", "r"], ["v"], snapshot=True)
+    assert scd2.merge_stats(classified, expire_missing=True).first()["expired"] == 2
+    assert scd2.merge_stats(classified).first()["expired"] == 1
+
+
+class Killed(Exception):
+    pass
+
+
+def test_a_part_stays_until_its_successor_is_whole(spark, monkeypatch):
+    table = PartedTable(spark, shared_dir(spark, "parts"))
+    table.add_part(spark.range(5), "a")
+    table.add_part(spark.range(7), "b")
+    monkeypatch.setattr(VersionLog, "publish", lambda *a, **k: (_ for _ in ()).throw(Killed()))
+    with pytest.raises(Killed):  # all files are written, but not published
+        table.add_part(spark.range(100), "a")
+    monkeypatch.undo()
+    failing = spark.range(100).withColumn("id", F.when(F.col("id") == 99, F.raise_error(F.lit("stop")).cast("bigint")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="stop"):  # killed half-way
+        table.add_part(failing, "a")
+    assert table.read().count() == 12
+    table.add_part(spark.range(3), "a")
+    assert table.read().count() == 10 and table.parts() == ["a", "b"]
+
+
+def test_parts_with_other_types_and_columns(spark):
+    table = PartedTable(spark, shared_dir(spark, "parts"))
+    table.add_part(spark.sql("SELECT 1 AS v, 'x' AS a"), "one")
+    table.add_part(spark.sql("SELECT 5000000000L AS v, date'2024-01-01' AS d"), "two")
+    table.add_part(spark.sql("SELECT 0.5D AS v"), "three")
+    assert table.read().schema["v"].dataType.simpleString() == "double"
+    assert sorted(r["v"] for r in table.read().collect()) == [0.5, 1.0, 5e9]
+    before = data_files(spark, table.root)
+    with pytest.raises(Exception, match="column v|CAST|incompatible|INCOMPATIBLE"):
+        table.add_part(spark.sql("SELECT 'text' AS v"), "four")
+    assert data_files(spark, table.root) == before and table.read().count() == 3
+
+
+def test_many_publications_leave_few_files_to_read(spark, monkeypatch):
+    monkeypatch.setattr(versions, "SEGMENT", 6)
+    log = VersionLog(spark, shared_dir(spark, "log"))
+    log.publish("first", {"kept": "k", "gone": "g"})
+    n = 15
+    for i in range(2, n + 1):
+        log.publish(f"label-{i}", {"last": str(i), **({"gone": None} if i == 5 else {})})
+    assert log.state() == (n, f"label-{n}", {"kept": "k", "last": str(n)})
+    assert log.has("first") and log.has(f"label-{n}") and not log.has("label-0")
+    newest = folder_names(spark, log.path)[-1]
+    assert len(folder_names(spark, f"{log.path}/{newest}")) <= 6
+
+
+def test_a_run_that_fails_after_its_append_is_not_doubled(spark, monkeypatch):
+    root = shared_dir(spark, "run")
+    name = "a" + root.rsplit("-", 1)[-1]
+    base = dict(root=root, timestamp="at", silver_table=name, table_mode="append", null_override="flag")
+    everything = sales(spark, *[(i, 2.0, t) for i, t in enumerate(HOURS)])
+    windows = [dict(window_end="2024-01-01 10:00:00", run_id="a"), dict(window_start="2024-01-01 10:00:00", run_id="b")]
+    first = run(spark, everything, RunConfig(**windows[0], **base))
+    from siltstone.sources import writers
+
+    append = writers.append_run
+    monkeypatch.setattr(writers, "append_run", lambda *a: (append(*a), (_ for _ in ()).throw(Killed())))
+    with pytest.raises(Killed):
+        run(spark, everything, RunConfig(**windows[1], **base), first.mapping)
+    monkeypatch.undo()
+    assert spark.table(name).count() == 24
+    run(spark, everything, RunConfig(**windows[1], **base), first.mapping)
+    assert spark.table(name).count() == 24
+    with pytest.raises(ValueError, match="does not have"):
+        writers.append_run(spark.range(1).toDF("other"), name, "c")
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "string", "timestamp"])
+def test_rows_beside_the_mark_come_once(spark, kind):
+    """Null, NaN and blank marks come once, late rows with the mark's own value are not lost."""
+    value = lambda n: {"bigint": n, "double": float(n), "string": f"2024-01-0{n}", "timestamp": dt.datetime(2024, 1, n)}[kind]
+    odd = {"double": [(90, float("nan"))], "string": [(90, " ")]}.get(kind, [])
+    frontier = incremental.Frontier(spark, shared_dir(spark, "marks"))
+    loads = [
+        ([(1, value(1)), (2, None), *odd], {1, 2, *[i for i, _ in odd]}),
+        ([(3, value(2)), (4, value(2))], {3, 4}),
+        ([(5, value(2)), (6, None), (7, value(1))], {5, 6}),  # 7 is past
+        ([], set()),
+        ([(8, value(3))], {8}),
+    ]
+    source = []
+    for i, (rows, want) in enumerate(loads):
+        source += rows
+        new = frontier.unseen(spark.createDataFrame(source, f"id int, m {kind}"), "m")
+        assert {r["id"] for r in new.collect()} == want, i
+        frontier.advance(spark.createDataFrame(new.collect(), new.schema), "m", f"run-{i}")
+        frontier.advance(new, "m", f"run-{i}")  # again: nothing happens
+    assert frontier.mark().watermark.startswith(str(value(3))[:10])
+    assert frontier.unseen(spark.createDataFrame(source, f"id int, m {kind}"), "m", keep_null=False).count() == 0
