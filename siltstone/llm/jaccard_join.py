@@ -51,7 +51,8 @@ HOT = 200_000  # shingles put last in the order: 3 MB are broadcast
 GROUP = 2_000  # sets compared with one head in a task
 LONG_LIST = 1 << 16  # entries of one list held at once
 LEAST_BITS = 1024  # of a set's parity map
-BROADCAST_IDS = 1 << 21  # 16 MB
+BLOCK_SETS = 1 << 12  # of a list compared with each other in a task
+BROADCAST_ROWS = 1 << 20  # of 32 bytes
 
 
 def _least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -125,18 +126,18 @@ def document_sets(docs: DataFrame, text: str) -> DataFrame:
 
 
 def postings(docs: DataFrame, text: str, hot: dict[int, int]) -> DataFrame:
-    """(token, sid, n, pos): the index entries of each set, `hot` shingles last in the order."""
+    """(token, sid, n_pos): the index entries of each set, `hot` shingles last in the order; size and place are one number."""
     names = np.array(sorted(hot), np.int64).view(np.uint64)
     order = np.argsort(names)
     shared = docs.sparkSession.sparkContext.broadcast((names[order], np.array([hot[k] for k in sorted(hot)], np.int64)[order]))
-    types = {"token": pa.int64(), "sid": pa.int64(), "n": pa.int32(), "pos": pa.int32()}
+    types = {"token": pa.int64(), "sid": pa.int64(), "n_pos": pa.int64()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = shared.value
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                tokens, sids, sizes, places = [], [], [], []
+                tokens, sids, places = [], [], []
                 for s in shingle_sets(texts_of(part, "text")):
                     sid = _sid(s)
                     if not len(s) or sid in seen:
@@ -152,14 +153,13 @@ def postings(docs: DataFrame, text: str, hot: dict[int, int]) -> DataFrame:
                     first = s[: len(s) - -(-4 * len(s) // 5) + 1]
                     tokens.append(first)
                     sids.append(np.full(len(first), sid, np.int64))
-                    sizes.append(np.full(len(first), len(s), np.int32))
-                    places.append(np.arange(len(first), dtype=np.int32))
+                    places.append(np.arange(len(first)) << 32 | len(s))
                 if tokens:
-                    yield _rows({"token": np.concatenate(tokens).view(np.int64), "sid": np.concatenate(sids), "n": np.concatenate(sizes), "pos": np.concatenate(places)}, types)
+                    yield _rows({"token": np.concatenate(tokens).view(np.int64), "sid": np.concatenate(sids), "n_pos": np.concatenate(places)}, types)
 
     # A row without an id has no part in links.
     picked = docs.filter(docs["doc_id"].isNotNull()).select(docs[text].alias("text"))
-    return picked.mapInArrow(scan, "token bigint, sid bigint, n int, pos int")
+    return picked.mapInArrow(scan, "token bigint, sid bigint, n_pos bigint")
 
 
 def heads_and_lists(entries: DataFrame) -> DataFrame:
@@ -220,6 +220,8 @@ def heads_and_lists(entries: DataFrame) -> DataFrame:
             nonlocal open_list
             if not len(columns[0]):
                 return
+            if open_list is not None and columns[0][0] != open_list[0]:
+                open_list = None  # it ended with the batch before; the next list has a head of its own
             if open_list is not None and not part:
                 mine = columns[0] == open_list[0]
                 if mine.any():
@@ -231,7 +233,8 @@ def heads_and_lists(entries: DataFrame) -> DataFrame:
             yield from lists(*columns, part)
 
         for batch in batches:
-            columns = [np.concatenate([r, batch.column(i).to_numpy()]) for i, r in enumerate(rest)]
+            token, sid, n_pos = (c.to_numpy() for c in batch.columns)
+            columns = [np.concatenate(x) for x in zip(rest, (token, sid, n_pos & 0xFFFFFFFF, n_pos >> 32), strict=True)]
             token = columns[0]
             last = int(np.searchsorted(token, token[-1]))  # sorted: where the last list begins
             if last:
@@ -242,7 +245,7 @@ def heads_and_lists(entries: DataFrame) -> DataFrame:
                 rest = [c[:0] for c in rest]
         yield from flush(rest, False)
 
-    placed = entries.repartition("token").sortWithinPartitions("token", "pos", "n", "sid")
+    placed = entries.repartition("token").sortWithinPartitions("token", "n_pos", "sid")  # by place, then size
     return placed.mapInArrow(scan, "kind int, list bigint, head bigint, n_head int, sid bigint, n int")
 
 
@@ -257,9 +260,8 @@ def overlaps(docs: DataFrame, text: str, sets: DataFrame, pairs: DataFrame) -> D
     members.unionByName(heads).join(place, "sid").write.parquet(folder)
     wanted = spark.read.parquet(folder)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[text].alias("text"))
-    ids = wanted.select("doc_id").distinct()
-    if ids.count() <= BROADCAST_IDS:  # then only the texts to compare are shuffled, else all
-        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
+    if wanted.count() <= BROADCAST_ROWS:  # then only the texts to compare are shuffled, and once
+        wanted = F.broadcast(wanted)
     texts = texts.join(wanted, "doc_id")
     types = {"head": pa.int64(), "sid": pa.int64(), "n_head": pa.int32(), "n": pa.int32(), "both": pa.int32()}
 
@@ -287,16 +289,18 @@ def overlaps(docs: DataFrame, text: str, sets: DataFrame, pairs: DataFrame) -> D
 def pairs_left(members: DataFrame) -> DataFrame:
     """Pairs (head, sid) of different components in one list that their overlaps with its head do not rule out.
 
-    members: list, sid, n, root, both (null where not known), parities.
+    members: list, sid, n, root, both (null where not known), parities. A list of more
+    than BLOCK_SETS is cut into parts, and each pair of parts is a task's work of its own.
     """
     types = {"head": pa.int64(), "sid": pa.int64()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 5 + [np.zeros(0, object)]
+        rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 6 + [np.zeros(0, object)]
 
-        def pairs(sid: np.ndarray, n: np.ndarray, root: np.ndarray, both: np.ndarray, maps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def pairs(sid: np.ndarray, n: np.ndarray, root: np.ndarray, both: np.ndarray, part: np.ndarray, maps: np.ndarray) -> Iterator[pa.RecordBatch]:
             order = np.argsort(n, kind="stable")
-            sid, n, root, both, maps = sid[order], n[order], root[order], both[order], maps[order]
+            sid, n, root, both, part, maps = sid[order], n[order], root[order], both[order], part[order], maps[order]
+            across = part.max() != part.min()  # two parts: only pairs between them
             length = np.array([len(m) for m in maps])  # grows with n
             bits, skipped = np.zeros((0, 1), np.uint64), 0
             most = np.where(both < 0, n, both)  # not known: all of it may be shared
@@ -306,7 +310,8 @@ def pairs_left(members: DataFrame) -> DataFrame:
                 # Sorted by size: a block of sizes that can match follows.
                 j = slice(i + 1, int(np.searchsorted(n, 5 * n[i] // 4, side="right")))
                 bound = np.minimum(np.minimum(most[i], most[j]) + np.minimum(other[i], other[j]), np.minimum(n[i], n[j]))
-                ok = np.flatnonzero((root[j] != root[i]) & (bound >= _least_overlap(n[i], n[j]))) + i + 1
+                open_ = (root[j] != root[i]) & (bound >= _least_overlap(n[i], n[j]))
+                ok = np.flatnonzero(open_ & (part[j] != part[i]) if across else open_) + i + 1
                 if len(ok):
                     if bits.shape[1] * 8 != length[i]:
                         bits, skipped = _folded(maps[i:], length[i]), i
@@ -327,15 +332,22 @@ def pairs_left(members: DataFrame) -> DataFrame:
                     yield from pairs(*part)
 
         for batch in batches:
-            bits = np.array([*batch.column(5).to_pylist(), None], object)[:-1]
-            new = [*[batch.column(i).to_numpy() for i in range(5)], bits]
+            bits = np.array([*batch.column(6).to_pylist(), None], object)[:-1]
+            new = [*[batch.column(i).to_numpy() for i in range(6)], bits]
             columns = [np.concatenate(x) for x in zip(rest, new, strict=True)]
             last = int(np.searchsorted(columns[0], columns[0][-1]))
             yield from whole([c[:last] for c in columns])
             rest = [c[last:] for c in columns]
         yield from whole(rest)
 
-    placed = members.select("list", "sid", F.col("n").cast("long"), "root", F.coalesce("both", F.lit(-1)).cast("long").alias("both"), "parities")
+    parts = members.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
+    dealt = members.join(parts, "list").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    block = F.when(F.col("parts") == 1, F.col("list")).otherwise(F.xxhash64("list", F.least("part", "other"), F.greatest("part", "other")))
+    placed = dealt.select(
+        block.alias("list"), "sid", F.col("n").cast("long"), "root", F.coalesce("both", F.lit(-1)).cast("long").alias("both"),
+        F.col("part").cast("long"), "parities",
+    )
     return placed.repartition("list").sortWithinPartitions("list", "sid").mapInArrow(scan, "head bigint, sid bigint").distinct()
 
 

@@ -8,8 +8,9 @@ runner-up this gives a margin; a margin below `min_margin` sets `rejected`.
 
 The dictionaries are fitted on a bounded sample: about `sample_docs` texts a
 language, the first `sample_chars` characters of each, `dictionary_bytes` in
-all, drawn by a hash of the text. That bound is a parameter and the same at
-every size of the input. Prediction reads whole texts.
+all, drawn by a hash of the text from the distinct texts of each language, of which at
+least one is taken. That bound is a parameter and the same at every size of the
+input. Prediction reads whole texts.
 
 Defined results: a null text, a text without a letter, and any text when no
 language was learned give `und` with score 0. Rows without a label, or whose
@@ -64,17 +65,18 @@ def fit(
     usable = labelled.select(labelled[text].alias("t"), labelled[lang].alias("l")).filter(
         F.col("l").isNotNull() & F.col("t").rlike("\\p{L}")
     )
-    sizes = usable.groupBy("l").count().limit(MAX_LANGUAGES + 1).collect()
+    # Copies are one text: they stand or fall together in the draw, so a language's texts are counted once each.
+    usable = usable.withColumn("h", F.xxhash64("t", F.lit("draw")))
+    sizes = usable.groupBy("l").agg(F.approx_count_distinct("h").alias("texts"), F.min("h").alias("least")).limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: is {lang!r} a label?")
     if not sizes:
         return {}
-    # A draw by hash keeps about four times what is needed, whatever the size of a language.
-    drawn = F.xxhash64("t", F.lit("draw"))
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], min(1.0, 4 * sample_docs / r["count"]))])
+    # A draw by hash keeps about four times what is needed, whatever the size of a language, and its least hash.
+    bound = {r["l"]: max(r["least"], int(2.0**64 * min(1.0, 4 * sample_docs / max(1, r["texts"])) - 2.0**63) - 1) for r in sizes}
+    most = F.create_map(*[F.lit(x) for lang, h in bound.items() for x in (lang, min(h, 2**63 - 1))])
     rows = (
-        usable.withColumn("h", drawn)
-        .filter((F.col("h") / F.lit(2.0**64) + 0.5) <= share[F.col("l")])
+        usable.filter(F.col("h") <= most[F.col("l")].cast("bigint"))
         .select("l", "h", F.substring("t", 1, sample_chars).alias("t"))
         .distinct()
         .collect()

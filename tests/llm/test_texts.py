@@ -136,6 +136,40 @@ def test_jaccard_components(spark):
     assert jaccard_join.similar_components(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_a_list_has_one_head_whatever_the_batches(spark, monkeypatch):
+    """Long lists that end with a batch, and whose successor is long too."""
+    monkeypatch.setattr(jaccard_join, "LONG_LIST", 4)
+    rows = [(t, 1000 * t + i, (i << 32) + 10) for t, size in enumerate([8, 8, 1, 16, 12, 2, 4, 30]) for i in range(size)]
+    entries = spark.createDataFrame(rows, "token long, sid long, n_pos long").repartition(1)
+    for size in (1, 2, 3, 4, 5, 8, 100):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+        found = jaccard_join.heads_and_lists(entries).filter("kind = 1").collect()
+        heads = {}
+        for r in found:
+            heads.setdefault(r.sid // 1000, set()).add(r.head)
+        assert heads == {t: {1000 * t} for t in (0, 1, 3, 4, 6, 7)}
+        assert len({(r.list, r.sid) for r in found}) == 8 + 8 + 16 + 12 + 4 + 30
+        assert len({r.list for r in found}) == 6
+
+
+def test_no_link_is_lost_in_long_lists(spark, monkeypatch):
+    """Many sets share a passage of rare words; lists are long and dealt in blocks."""
+    monkeypatch.setattr(jaccard_join, "LONG_LIST", 6)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 5)
+    monkeypatch.setattr(jaccard_join, "GROUP", 4)
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(25)]
+    rows = []
+    for i in range(60):
+        family = rng.randrange(9)
+        own = [f"f{family}w{j}" for j in range(rng.choice([4, 12, 30, 90]))]
+        if rng.random() < 0.6:
+            own[rng.randrange(len(own))] = f"x{rng.randrange(5)}"
+        rows.append((i, " ".join(passage + own)))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_components(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert found == components(rows)
+
+
 def repeats(rows, length):
     texts = [(i, (t or "").encode()) for i, t in rows]
     count = {}
@@ -203,6 +237,20 @@ def test_terms_that_give_an_entity_away(spark):
     assert got[10].sanitised == rows[6][1] and got[10].spans == [] and got[99].sanitised is None and got[98].sanitised == ""
 
 
+def test_a_text_copied_most_of_the_time_hides_no_language(spark):
+    rng = random.Random(11)
+    english = [f"the {rng.choice(['cat', 'dog', 'house'])} was {rng.choice(['under', 'over'])} the {i} bridges of this town" for i in range(30)]
+    german = [f"die {rng.choice(['Katze', 'Maus'])} war {rng.choice(['unter', 'auf'])} den {i} Brücken dieser Stadt" for i in range(30)]
+    copied = "there is one text that has been copied again and again"
+    rows = [(e, "en") for e in english] + [(g, "de") for g in german]
+    copies = spark.range(200_000).select(F.lit(copied).alias("text"), F.lit("en").alias("lang"))
+    learned = spark.createDataFrame(rows, "text string, lang string").unionByName(copies)
+    found = language_id.fit(learned, sample_docs=16)
+    assert set(found) == {"de", "en"} and found["en"].count(b"\n") > 10
+    asked = spark.createDataFrame([(1, "the bridges were under the house"), (2, "die Brücken waren unter der Stadt")], SCHEMA)
+    assert [r.lang_pred for r in language_id.predict(asked, found).orderBy("doc_id").collect()] == ["en", "de"]
+
+
 def test_language_edges(spark):
     df = spark.createDataFrame([*ODD, (9, "123 !?")], SCHEMA)
     learned = spark.createDataFrame([("the cat and the dog", "en"), ("die Katze und der Hund", "de"), (None, "xx"), ("le chat", None)], "text string, lang string")
