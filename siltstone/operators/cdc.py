@@ -7,20 +7,70 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.digest import row_digest
 from siltstone.functions.missing import is_missing
-from siltstone.operators.keys import KEY, one_row_per_key, q
+from siltstone.operators.keys import KEY, key_of, one_row_per_key, q
 
 OPS = ("insert", "update", "delete", "unchanged")
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, key: str, *, order_by: Sequence[str] = ()) -> DataFrame:
+def _aligned(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """All columns, in the types that hold both sides' values."""
+    both = df.limit(0).unionByName(other.limit(0), allowMissingColumns=True).schema
+    return df.select(*[(F.col(q(c)) if c in df.columns else F.lit(None)).cast(both[c].dataType).alias(c) for c in columns])
+
+
+def _digest_first(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Keys and row digests are compared; rows are fetched for keys that differ."""
+    rest = [c for c in columns if c != key]
+
+    def side(df: DataFrame, other: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        rows = _aligned(df.filter(~is_missing(F.col(q(key)), df.schema[key].dataType)), other, columns)
+        short = rows.select(F.col(q(key)).alias("pk"), F.unhex(row_digest(rows, rest)).alias("_digest"))
+        single = one_row_per_key(short, ["pk"], keep_key=True).select(KEY, F.col("pk").alias(f"_{name}_pk"), F.col("_digest").alias(f"_{name}"))
+        return single, rows.select(key_of([key]), F.struct(*[F.col(q(c)) for c in columns]).alias(name))
+
+    before, old_rows = side(old, new, "before")
+    after, new_rows = side(new, old, "after")
+    pairs = before.join(after, KEY, "full_outer").select(
+        KEY,
+        F.coalesce("_after_pk", "_before_pk").alias("pk"),
+        F.when(F.col("_before").isNull(), F.lit("insert"))
+        .when(F.col("_after").isNull(), F.lit("delete"))
+        .when(F.col("_before") != F.col("_after"), F.lit("update"))
+        .otherwise(F.lit("unchanged"))
+        .alias("op"),
+    )
+    changed = F.array_compact(F.array(*[F.when(~F.col(f"before.{q(c)}").eqNullSafe(F.col(f"after.{q(c)}")), F.lit(c)) for c in rest]))
+    # A large side is looked up from, which Spark does without moving it where few keys differ.
+    wanted = pairs.filter("op <> 'unchanged'")
+    olds = old_rows.join(wanted.filter("op <> 'insert'").select(KEY), KEY, "left_semi")
+    news = new_rows.join(wanted.filter("op <> 'delete'").select(KEY), KEY, "left_semi")
+    none = F.array().cast("array<string>")
+    differing = wanted.join(olds, KEY, "left").join(news, KEY, "left").select(
+        "pk", "op", "before", "after", F.when(F.col("op") == "update", changed).otherwise(none).alias("changed_cols")
+    )
+    images = [F.lit(None).cast(differing.schema[c].dataType).alias(c) for c in ("before", "after")]
+    return differing.unionByName(pairs.filter("op = 'unchanged'").select("pk", "op", *images, none.alias("changed_cols")))
+
+
+def snapshot_diff(old: DataFrame, new: DataFrame, key: str, *, order_by: Sequence[str] = (), images: str = "all") -> DataFrame:
     """One row per key: `op`, images before and after, and the changed columns.
 
     Rows without a key are ignored. A key that occurs twice in a snapshot needs
-    `order_by` (the last row wins) or raises. One exchange per side: collapsing
-    to one row per key and the join share it.
+    `order_by` (the last row wins) or raises. `images="all"` gives every key its
+    rows: one exchange per side of whole rows, which collapsing to one row per key
+    and the join share. `images="changed"` leaves the images of unchanged keys null:
+    only keys and digests are exchanged, and rows of keys that differ. It takes no
+    `order_by`.
     """
     columns = list(dict.fromkeys([*new.columns, *old.columns]))
+    if images not in ("all", "changed"):
+        raise ValueError("images is 'all' or 'changed'")
+    if images == "changed":
+        if order_by:
+            raise ValueError("images='changed' compares one row per key; bring the snapshots to that first")
+        return _digest_first(old, new, key, columns)
 
     def side(df: DataFrame, name: str) -> DataFrame:
         keyed = df.filter(~is_missing(F.col(q(key)), df.schema[key].dataType))

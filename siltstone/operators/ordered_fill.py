@@ -11,15 +11,17 @@ only rows with a gap are joined to the filled positions.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.missing import is_null
 from siltstone.operators.keys import q
 from siltstone.session import shared_dir
+from siltstone.sources.versions import VersionLog
 
 
 # At most about this many positions are filled by one task.
@@ -33,9 +35,13 @@ def ordered_fill(
     *,
     drop_unfilled: bool = True,
     blocks: int | None = None,
+    before: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Fill gaps of `columns` with the last value before them, else the first after.
 
+    `before` holds values that stood in front of these rows (literals), for
+    increments: they fill what has no value before it here.
+
     The order columns should tell rows apart. Rows that tie have one position,
     whose value is the largest present one. Rows that nothing can fill are
     dropped (a column without any value).
@@ -76,16 +82,17 @@ def ordered_fill(
             )
         ]
     )
+    known = dict(before or {})
     # One row per block: few enough for one task. Spark broadcasts it if it is small.
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     anywhere = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried = edges.select(
         "_block",
         *[
             F.coalesce(
-                F.last(f"_last{i}", True).over(before), F.first(f"_first{i}", True).over(anywhere)
+                F.last(f"_last{i}", True).over(earlier), known.get(c, F.lit(None)).cast(source[c]), F.first(f"_first{i}", True).over(anywhere)
             ).alias(f"_c{i}")
-            for i in range(len(columns))
+            for i, c in enumerate(columns)
         ],
     )
     so_far = Window.partitionBy("_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -116,7 +123,55 @@ def ordered_fill(
     return whole.unionByName(mended)
 
 
-def _position_schema(positions: DataFrame):
-    from pyspark.sql import types as T
-
+def _position_schema(positions: DataFrame) -> T.StructType:
     return T.StructType([*positions.schema.fields, T.StructField("_block", T.IntegerType())])
+
+
+class FillState:
+    """What increments leave to those after them: the place of the last row and the last value of each filled column.
+
+    An increment takes the values of the one that ended last before it begins. So a
+    window that is loaded again, or late, is filled as it would have been in its turn;
+    windows loaded before it keep what they have.
+    """
+
+    OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str], order_by: Sequence[str]):
+        self.spark, self.columns = spark, list(columns)
+        self.names = [*columns, *order_by]
+        self.log = VersionLog(spark, path)
+        place = T.StructType([T.StructField(f"o{i}", schema[c].dataType) for i, c in enumerate(order_by)])
+        values = [T.StructField(f"v{i}", schema[c].dataType) for i, c in enumerate(columns)]
+        self.types = T.StructType([T.StructField("names", T.ArrayType(T.StringType())), T.StructField("place", place), *values])
+        self.place = F.struct(*[F.col(q(c)).alias(f"o{i}") for i, c in enumerate(order_by)])
+        self.taken: str | None = None
+
+    def _read(self, text: str | Column) -> Column:
+        return F.from_json(F.lit(text) if isinstance(text, str) else text, self.types, self.OPTIONS)
+
+    def values(self, rows: DataFrame, part: str) -> dict[str, Column]:
+        """Literals to fill the rows of a part with; none where no part before it filled the same columns."""
+        state = self.log.state()
+        others = [(b,) for e, b in state.entries.items() if e != part] if state else []
+        if not others:
+            return {}
+        first = rows.agg(F.to_json(F.struct(F.min(self.place).alias("place")), self.OPTIONS)).first()[0]
+        known = self.spark.createDataFrame(others, "text string").withColumn("s", self._read(F.col("text")))
+        same = F.col("s.names") == F.array(*[F.lit(c) for c in self.names])
+        before = known.filter(same & (F.col("s.place") < self._read(first)["place"]))
+        self.taken = before.agg(F.max_by("text", "s.place")).first()[0]
+        return {c: self._read(self.taken)[f"v{i}"] for i, c in enumerate(self.columns)} if self.taken else {}
+
+    def save(self, rows: DataFrame, part: str) -> None:
+        """Publish what the rows of a part leave, after `values` of the same part."""
+        types = {f.name: f.dataType for f in rows.schema.fields}
+        last = [F.max_by(q(c), F.when(~is_null(F.col(q(c)), types[c]), self.place)).alias(f"v{i}") for i, c in enumerate(self.columns)]
+        now = rows.agg(F.max(self.place).alias("place"), *last).filter("place IS NOT NULL")
+        values = [F.col(f"v{i}") for i in range(len(self.columns))]
+        if self.taken:
+            values = [F.coalesce(v, self._read(self.taken)[f"v{i}"]).alias(f"v{i}") for i, v in enumerate(values)]
+        names = F.array(*[F.lit(c) for c in self.names]).alias("names")
+        line = now.select(F.to_json(F.struct(names, "place", *values), self.OPTIONS).alias("text")).first()
+        if line is not None:
+            self.log.publish(part, {part: line["text"]})

@@ -39,18 +39,18 @@ def column_profile(
     *,
     distinct: str = "exact",
     exact_for: Sequence[str] = (),
-    scan: str = "once",
+    scan: str = "per_column",
 ) -> DataFrame:
     """One row per column: dtype, nulls, null % (2 digits, ties to even), distinct values.
 
     `distinct="approx"` keeps a sketch of a few KB per column and task and
     shuffles nothing but those; columns in `exact_for` are still counted exactly.
 
-    Exact counts shuffle the distinct values of every column. `scan="once"`
-    reads the input once, which multiplies its rows by the number of columns
-    before they are collapsed: right for an input that is costly to compute.
-    `scan="per_column"` reads each column on its own: of a columnar file that is
-    the same number of bytes, and every row stays one narrow value.
+    Exact counts shuffle the distinct values of every column. `scan="per_column"`
+    reads each column on its own: of a columnar file that is the same number of
+    bytes, and every row stays one narrow value. `scan="once"` reads the input
+    once, which multiplies its rows by the number of columns before they are
+    collapsed: only for an input that is narrow and costly to compute.
     """
     if scan not in ("once", "per_column"):
         raise ValueError("scan is 'once' or 'per_column'")

@@ -171,8 +171,9 @@ def build_silver(
     fixed_schema: bool = False,
     dedup: bool = True,
     counted: bool = True,
+    before: Mapping[str, Column] | None = None,
 ) -> Silver:
-    """Apply a mapping.
+    """Apply a mapping. `before` holds values for ordered fills from earlier increments.
 
     `fixed_schema=True` adds every flag column whether or not the data needs
     it, looks at no data, and is what streams use. Otherwise one aggregate over
@@ -197,7 +198,7 @@ def build_silver(
         """Fills that follow each other share one pass over the rows kept so far."""
         nonlocal base, pending_drops
         if pending_fills:
-            base = ordered_fill(base.filter(_all(kept[pending_drops:])), pending_fills, order_by)
+            base = ordered_fill(base.filter(_all(kept[pending_drops:])), pending_fills, order_by, before=before)
             pending_drops = len(kept)
             pending_fills.clear()
 

@@ -17,6 +17,7 @@ from siltstone.operators.incremental import Frontier, date_window
 from siltstone.operators.keys import one_row_per_key
 from siltstone.operators.mapping import MappingRow, build_mapping, needs_cardinality, with_personal
 from siltstone.operators.profile import column_profile, timestamp_column
+from siltstone.operators.ordered_fill import FillState
 from siltstone.operators.quality import gate, quality_checks, scorecard
 from siltstone.operators.scd2 import classify, default_keys, first_load, scd1_upsert, versions_after, widened
 from siltstone.operators.silver import build_silver
@@ -133,7 +134,10 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
         mapping = with_personal(mapping, bronze.schema, personal)
     fixed = incremental if config.fixed_schema is None else config.fixed_schema
     order = config.order_by or _fill_order(bronze, mapping, (stamp, *config.keys))
-    built = build_silver(bronze, mapping, rules=config.rules, order_by=order, fixed_schema=fixed)
+    filled = [row.source_column for row in mapping if row.strategy == "ffill_bfill_else_drop" and row.source_column in bronze.columns]
+    fills = FillState(spark, f"{config.root}/fill_state", bronze.schema, filled, order) if incremental and filled else None
+    before = fills.values(bronze, part) if fills else None
+    built = build_silver(bronze, mapping, rules=config.rules, order_by=order, fixed_schema=fixed, before=before)
     if built.source_rows is None:
         built.source_rows = bronze.count()
     silver = _written(spark, built.df, config, "silver", part if incremental else None)
@@ -152,6 +156,8 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     gold, added, note = _gold(spark, silver, config, incremental, part)
     _to_table(spark, config, "silver", config.silver_table, silver, silver)
     _to_table(spark, config, "gold", config.gold_table, gold, added)
+    if fills:
+        fills.save(bronze, part)
     if config.watermark and config.watermark in bronze.columns:
         # Only now that everything is written; a failed run is repeated from the old mark.
         frontier.advance(bronze, config.watermark, config.run_id)
@@ -186,7 +192,7 @@ def read_layer(spark: SparkSession, root: str, layer: str, *, increments: bool =
 def _fill_order(bronze: DataFrame, mapping: list[MappingRow], wanted: tuple) -> tuple[str, ...]:
     """The wanted order columns but for those to be filled along it; all other columns where none is left."""
     filled = {row.source_column for row in mapping if row.strategy == "ffill_bfill_else_drop"}
-    left = tuple(c for c in wanted if c and c not in filled)
+    left = tuple(dict.fromkeys(c for c in wanted if c and c not in filled))
     return left or tuple(c for c in bronze.columns if c not in filled)
 
 

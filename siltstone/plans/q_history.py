@@ -504,3 +504,55 @@ def _wider_part(spark, sf_dir):
         config = RunConfig(root=root, keys=(KEY,), timestamp="at", window_start=f"2024-01-0{i + 1}", window_end=f"2024-01-0{i + 2}", on_fail="warn", null_override="flag")
         done = run(spark, half.withColumn("at", at), config, done.mapping if done else None)
     return done.gold.select(KEY, "v")
+
+
+@query(
+    "c01_digest_first",
+    EVENTS + "SELECT pk, op, CASE WHEN op <> 'unchanged' THEN price_before END AS price_before, CASE WHEN op <> 'unchanged' THEN price_after END AS price_after, changed FROM ev",
+)
+def _digest_first(spark, sf_dir):
+    events = cdc.snapshot_diff(*snapshots(spark, sf_dir), KEY, images="changed")
+    return events.select(
+        "pk", "op", F.col("before.o_totalprice").alias("price_before"), F.col("after.o_totalprice").alias("price_after"),
+        F.array_join("changed_cols", ",").alias("changed"),
+    )
+
+
+@query(
+    "c03_digest_counts",
+    EVENTS + """SELECT COUNT(*) FILTER (WHERE op = 'insert') AS inserts, COUNT(*) FILTER (WHERE op = 'update') AS updates, COUNT(*) FILTER (WHERE op = 'delete') AS deletes,
+    COUNT(*) FILTER (WHERE op = 'unchanged') AS unchanged, COUNT(*) FILTER (WHERE op <> 'delete') AS total_processed FROM ev""",
+)
+def _digest_counts(spark, sf_dir):
+    return cdc.diff_counts(cdc.snapshot_diff(*snapshots(spark, sf_dir), KEY, images="changed"))
+
+
+@query("c01_digest_replayed", SNAPSHOTS + "SELECT o_orderkey, o_custkey, o_totalprice FROM new")
+def _digest_replayed(spark, sf_dir):
+    old, new = snapshots(spark, sf_dir)
+    rebuilt = cdc.apply_diff(old, cdc.snapshot_diff(old, new, KEY, images="changed"), KEY)
+    return rebuilt.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query(
+    "n06_two_windows",
+    "WITH cut AS (SELECT MAX(o_orderkey) // 2 AS half FROM orders), g AS (SELECT o_orderkey, "
+    "CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey NOT BETWEEN half + 1 AND half + 10 THEN o_orderkey * 2 END AS ref_id FROM orders, cut) "
+    "SELECT o_orderkey, COALESCE(LAST_VALUE(ref_id IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING), "
+    "FIRST_VALUE(ref_id IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS ref_id FROM g",
+)
+def _two_windows(spark, sf_dir):
+    # The second window begins with gaps that the first one's last value fills.
+    key = F.col(KEY)
+    orders = table(spark, sf_dir, "orders")
+    half = orders.agg(F.max(KEY)).first()[0] // 2
+    orders = orders.select(KEY, F.when((key % 7 != 0) & ~key.between(half + 1, half + 10), key * 2).alias("ref_id"))
+    at = F.when(key <= half, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("timestamp")
+    root, done = shared_dir(spark, "run"), None
+    for day in (1, 2, 2):  # the second window is repeated
+        config = RunConfig(
+            root=root, keys=(KEY,), timestamp="at", window_start=f"2024-01-0{day}", window_end=f"2024-01-0{day + 1}",
+            on_fail="warn", run_id=f"day-{day}",
+        )
+        done = run(spark, orders.withColumn("at", at), config, done.mapping if done else None)
+    return done.gold.select(KEY, "ref_id")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from siltstone.operators.keys import without_keys
 from siltstone.operators.mapping import MappingRow
 from siltstone.operators.silver import build_silver
 from siltstone.plans.layered import apply_batch
-from siltstone.sources.tables import HistoryTable
+from siltstone.sources.tables import HistoryTable, read_if_there
 
 
 def file_stream(spark: SparkSession, path: str, schema, *, pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
@@ -57,8 +59,57 @@ def stream_distinct(stream: DataFrame, event_time: str, keys: Sequence[str], del
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark had passed them and were dropped, over the kept progress reports."""
+LATE_SCHEMA = "query string, batch bigint, late bigint"
+
+
+class LateRows(StreamingQueryListener):
+    """Keeps a table of the rows that came after the watermark had passed them and were dropped.
+
+    Spark itself keeps the last 100 progress reports of a query; this adds each
+    report that tells of late rows to a table, one folder for a batch, so that a
+    batch that runs again replaces its own count. Register it with
+    `spark.streams.addListener` before the query starts.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        late = sum(op.numRowsDroppedByWatermark for op in report.stateOperators)
+        if late:
+            line = self.spark.createDataFrame([(str(report.id), report.batchId, late)], LATE_SCHEMA)
+            line.coalesce(1).write.mode("overwrite").json(f"{self.path}/{report.id}-{report.batchId}")
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
+
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Until all reports of a query that has ended are in the table; they come after its end."""
+        until = time.monotonic() + seconds
+        while str(query.id) not in self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no word of the end of query {query.id}")
+            time.sleep(0.05)
+
+    def table(self) -> DataFrame:
+        """(query, batch, late)."""
+        found = read_if_there(lambda: self.spark.read.schema(LATE_SCHEMA).json(f"{self.path}/*"))
+        return self.spark.createDataFrame([], LATE_SCHEMA) if found is None else found
+
+
+def late_rows(query: StreamingQuery, kept: LateRows | None = None) -> int:
+    """Rows dropped as late: of all batches with a `LateRows` table, else over the last 100 progress reports."""
+    if kept is not None:
+        total = kept.table().filter(F.col("query") == str(query.id)).agg(F.sum("late")).first()[0]
+        return int(total or 0)
     return sum(op["numRowsDroppedByWatermark"] for report in query.recentProgress for op in report["stateOperators"])
 
 

@@ -168,6 +168,30 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(spark):
     assert sorted(r["id"] for r in spark.read.parquet(f"{out}/d").collect()) == [1, 2, 4]
 
 
+def test_late_rows_of_more_batches_than_spark_remembers(spark):
+    path, out = shared_dir(spark, "in"), shared_dir(spark, "out")
+    n = 12  # batches; Spark is told to remember four
+    rows = [(i, 0 if i else 600) for i in range(n)]  # the first file moves the watermark, all others are late
+    for i, minutes in rows:
+        at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(mins=F.lit(minutes))
+        spark.range(i, i + 1 + i % 2).select(F.col("id").cast("int").alias("id"), at.alias("ts")).coalesce(1).write.mode("append").parquet(path)
+    kept = streams.LateRows(spark, shared_dir(spark, "late"))
+    spark.streams.addListener(kept)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "4")
+    try:
+        stream = streams.file_stream(spark, path, "id int, ts timestamp_ntz", files_per_batch=1)
+        query = streams.ingest(streams.stream_distinct(stream, "ts", ["id"]), f"{out}/d", f"{out}/c", trigger="available")
+        query.awaitTermination()
+        kept.wait(query)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(kept)
+    arrived = sum(1 + i % 2 for i, _ in rows if i)
+    left = spark.read.parquet(f"{out}/d").count() - 1
+    assert streams.late_rows(query, kept) == arrived - left > streams.late_rows(query)
+    assert kept.table().count() > 4
+
+
 def test_no_local_checkpoint_or_python_udf_in_the_package():
     root = os.path.dirname(session.__file__)
     for folder, _, files in os.walk(root):

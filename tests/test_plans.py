@@ -3,8 +3,11 @@
 import contextlib
 import io
 import os
+import re
 
 import pytest
+from pyspark.sql import functions as F
+
 from siltstone.operators import anomaly, cdc, scd2
 from siltstone.operators.incremental import date_window
 from siltstone.operators.profile import column_profile, duplicate_stats
@@ -89,3 +92,28 @@ def test_a_small_batch_does_not_move_gold(spark):
 def test_modes_collapse_before_the_shuffle(spark):
     text = plan(anomaly.modes(anomaly.value_counts(table(spark, SF, "orders"), ["o_orderstatus"])))
     assert "Window" not in text
+
+
+def test_exact_profile_makes_no_copies_of_rows(spark):
+    text = plan(column_profile(table(spark, SF, "lineitem")))
+    assert "Expand" not in text
+
+
+def test_examples_of_outliers_take_one_scan_whatever_the_columns(spark):
+    lines = table(spark, SF, "lineitem")
+    tests = [(c, F.col(c) > 2, F.abs(F.col(c))) for c in ("l_quantity", "l_extendedprice", "l_tax")]
+    text = plan(anomaly.extremes(lines, tests)).split("\n\n\n")[0]
+    assert text.count("Scan parquet") == 1 and "WindowGroupLimit" in text
+
+
+def test_unchanged_rows_do_not_travel(spark):
+    """Both large exchanges carry a key and a digest; rows are fetched from the scan for keys that differ."""
+    old, new = snapshots(spark, SF)
+    counts = cdc.diff_counts(cdc.snapshot_diff(old, new, "o_orderkey", images="changed"))
+    text = plan(counts)
+    shuffled = [line for line in text.splitlines() if line.startswith("Arguments: hashpartitioning") or "Output" in line and "before" in line]
+    assert shuffled
+    for block in text.split("\n\n"):
+        if re.search(r"\) Exchange", block):
+            inputs = re.search(r"Input \[\d+\]: \[(.*)\]", block)
+            assert not inputs or "o_totalprice" not in inputs[1]

@@ -239,11 +239,12 @@ def test_standard_clean(spark):
     assert out.columns == ["first_name", "when", "val", "n", "val_is_null"]
     assert dict(out.dtypes)["n"] == "int" and dict(out.dtypes)["when"] == "timestamp"
     assert out.count() == 2
-    assert [s["action"] for s in log] == ["Column Name Normalization", "Whitespace Strip", "Date Parsing — when", "Duplicate Removal", "Null Flagging"]
+    assert [s["code"] for s in log] == ["rename", "strip", "date", "copies", "null_flag"]
+    assert log[3] == {"step": 4, "code": "copies", "columns": [], "rows_in": 3, "rows_out": 2}
     filled, _ = clean.standard_clean(df, "fill_median")
     assert sorted(r["val"] for r in filled.collect()) == [1.0, 1.0]
     dropped, log = clean.standard_clean(df, "drop")
-    assert dropped.count() == 1 and log[-1]["rows_affected"] == "1 removed"
+    assert dropped.count() == 1 and (log[-1]["rows_in"], log[-1]["rows_out"]) == (2, 1)
     with pytest.raises(ValueError, match="share a name"):
         clean.normalise_names(spark.createDataFrame([(1, 2)], "`a b` int, a_b int"))
 
@@ -268,7 +269,8 @@ def test_first_rows_that_mislead_decide_nothing(spark):
     assert out.filter("a IS NULL").count() == 0
     mostly = spark.range(100).selectExpr("if(id % 10 = 0, concat('2024-99-0', id % 7, id), date_format(date_add(date'2024-01-01', int(id)), 'yyyy-MM-dd')) AS a")
     _, log = clean.standard_clean(mostly)
-    assert next(s for s in log if s["action"].startswith("Date Parsing"))["rows_affected"].startswith("90 rows, 10 unreadable")
+    date = next(s for s in log if s["code"] == "date")
+    assert (date["columns"], date["parsed"], date["unreadable"]) == (["a"], 90, 10)
 
 
 @pytest.mark.parametrize("max_distinct", [100_000, 5])
