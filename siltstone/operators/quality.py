@@ -126,6 +126,9 @@ def scorecard(checks: DataFrame) -> DataFrame:
     )
 
 
+SHOWN = 5  # failed checks that a message names
+
+
 def gate(card, *, on_fail: str = "block", min_score: float = 0.0, checks: DataFrame | None = None) -> None:
     """Raise when a check failed (`on_fail="block"`) or the score is below `min_score`.
 
@@ -136,8 +139,11 @@ def gate(card, *, on_fail: str = "block", min_score: float = 0.0, checks: DataFr
     if card["failed"] > 0 and on_fail == "block":
         detail = ""
         if checks is not None:
-            bad = checks.filter("status = 'FAIL'").orderBy("check_no").limit(5).collect()
+            # The first few in words; the rest is in the checks that were written, and its number is told.
+            bad = checks.filter("status = 'FAIL'").orderBy("check_no").limit(SHOWN).collect()
             detail = "".join(f"\n  {r['column']}: {r['check']} (value: {r['value']})" for r in bad)
+            if card["failed"] > len(bad):
+                detail += f"\n  and {card['failed'] - len(bad)} more"
         raise QualityGateError(f"score {card['dq_score_pct']}%, {card['failed']} check(s) failed{detail}")
     if card["dq_score_pct"] < min_score:
         raise QualityGateError(f"score {card['dq_score_pct']}% is below {min_score}%")

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.masks import sha256_hex
 from siltstone.functions.missing import nan_to_null
@@ -134,12 +135,36 @@ def split_rules(rules: str) -> list[tuple[str, str]]:
     return found
 
 
-def apply_rules(df: DataFrame, rules: str) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """Spark SQL expressions, each seeing the columns of those before; a bad one is warned about and left out."""
+# Types whose text gives the same value again.
+PLAIN_TYPES = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def apply_rules(
+    df: DataFrame, rules: str, *, failures: list[tuple[str, str]] | None = None
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Spark SQL expressions, each seeing the columns of those before; a bad one is warned about and left out.
+
+    A row whose expression raises (division by zero, a cast, an overflow) gets null,
+    as long as the result is a number, text, a truth value or a time. With
+    `failures` a helper column that tells these rows is left in and (rule, helper)
+    added to the list.
+    """
     applied = []
     for name, expression in split_rules(rules):
         try:
-            df = df.withColumn(name, F.expr(expression))
+            kind = df.select(F.expr(expression)).schema[0].dataType
+            if isinstance(kind, PLAIN_TYPES):
+                # try_to_binary is null where what it is given raises; a letter in front tells null from failure.
+                marked = F.expr(f"try_to_binary(coalesce(concat('v', CAST(({expression}) AS STRING)), 'n'), 'utf-8')")
+                text = F.decode(F.col("_marked"), "utf-8")
+                value = F.when(text.startswith("v"), F.substring(text, F.lit(2), F.length(text))).cast(kind)
+                failed = f"_failed{len(applied)}"
+                held = df.withColumn("_marked", marked).withColumn(name, value)
+                df = held.withColumn(failed, F.col("_marked").isNull()).drop("_marked") if failures is not None else held.drop("_marked")
+                if failures is not None:
+                    failures.append((name, failed))
+            else:
+                df = df.withColumn(name, F.expr(expression))
             applied.append((name, expression))
         except AnalysisException as error:
             warnings.warn(f"rule left out: {name} = {expression}: {error}", stacklevel=2)
@@ -251,8 +276,13 @@ def build_silver(
             *[changed[c].alias(c) if c in changed else F.col(q(c)) for c in base.columns], *flags
         )
     if rules:
-        out, applied = apply_rules(out, rules)
-        steps += [{"kind": "rule", "column": c, "expression": e} for c, e in applied]
+        failures = [] if counted and not fixed_schema else None
+        out, applied = apply_rules(out, rules, failures=failures)
+        found = {}
+        if failures:
+            found = out.agg(*[F.count_if(helper).alias(c) for c, helper in failures]).first().asDict()
+            out = out.drop(*[helper for _, helper in failures])
+        steps += [{"kind": "rule", "column": c, "expression": e, "failed": found.get(c, 0)} for c, e in applied]
 
     silver = Silver(out, steps=steps)
     candidates = clamp_candidates(out, clamp_words)

@@ -351,3 +351,26 @@ def _median(spark, sf_dir):
 )
 def _drop_any(spark, sf_dir):
     return gappy_sales(spark, sf_dir).na.drop("any").select("transaction_id", "customer_email", "unit_price")
+
+
+RAISING = "ratio=o_totalprice / (o_orderkey % 5); code=CAST(o_orderpriority AS INT); part=o_custkey % (o_orderkey % 2)"
+
+
+@query(
+    "f09_raising_rules",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice / (o_orderkey % 5) END AS ratio, CAST(NULL AS INTEGER) AS code,
+    CASE WHEN o_orderkey % 2 <> 0 THEN o_custkey % (o_orderkey % 2) END AS part FROM orders""",
+)
+def _raising_rules(spark, sf_dir):
+    out, _ = sv.apply_rules(table(spark, sf_dir, "orders"), RAISING)
+    return out.select("o_orderkey", "ratio", "code", "part")
+
+
+@query(
+    "f09_raising_counts",
+    """SELECT 'ratio' AS rule, COUNT(*) FILTER (WHERE o_orderkey % 5 = 0) AS failed FROM orders UNION ALL SELECT 'code', COUNT(*) FROM orders
+    UNION ALL SELECT 'part', COUNT(*) FILTER (WHERE o_orderkey % 2 = 0) FROM orders""",
+)
+def _raising_counts(spark, sf_dir):
+    built = sv.build_silver(table(spark, sf_dir, "orders"), [], rules=RAISING)
+    return spark.createDataFrame([(s["column"], s["failed"]) for s in built.steps if s["kind"] == "rule"], "rule string, failed bigint")

@@ -55,7 +55,8 @@ def transform_log(silver: Silver, silver_rows: int) -> list[tuple]:
                      s["before"], rows)
             case "rule":
                 e = s["expression"]
-                note(f"custom_{c}", f"Custom: {c} = {e}", f"Custom business rule applied: {c}={e}", rows, rows)
+                lost = f"; null in {s['failed']} row(s) where it raised" if s.get("failed") else ""
+                note(f"custom_{c}", f"Custom: {c} = {e}", f"Custom business rule applied: {c}={e}{lost}", rows, rows)
             case "clamp":
                 n = silver.negatives.get(c)
                 found = f"{n} negative value(s)" if n is not None else "Negative values"

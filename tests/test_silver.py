@@ -284,3 +284,17 @@ def test_order_statistics_of_infinite_values(spark, max_distinct):
     with pytest.raises(ValueError, match="narrows nothing"):
         order_statistics(df, {"v": [0]}, accuracy=4)
     assert order_statistics(df, {"v": [50]}, max_distinct=1, accuracy=10) == {("v", 50): values[50]}
+
+
+def test_a_rule_that_raises_gives_null_in_its_rows(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 2, 'x'), (4, 0, '7'), (null, 3, null) t(a, b, s)")
+    failures = []
+    rules = "d=a / b; n=CAST(s AS INT); w=d + n; e=concat(s, ''); m=array(a, b); t=timestamp'2024-01-01 00:00:00.123456'; z=9223372036854775807L + a"
+    out, applied = sv.apply_rules(df, rules, failures=failures)
+    got = {r["b"]: r for r in out.collect()}
+    assert [c for c, _ in applied] == ["d", "n", "w", "e", "m", "t", "z"] and got[0]["m"] == [4, 0]
+    assert (got[2]["d"], got[0]["d"], got[3]["d"]) == (0.5, None, None)
+    assert (got[2]["n"], got[0]["n"], got[2]["e"], got[3]["e"], got[0]["z"]) == (None, 7, "x", None, None)
+    assert got[2]["t"].microsecond == 123456
+    told = {c: [got[b][f] for b in (2, 0, 3)] for c, f in failures}
+    assert told["d"] == [False, True, False] and told["n"] == [True, False, False] and told["z"] == [True, True, False]
