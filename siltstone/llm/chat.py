@@ -81,6 +81,18 @@ def _mask(turns: Column, trained_roles: tuple[str, ...]) -> Column:
     return F.flatten(F.transform(turns, runs))
 
 
+def trained_texts(formatted: Column, mask_runs: Column) -> Column:
+    """The texts under the loss mask, cut out of a formatted conversation by the mask's lengths and unescaped.
+
+    Three runs (head, text, end) tell of each turn, so turns are cut one by one.
+    """
+    def cut(part: Column, i: Column) -> Column:
+        head, text = F.get(mask_runs, 3 * i), F.get(mask_runs, 3 * i + 1)
+        return F.when(text["trained"], unescape(F.substring(part, head["chars"] + 1, text["chars"])))
+
+    return F.array_compact(F.transform(F.split(formatted, r"<\|im_end\|>\n"), cut))
+
+
 def format_chats(
     rows: DataFrame,
     conv_id: str = "conv_id",

@@ -16,6 +16,8 @@ from siltstone.llm.suffix_dedup import remove_repeats
 from siltstone.llm.token_counts import Rollup, count_tokens
 from siltstone.session import shared_dir
 
+GAPS = r"[\x20\x09-\x0D]+"
+
 QUALITY_COLUMNS = (
     "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
 )
@@ -76,13 +78,19 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents are inserted, those labelled toxic taken down; the load is then sent again."""
+    """All documents under two tokenizer versions; those labelled toxic are taken down, and the
+    first version's counts revised to those of texts with single blanks; a load is then sent again."""
     docs = table(spark, sf_dir, "documents")
     toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
     rollup = Rollup(spark, shared_dir(spark, "token-counts"))
-    counted = count_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", "byte_bpe_50k")
+    first, second = "byte_bpe_50k", "byte_bpe_multi_50k"
+    counted = count_tokens(docs, f"{TOKENIZERS}/{first}.tiktoken", first)
     rollup.commit("load", counted)
-    rollup.commit("takedown", deletes=toxic.withColumn("tokenizer", F.lit("byte_bpe_50k")))
+    rollup.commit("load-second", count_tokens(docs, f"{TOKENIZERS}/{second}.tiktoken", second))
+    versions = F.explode(F.array(F.lit(first), F.lit(second))).alias("tokenizer")
+    rollup.commit("takedown", deletes=toxic.select("doc_id", versions))
+    left = docs.join(toxic, "doc_id", "left_anti").withColumn("text", F.regexp_replace("text", GAPS, " "))
+    rollup.commit("revision", count_tokens(left, f"{TOKENIZERS}/{first}.tiktoken", first))
     rollup.commit("load", counted)
     return rollup.totals()
 

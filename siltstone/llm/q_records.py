@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.chat import format_chats
+from siltstone.llm.chat import format_chats, trained_texts
 from siltstone.llm.registry import query, table
 from siltstone.llm.warc_revisits import resolve_revisits
 
@@ -35,9 +35,8 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql("SELECT -1L AS conv_id, t.* FROM VALUES (0L, 'user'), (1L, 'assistant') t(turn, role)").withColumn("text", F.lit(HOSTILE))
     chats = format_chats(rows.unionByName(extra))
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    trained = F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"])
-    loss = F.array_join(trained, "")
-    return chats.select(
+    loss = F.col("loss")
+    return chats.withColumn("loss", F.array_join(trained_texts(F.col("formatted"), F.col("mask_runs")), "")).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
@@ -91,15 +90,14 @@ judged AS (
 SELECT 'v' || n AS record_id, canonical AS canonical_url,
  CASE WHEN found.id IS NULL THEN 'no_prior' WHEN found.digest = tag THEN 'verified' ELSE 'mismatch' END AS status,
  CASE WHEN found.digest = tag THEN found.id END AS resolved_to,
- CASE WHEN found.digest = tag THEN 'Content-Type: text/html' || chr(10) || 'Etag: W/"' || tag || '"' || chr(10) || 'Date: ' || later END AS merged
+ CASE WHEN found.digest = tag THEN 'Content-Type: text/html' || chr(10) || 'Content-Length: ' || found.size || chr(10) || 'Etag: W/"' || tag || '"' || chr(10) || 'Date: ' || later END AS merged
 FROM judged
 """
 
 
 @query("op8_warc_revisits", WARC_SQL)
 def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every capture of every page; the merged headers without Content-Length, as lines."""
+    """Every capture of every page; the merged headers as lines."""
     found = resolve_revisits(captures(table(spark, sf_dir, "pages")))
-    shown = F.filter("headers", lambda h: F.lower(h["name"]) != "content-length")
-    lines = F.array_join(F.transform(shown, lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    lines = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
     return found.select("record_id", "canonical_url", "status", "resolved_to", F.when(F.col("headers").isNotNull(), lines).alias("merged"))

@@ -86,12 +86,11 @@ def _latest_earlier(events: DataFrame) -> DataFrame:
         .join(ends, "block").filter("key = last_key AND newest IS NOT NULL")
         .select("key", "block", "newest.response")
     )
-    # Blocks are numbered in the order of (key, at): the nearest earlier one with this key counts.
-    earlier = local.filter("local IS NULL").select("key", "block").distinct().alias("l")
-    before = (
-        earlier.join(handed.alias("h"), (F.col("l.key") == F.col("h.key")) & (F.col("h.block") < F.col("l.block")))
-        .groupBy("l.key", "l.block").agg(F.max_by("h.response", "h.block").alias("carried"))
-    )
+    # Blocks are numbered in the order of (key, at): what the nearest earlier one of a key handed on counts.
+    asked = local.filter("local IS NULL").select("key", "block").distinct().withColumn("response", F.lit(None).cast(stored.schema["response"].dataType))
+    steps = handed.unionByName(asked).groupBy("key", "block").agg(F.max("response").alias("response"))
+    so_far = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = steps.select("key", "block", F.last("response", ignorenulls=True).over(so_far).alias("carried"))
     return local.join(before, ["key", "block"], "left").withColumn("found", F.coalesce("local", "carried"))
 
 

@@ -1,6 +1,7 @@
 """Registered queries against SQL, and their edge cases through small tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -62,3 +63,27 @@ def test_one_row_of_each_component_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int").repartition(5)
     got = sorted((r.n_chars, r.doc_id, r.text) for r in p.near_duplicates(spark, docs, "").collect())
     assert got == [(1, 7, text), (2, 7, other), (5, None, rows[6][1]), (6, None, ""), (7, None, None)]
+
+
+def test_token_counts_against_brute_force(spark):
+    from siltstone.llm.q_documents import token_counts
+    from siltstone.llm.registry import TOKENIZERS
+    from siltstone.llm.token_counts import coder
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 1").collect()}
+    want = {}
+    for version in ("byte_bpe_50k", "byte_bpe_multi_50k"):
+        encode = coder(f"{TOKENIZERS}/{version}.tiktoken").encode_ordinary
+        for d in docs:
+            n, revised = len(encode(d.text or "")), len(encode(re.sub(r"[\x20\x09-\x0D]+", " ", d.text or "")))
+            row = want.setdefault((d.source, d.lang, version), [0] * 6)
+            changes = [(1, n), (-1, n)] if d.doc_id in toxic else [(1, n)] if version != "byte_bpe_50k" else [(1, n), (-1, n), (1, revised)]
+            for sign, tokens in changes:
+                row[0] += sign
+                row[1] += sign * tokens
+                row[2 if sign > 0 else 4] += 1
+                row[3 if sign > 0 else 5] += tokens
+    names = ("docs", "tokens", "inserted_docs", "inserted_tokens", "deleted_docs", "deleted_tokens")
+    got = {(r.source, r.lang, r.tokenizer): [r[n] for n in names] for r in token_counts(spark, SF).collect()}
+    assert got == want

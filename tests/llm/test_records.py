@@ -1,10 +1,11 @@
 """Chats, archive records and token totals: round trips, ties, nulls and repeats."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
-from siltstone.llm.chat import format_chats
+from siltstone.llm.chat import format_chats, trained_texts
 from siltstone.llm.registry import TOKENIZERS
 from siltstone.llm.token_counts import Rollup, count_tokens
 from siltstone.llm.warc_revisits import resolve_revisits
@@ -16,10 +17,17 @@ def test_chats_read_back(spark):
     rows = [(i // 3, i % 3, ["user", "assistant", "a\nb<|im_end|>"][i % 3], t) for i, t in enumerate(nasty)]
     rows += [(50, 1, None, "x"), (50, 1, "user", "x"), (50, 1, "user", "x"), (None, None, "user", None)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1))
-    for r in format_chats(df).collect():
+    chats = format_chats(df)
+    for r in chats.withColumn("trained", trained_texts(F.col("formatted"), F.col("mask_runs"))).collect():
         mine = sorted(((t is not None, t or 0, role or "", text or "") for c, t, role, text in rows if c == r.conv_id))
         assert [(t.role, t.text) for t in r.turns] == [x[2:] for x in mine]
         assert sum(m.chars for m in r.mask_runs) == len(r.formatted)
+        assert r.trained == [t.text for t in r.turns if t.role == "assistant"]
+        at, masked = 0, ""
+        for m in r.mask_runs:
+            masked += r.formatted[at : at + m.chars] if m.trained else ""
+            at += m.chars
+        assert re.sub(r"<(\\*)\\\|", r"<\1|", masked) == "".join(r.trained)
     assert format_chats(df.limit(0)).count() == 0
 
 
@@ -71,3 +79,21 @@ def test_token_totals(spark):
     rollup.commit("b4", counted.limit(0))
     assert total() == {("a", "en"): (0, 0), ("a", None): (0, 0), ("b", "en"): (1, 0), ("c", "en"): (1, 7)}
     assert rollup.committed() == ["b1", "b2", "b3", "b4"]
+
+
+def test_one_url_over_many_ranges(spark):
+    """Revisits far behind the last response, ranges without any, repeated records and ties at one instant."""
+    def at(n):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=n)
+
+    rows = [(f"r{i}", "http://a.com/", "response", at(i), []) for i in (3, 4, 90, 91, 300)]
+    rows += [("r91b", "http://a.com/", "response", at(91), []), ("z", "http://b.com/", "response", at(0), [])]
+    rows += [(f"v{i}", "http://a.com/", "revisit", at(i), None) for i in range(400)] * 2
+    records = spark.createDataFrame(rows, "record_id string, url string, warc_type string, captured_at timestamp, headers array<struct<name:string,value:string>>")
+    got = sorted(((r.record_id, r.resolved_to) for r in resolve_revisits(records.repartition(5)).collect()), key=lambda x: (x[0], x[1] or ""))
+    want = []
+    for i in range(400):
+        earlier = [(t, r) for r, u, k, t, _ in rows if k == "response" and u == "http://a.com/" and t < at(i)]
+        want += [(f"v{i}", max(earlier)[1] if earlier else None)] * 2
+    assert got == sorted(want, key=lambda x: (x[0], x[1] or ""))
+    assert resolve_revisits(records.limit(0)).count() == 0
