@@ -341,7 +341,8 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     # All windows of an anchor hold it, so together they are one span.
     start = F.greatest(F.lit(0).cast("long"), F.col("pos") - F.col("high"))
     each = found.join(spans, ["anchor", "around"]).select("id", "hash", F.struct(start.alias("a"), (F.col("pos") - F.col("low") + length).alias("b")).alias("s"))
-    return each.groupBy("id", "hash").agg(F.sort_array(F.collect_list("s")).alias("spans"))
+    # Rows that repeat have the same spans, and one value holds them once.
+    return each.groupBy("id", "hash").agg(F.sort_array(F.collect_set("s")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, texts: bool = False) -> DataFrame:

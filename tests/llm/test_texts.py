@@ -333,3 +333,15 @@ def test_marked_terms_go_from_every_text(spark, monkeypatch, bound):
     assert len(got) == len(rows) and got[200].sanitised == got[201].sanitised == "plain1 , plain2"
     assert [tuple(x) for x in got[200].spans] == [("term", 7, 15)] and got[200].n_email == 0
     assert got[202].sanitised == "Zorblatts" and got[203].sanitised is None and got[100].sanitised == rows[60][1]
+
+
+def test_spans_of_rows_that_repeat_are_held_once(spark):
+    rng = random.Random(21)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(1500))
+    rows = [(1, text)] * 300 + [(None, text)] * 200 + [(2, text[:700])]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    keyed = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text", F.lit(1)).alias("hash"), "text")
+    spans = suffix_dedup.repeated_spans(keyed, 64, 33).collect()
+    assert max(len(r.spans) for r in spans) < 200  # of one text, not of all its copies
+    out = suffix_dedup.remove_repeats(docs, length=64, gram=33)
+    assert {(r.doc_id, r.n_removed) for r in out.collect()} == {(1, 1500), (None, 1500), (2, 700)}
