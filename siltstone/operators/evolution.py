@@ -73,6 +73,12 @@ def schema_changes(current: DataFrame, baseline: DataFrame) -> DataFrame:
     )
 
 
+def column_counts(current: DataFrame, baseline: DataFrame) -> DataFrame:
+    """One row: the columns of two (column, dtype) tables."""
+    sides = current.select(F.lit(1).alias("now")).unionByName(baseline.select(F.lit(0).alias("now")))
+    return sides.agg(F.count_if(F.col("now") == 0).alias("baseline_columns"), F.count_if(F.col("now") == 1).alias("current_columns"))
+
+
 def evolution_status(changes: DataFrame) -> DataFrame:
     """One row: how many changes of each kind, and the worst severity."""
     kinds = {k: F.count_if(F.col("change") == k) for k in ("new", "removed", "retyped")}

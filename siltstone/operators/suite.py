@@ -190,4 +190,7 @@ def volume_anomaly(
         F.bround("_mean", 0).cast("bigint").alias("rolling_avg"),
         F.bround(rolling * 100, 2).alias("rolling_drift_pct"),
         F.when((by_base == "PASS") & (F.abs(rolling) > warn), F.lit("WARN")).otherwise(by_base).alias("status"),
+        F.lit("baseline_comparison").alias("method"),
+        F.format_string("%+.1f%% against a baseline of %d rows", F.col("_drift") * 100, base).alias("detail"),
+        F.when(F.abs(rolling) > warn, F.format_string("%+.1f%% against the mean of earlier runs", rolling * 100)).alias("rolling_detail"),
     )

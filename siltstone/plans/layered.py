@@ -15,13 +15,13 @@ from siltstone.functions.names import pii_columns
 from siltstone.operators.gold import build_gold, merge_groups, split_columns
 from siltstone.operators.incremental import Frontier, date_window
 from siltstone.operators.keys import one_row_per_key
-from siltstone.operators.mapping import MappingRow, build_mapping, needs_cardinality, with_personal
+from siltstone.operators.mapping import MappingRow, build_ddl, build_mapping, needs_cardinality, with_personal
 from siltstone.operators.profile import column_profile, timestamp_column
 from siltstone.operators.ordered_fill import FillState
 from siltstone.operators.quality import gate, quality_checks, scorecard
 from siltstone.operators.scd2 import classify, default_keys, first_load, scd1_upsert, versions_after, widened
 from siltstone.operators.silver import build_silver
-from siltstone.plans.runlog import log_table, transform_log
+from siltstone.plans.runlog import lineage_edges, log_table, transform_log
 from siltstone.sources import writers
 from siltstone.sources.tables import HistoryTable, KeyedTable, PartedTable, VersionedTable
 
@@ -84,6 +84,9 @@ class RunResult:
     profile: DataFrame | None
     mapping: list[MappingRow]
     note: str
+    gold_counts: DataFrame
+    lineage: DataFrame
+    ddl: DataFrame
 
 
 def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list[MappingRow] | None = None) -> RunResult:
@@ -153,7 +156,8 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     writers.append_records(log, f"{config.root}/run_log", config.run_id)
     gate(card, on_fail=config.on_fail, min_score=config.min_score, checks=checks)
 
-    gold, added, note = _gold(spark, silver, config, incremental, part)
+    gold, added, note, versions = _gold(spark, silver, config, incremental, part)
+    gold_counts, lineage, ddl = _records(spark, config, log, mapping, silver.count(), gold.count(), versions, note)
     _to_table(spark, config, "silver", config.silver_table, silver, silver)
     _to_table(spark, config, "gold", config.gold_table, gold, added)
     if fills:
@@ -161,7 +165,7 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     if config.watermark and config.watermark in bronze.columns:
         # Only now that everything is written; a failed run is repeated from the old mark.
         frontier.advance(bronze, config.watermark, config.run_id)
-    return RunResult(bronze, silver, gold, checks, card, log, profile, mapping, note)
+    return RunResult(bronze, silver, gold, checks, card, log, profile, mapping, note, gold_counts, lineage, ddl)
 
 
 def _moment(bound: str | None) -> str:
@@ -173,6 +177,27 @@ def _part(config: RunConfig, windowed: bool) -> str:
     return f"{_moment(config.window_start)}_{_moment(config.window_end)}" if windowed else f"run-{config.run_id}"
 
 
+GOLD_COUNTS = "mode string, note string, rows_in bigint, rows_out bigint, versions_started bigint, versions_ended bigint"
+
+
+def _records(
+    spark: SparkSession, config: RunConfig, log: DataFrame, mapping: list[MappingRow], rows_in: int, rows_out: int,
+    versions: tuple[int | None, int | None], note: str,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What became of gold, the edges from bronze to gold, and the tables' DDL, kept beside the log."""
+    edge = [("silver", "gold", max(rows_out, 1), f"{rows_out:,d} rows")]
+    edges = lineage_edges(log, "bronze", "silver")
+    table = (config.gold_table or "sales").split(".")[-1]
+    records = {
+        "gold_counts": spark.createDataFrame([(config.gold_mode, note, rows_in, rows_out, *versions)], GOLD_COUNTS),
+        "lineage": edges.unionByName(spark.createDataFrame(edge, "`from` string, `to` string, rows bigint, label string")),
+        "ddl": spark.createDataFrame([(layer, build_ddl(mapping, table, layer)) for layer in ("silver", "gold")], "layer string, ddl string"),
+    }
+    for name, rows in records.items():
+        writers.append_records(rows, f"{config.root}/{name}", config.run_id)
+    return tuple(writers.read_records(spark, f"{config.root}/{name}", config.run_id) for name in records)
+
+
 def _written(spark: SparkSession, rows: DataFrame, config: RunConfig, layer: str, part: str | None) -> DataFrame:
     """A layer as it was written: a part of the increments, published when it is whole, or all of a full load."""
     if part is None:
@@ -213,14 +238,14 @@ def _to_table(spark: SparkSession, config: RunConfig, layer: str, name: str | No
 
 def _gold(
     spark: SparkSession, silver: DataFrame, config: RunConfig, incremental: bool, part: str
-) -> tuple[DataFrame, DataFrame, str]:
-    """All of gold, the rows this run adds to a copy, and what was done."""
+) -> tuple[DataFrame, DataFrame, str, tuple[int | None, int | None]]:
+    """All of gold, the rows this run adds to a copy, what was done, and versions started and ended by a history."""
     as_of = config.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     path = f"{config.root}/gold_{config.gold_mode}"
     if config.gold_mode == "scd2":
         table = HistoryTable(spark, path, config.buckets)
         apply_batch(table, silver, config.keys, as_of, label=config.run_id, order_by=config.batch_order, expire_missing=config.expire_missing)
-        return table.read(), silver, "SCD type 2"
+        return table.read(), silver, "SCD type 2", _versions(table, as_of)
     if config.gold_mode == "scd1":
         keyed = KeyedTable(spark, path, config.buckets)
         if incremental:
@@ -228,7 +253,7 @@ def _gold(
         else:
             keys, _ = default_keys(silver.columns, config.keys)
             keyed.write(scd1_upsert(None, silver, keys, config.batch_order), config.run_id, keys)
-        return keyed.read(), silver, "SCD type 1"
+        return keyed.read(), silver, "SCD type 1", (None, None)
     group = split_columns(config.group_by) if config.gold_mode == "aggregate" else []
     rows, note = build_gold(silver, group)
     keys = [c for c in group if c in silver.columns]
@@ -242,8 +267,17 @@ def _gold(
         parts.replace(rows, config.run_id)
     if summed:
         whole.replace(merge_groups(parts.read(), keys), config.run_id)
-        return whole.read(), rows, note
-    return parts.read(), rows, note
+        return whole.read(), rows, note, (None, None)
+    return parts.read(), rows, note, (None, None)
+
+
+def _versions(table: HistoryTable, as_of: str) -> tuple[int, int]:
+    """Versions that the last batch has started and ended, from the folders it wrote; none if it was known already."""
+    if table.last is None:
+        return 0, 0
+    rows = table.written(table.last, table.schema())
+    current, now = F.col("_is_current"), F.lit(as_of).cast("timestamp")
+    return tuple(rows.agg(F.count_if(current & (F.col("_valid_from") == now)), F.count_if(~current)).first())
 
 
 def apply_batch(

@@ -556,3 +556,35 @@ def _two_windows(spark, sf_dir):
         )
         done = run(spark, orders.withColumn("at", at), config, done.mapping if done else None)
     return done.gold.select(KEY, "ref_id")
+
+
+@query(
+    "l03_run_lineage",
+    LOG + """SELECT COALESCE((SELECT b.step FROM log b WHERE b.step_no = a.step_no - 1), 'bronze') AS "from", step AS "to", rows_in AS rows FROM log a
+    UNION ALL SELECT 'dedup_silver', 'silver', rows_out FROM log WHERE step_no = 5 UNION ALL SELECT 'silver', 'gold', COUNT(DISTINCT COALESCE(region, '')) FROM base""",
+)
+def _run_lineage(spark, sf_dir):
+    return layered_run(spark, sf_dir, gold_mode="aggregate", group_by="region").lineage.drop("label")
+
+
+@query("l04_gold_counts", EVENTS + """SELECT 'scd2' AS mode, (SELECT COUNT(*) FROM new) AS rows_in, (SELECT COUNT(*) FROM old) + COUNT(*) FILTER (WHERE op IN ('insert', 'update')) AS rows_out,
+ COUNT(*) FILTER (WHERE op IN ('insert', 'update')) AS versions_started, COUNT(*) FILTER (WHERE op = 'update') AS versions_ended FROM ev""")
+def _gold_counts(spark, sf_dir):
+    # Two full loads into one history; the records of the second.
+    old, new = snapshots(spark, sf_dir)
+    root, done = shared_dir(spark, "run"), None
+    for i, (rows, at) in enumerate(((old, FIRST), (new, SECOND))):
+        config = RunConfig(root=root, keys=(KEY,), gold_mode="scd2", as_of=at, null_override="flag", on_fail="warn", fixed_schema=True, run_id=f"load-{i}")
+        done = run(spark, rows, config, done.mapping if done else None)
+    return done.gold_counts.drop("note")
+
+
+@query(
+    "f12_run_ddl",
+    "SELECT layer, 'CREATE TABLE sales_' || layer || ' (' AS head, 3 + CASE layer WHEN 'gold' THEN 5 ELSE 0 END AS columns FROM (VALUES ('silver'), ('gold')) t(layer), (SELECT COUNT(*) AS n FROM customer) WHERE n >= 0",
+)
+def _run_ddl(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    ddl = run(spark, customer, RunConfig(root=shared_dir(spark, "run"), keys=("c_custkey",), timestamp="none", on_fail="warn")).ddl
+    lines = F.split("ddl", "\n")
+    return ddl.select("layer", lines[0].alias("head"), (F.size(lines) - 2).alias("columns"))

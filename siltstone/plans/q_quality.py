@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siltstone.functions.digest import compact_row
 from siltstone.functions.masks import mask, sha256_hex
 from siltstone.functions.numeric import percent
+from siltstone.functions.types import columns_of
 from siltstone.operators import anomaly, contracts, evolution, keys, pii, suite
 from siltstone.operators.gold import build_gold
 from siltstone.operators.profile import duplicate_stats, record_schema
@@ -481,18 +482,16 @@ def _dominance(spark, sf_dir):
     return anomaly.categorical_anomalies(sales).select("column", "anomaly_count", "anomaly_rate_pct", "dominant_value")
 
 
-@query(
-    "a05_volume",
-    """WITH runs AS (SELECT event_type AS dataset, strftime(ts, '%Y-%m-%d') AS run, COUNT(*) AS rows FROM events GROUP BY 1, 2),
+VOLUME = """WITH runs AS (SELECT event_type AS dataset, strftime(ts, '%Y-%m-%d') AS run, COUNT(*) AS rows FROM events GROUP BY 1, 2),
     h AS (SELECT *, CAST(MAX(rows) OVER (PARTITION BY dataset) * 2 // 3 AS BIGINT) AS baseline_rows,
       COUNT(*) OVER w AS seen, AVG(rows) OVER w AS mean FROM runs WINDOW w AS (PARTITION BY dataset ORDER BY run ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
     d AS (SELECT *, (rows - baseline_rows) * 1.0::DOUBLE / GREATEST(baseline_rows, 1) AS drift,
       CASE WHEN seen >= 3 THEN mean END AS m, CASE WHEN seen >= 3 THEN (rows - mean) / GREATEST(mean, 1.0) END AS rolling FROM h),
     s AS (SELECT *, CASE WHEN ABS(drift) > 0.5 THEN 'FAIL' WHEN ABS(drift) > 0.25 THEN 'WARN' ELSE 'PASS' END AS base FROM d)
-    SELECT dataset, run, rows, baseline_rows, round_even(drift * 100, 2) AS drift_pct, CAST(round_even(m, 0) AS BIGINT) AS rolling_avg,
-    round_even(rolling * 100, 2) AS rolling_drift_pct, CASE WHEN base = 'PASS' AND ABS(rolling) > 0.25 THEN 'WARN' ELSE base END AS status FROM s""",
-)
-def _volume(spark, sf_dir):
+"""
+
+
+def _volumes(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     runs = events.groupBy(F.col("event_type").alias("dataset"), F.date_format("ts", "yyyy-MM-dd").alias("run")).agg(
         F.count(F.lit(1)).alias("rows")
@@ -502,6 +501,25 @@ def _volume(spark, sf_dir):
     return suite.volume_anomaly(based)
 
 
+@query(
+    "a05_volume",
+    VOLUME + """SELECT dataset, run, rows, baseline_rows, round_even(drift * 100, 2) AS drift_pct, CAST(round_even(m, 0) AS BIGINT) AS rolling_avg,
+    round_even(rolling * 100, 2) AS rolling_drift_pct, CASE WHEN base = 'PASS' AND ABS(rolling) > 0.25 THEN 'WARN' ELSE base END AS status FROM s""",
+)
+def _volume(spark, sf_dir):
+    return _volumes(spark, sf_dir).drop("method", "detail", "rolling_detail")
+
+
+@query(
+    "a05_findings",
+    VOLUME + """SELECT dataset, run, 'baseline_comparison' AS method, 'against a baseline of ' || baseline_rows || ' rows' AS compared, ABS(rolling) > 0.25 IS TRUE AS rolling_told FROM s""",
+)
+def _volume_findings(spark, sf_dir):
+    found = _volumes(spark, sf_dir)
+    compared = F.regexp_extract("detail", "against.*", 0).alias("compared")
+    return found.select("dataset", "run", "method", compared, F.col("rolling_detail").isNotNull().alias("rolling_told"))
+
+
 # Schema drift: customer loses its segment, gains a flag, its key becomes a flag and its balance text.
 DRIFT = """WITH now AS (SELECT c_custkey % 2 = 0 AS c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS VARCHAR) END AS c_acctbal, c_acctbal > 5000 AS is_rich FROM customer),
  words(column_type, dtype) AS (VALUES ('BIGINT', 'numeric'), ('INTEGER', 'numeric'), ('DOUBLE', 'numeric'), ('VARCHAR', 'string'), ('BOOLEAN', 'boolean')),
@@ -592,3 +610,55 @@ def _infinite_median(spark, sf_dir):
     source = table(spark, sf_dir, "events").select("event_id", value.alias("v"), value.isNull().alias("gap"))
     filled = fill_median(source, ["v"]).filter("gap")
     return filled.agg(F.round(F.max("v"), 6).alias("median"), F.count(F.lit(1)).alias("filled"))
+
+
+@query(
+    "e01_column_counts",
+    """SELECT 5 AS baseline_columns, 5 AS current_columns FROM (SELECT COUNT(*) AS n FROM customer) WHERE n >= 0""",
+)
+def _column_counts(spark, sf_dir):
+    now, base = drifted(spark, sf_dir)
+    return evolution.column_counts(record_schema(now, distinct="none"), record_schema(base, distinct="none"))
+
+
+# Type changes that lose nothing.
+SAFE = "('numeric', 'string'), ('boolean', 'string'), ('integer', 'numeric'), ('integer', 'float')"
+
+
+@query(
+    "e02_promotions",
+    f"""WITH kinds AS (SELECT DISTINCT CASE data_type WHEN 'BIGINT' THEN 'integer' WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'float' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(data_type) END AS t
+      FROM (SELECT unnest([typeof(c_custkey), typeof(c_nationkey), typeof(c_acctbal), typeof(c_name), typeof(c_acctbal > 0)]) AS data_type FROM customer))
+    SELECT a.t AS from_type, b.t AS to_type, (a.t, b.t) NOT IN (VALUES {SAFE}) AS breaking FROM kinds a, kinds b WHERE a.t <> b.t""",
+)
+def _promotions(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").withColumn("is_rich", F.col("c_acctbal") > 0)
+    kinds = evolution.schema_table(rows).select(F.col("dtype").alias("t")).distinct().filter("t <> ''")
+    pairs = kinds.select(F.col("t").alias("from_type")).join(kinds.select(F.col("t").alias("to_type")), F.col("from_type") != F.col("to_type"))
+    return pairs.withColumn("breaking", evolution.is_breaking(F.col("from_type"), F.col("to_type")))
+
+
+FAMILIES = {"numeric": ("event_id", "user_id", "value"), "string": ("event_type", "props"), "datetime": ("ts",)}
+
+
+@query("p08_family_values", " UNION ALL ".join(f"SELECT '{k}' AS family, {len(v)} AS columns, {' + '.join(f'COUNT({c})' for c in v)} AS present FROM events" for k, v in FAMILIES.items()))
+def _family_values(spark, sf_dir):
+    """Columns and present values of each type family."""
+    events = table(spark, sf_dir, "events")
+    found = {kind: columns_of(events, kind) for kind in ("numeric", "string", "datetime", "boolean", "other")}
+    counted = [
+        F.struct(F.lit(kind).alias("family"), F.lit(len(names)).alias("columns"), sum(F.count(c) for c in names).alias("present"))
+        for kind, names in found.items() if names
+    ]
+    return events.agg(F.array(*counted).alias("found")).select(F.inline("found"))
+
+
+@query("m08_unknown_strategy", "SELECT c_custkey, substr(sha256(c_name), 1, 16) AS short, 'refused' AS other FROM customer")
+def _unknown_strategy(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    kind = customer.schema["c_name"].dataType
+    try:
+        other = mask(F.col("c_name"), kind, "rot13")
+    except ValueError:
+        other = F.lit("refused")
+    return customer.select("c_custkey", mask(F.col("c_name"), kind, "sha256_short", name="", salt="").alias("short"), other.alias("other"))

@@ -153,6 +153,7 @@ class KeyedTable(VersionedTable):
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         super().__init__(spark, root)
         self.buckets = buckets
+        self.last: str | None = None  # folder of the last write of this object
 
     def _bucket(self, keys: Sequence[str], buckets: int) -> Column:
         return F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.lit(buckets)).cast("int")
@@ -188,7 +189,8 @@ class KeyedTable(VersionedTable):
         state = F.lit("current") if ended is None else F.when(ended, F.lit("ended")).otherwise(F.lit("current"))
         dealt = rows.withColumn(STATE, state).withColumn(BUCKET, self._bucket(keys, n))
         dealt.write.partitionBy(STATE, BUCKET).parquet(f"{self.root}/{folder}")
-        there = self.spark.read.schema(dealt.schema).parquet(f"{self.root}/{folder}").select(STATE, BUCKET).distinct().collect()
+        there = self.written(folder, rows.schema).select(STATE, BUCKET).distinct().collect()
+        self.last = folder
         gone = range(n) if buckets is None else buckets
         entries: dict[str, str | None] = {f"current/{b}": None for b in gone if before and f"current/{b}" in before.entries}
         entries |= {f"current/{b}": f"{folder}/{STATE}=current/{BUCKET}={b}" for s, b in there if s == "current"}
@@ -197,6 +199,12 @@ class KeyedTable(VersionedTable):
         return self.log.publish(label, {**entries, "schema": rows.schema.json(), "buckets": str(n)}, before=before)
 
 
+    def written(self, folder: str, schema: T.StructType) -> DataFrame:
+        """What one write has put into its folder, with `_state` and `_bucket`."""
+        parts = [T.StructField(STATE, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
+        return self.spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(f"{self.root}/{folder}")
+
+
 class HistoryTable(KeyedTable):
     """An SCD type 2 table whose batches rewrite the current rows of their own keys' folders.
 
