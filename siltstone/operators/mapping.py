@@ -120,6 +120,9 @@ MAPPING_SCHEMA = (
 SQL_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
+    "smallint": "SMALLINT",
+    "tinyint": "SMALLINT",
+    "date": "DATE",
     "double": "DOUBLE PRECISION",
     "float": "REAL",
     "string": "VARCHAR(512)",
@@ -138,13 +141,19 @@ SCD2_DDL = (
 )
 
 
+def sql_type(row: MappingRow) -> str:
+    """The type of a column in a CREATE TABLE text; masked values are text, whatever they were."""
+    if not row.is_pii and row.source_dtype.startswith("decimal("):
+        return row.source_dtype.upper()
+    return SQL_TYPES["string"] if row.is_pii else SQL_TYPES.get(row.source_dtype, SQL_TYPES["string"])
+
+
 def build_ddl(mapping: Sequence[MappingRow], table: str, layer: str = "silver") -> str:
     """CREATE TABLE text for a layer; keys are NOT NULL, gold has the version columns."""
     lines = []
     for row in mapping:
         name = row.silver_column if layer == "silver" else row.gold_column
-        sql_type = SQL_TYPES.get(row.source_dtype, "VARCHAR(512)")
-        lines.append(f"{name} {sql_type} {'NOT NULL' if row.is_key else 'NULL'}")
+        lines.append(f"{name} {sql_type(row)} {'NOT NULL' if row.is_key else 'NULL'}")
     if layer == "gold":
         lines += SCD2_DDL
     body = ",\n".join("    " + line for line in lines)

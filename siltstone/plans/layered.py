@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +49,7 @@ class RunConfig:
     pii_match: str = "substring"
     pii_allow: tuple[str, ...] = ()
     pii_deny: tuple[str, ...] = ()
+    rename_masked: bool = False  # in gold, masked columns are named so
     rules: str = ""
     ranges: str = ""
     null_threshold: float = 5.0
@@ -132,6 +133,7 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
             keys=config.keys,
             scd_type="2" if config.gold_mode == "scd2" else "1",
             override=config.null_override,
+            rename_masked=config.rename_masked,
         )
     else:
         mapping = with_personal(mapping, bronze.schema, personal)
@@ -156,7 +158,8 @@ def run(spark: SparkSession, source: DataFrame, config: RunConfig, mapping: list
     writers.append_records(log, f"{config.root}/run_log", config.run_id)
     gate(card, on_fail=config.on_fail, min_score=config.min_score, checks=checks)
 
-    gold, added, note, versions = _gold(spark, silver, config, incremental, part)
+    names = {row.silver_column: row.gold_column for row in mapping if row.gold_column != row.silver_column and row.silver_column in silver.columns}
+    gold, added, note, versions = _gold(spark, silver.withColumnsRenamed(names), _renamed(config, names), incremental, part)
     gold_counts, lineage, ddl = _records(spark, config, log, mapping, silver.count(), gold.count(), versions, note)
     _to_table(spark, config, "silver", config.silver_table, silver, silver)
     _to_table(spark, config, "gold", config.gold_table, gold, added)
@@ -177,6 +180,13 @@ def _part(config: RunConfig, windowed: bool) -> str:
     return f"{_moment(config.window_start)}_{_moment(config.window_end)}" if windowed else f"run-{config.run_id}"
 
 
+def _renamed(config: RunConfig, names: Mapping[str, str]) -> RunConfig:
+    """The settings of gold in gold's names."""
+    new = lambda columns: tuple(names.get(c, c) for c in columns)
+    group = ",".join(new(split_columns(config.group_by)))
+    return replace(config, keys=new(config.keys), batch_order=new(config.batch_order), group_by=group) if names else config
+
+
 GOLD_COUNTS = "mode string, note string, rows_in bigint, rows_out bigint, versions_started bigint, versions_ended bigint"
 
 

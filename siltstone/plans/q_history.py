@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.names import pii_columns
 from siltstone.operators import cdc, scd2
-from siltstone.operators.mapping import build_mapping
+from siltstone.operators.mapping import build_ddl, build_mapping
 from siltstone.operators.profile import column_profile
 from siltstone.plans.inputs import DIRTY, SNAPSHOTS, dirty_sales, snapshots, table
 from siltstone.plans.layered import RunConfig, apply_batch, run, upsert
@@ -588,3 +588,39 @@ def _run_ddl(spark, sf_dir):
     ddl = run(spark, customer, RunConfig(root=shared_dir(spark, "run"), keys=("c_custkey",), timestamp="none", on_fail="warn")).ddl
     lines = F.split("ddl", "\n")
     return ddl.select("layer", lines[0].alias("head"), (F.size(lines) - 2).alias("columns"))
+
+
+@query(
+    "f12_renamed_gold",
+    "SELECT sha256(c_name) AS c_name_masked, COUNT(*) AS n, ROUND(SUM(c_acctbal), 2) AS c_acctbal FROM customer GROUP BY c_name",
+)
+def _renamed_gold(spark, sf_dir):
+    # The masked column has another name in gold, also where it is the key.
+    customer = table(spark, sf_dir, "customer").select("c_name", "c_acctbal")
+    config = RunConfig(
+        root=shared_dir(spark, "run"), keys=("c_name",), gold_mode="scd1", batch_order=("c_acctbal",), timestamp="none",
+        rename_masked=True, null_override="flag", on_fail="warn",
+    )
+    gold = run(spark, customer, config).gold
+    return gold.groupBy("c_name_masked").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("c_acctbal"))
+
+
+# Names of SQL types.
+DDL_TYPES = {"o_orderkey": "BIGINT NOT NULL", "price": "DECIMAL(15,2) NULL", "day": "DATE NULL", "small": "SMALLINT NULL", "customer_email": "VARCHAR(512) NULL"}
+
+
+@query(
+    "f12_types",
+    "SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in DDL_TYPES.items()) + ') t("column", type), (SELECT COUNT(*) AS rows FROM orders)',
+)
+def _ddl_types(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        KEY, F.col("o_totalprice").cast("decimal(15,2)").alias("price"), F.col("o_orderdate").cast("date").alias("day"),
+        (F.col(KEY) % 7).cast("smallint").alias("small"), F.col("o_custkey").alias("customer_email"),
+    )
+    profile = column_profile(orders, distinct="none")
+    mapping = build_mapping(orders.schema, profile.collect(), pii=pii_columns(orders.columns), keys=(KEY,), override="flag")
+    lines = build_ddl(mapping, "orders", "silver").splitlines()[1:-1]
+    parts = [line.strip().rstrip(",").split(" ", 1) for line in lines]
+    types = spark.createDataFrame([tuple(p) for p in parts], "`column` string, type string")
+    return types.join(profile.select("column", F.col("total_rows").alias("rows")), "column")
