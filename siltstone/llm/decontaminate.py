@@ -8,7 +8,8 @@ words (or a whole shorter item), the words of the window are hit.
 
 The automaton is broadcast, so its size is bounded: items are cut into pieces
 that overlap by `window - 1` words (no window is lost) and dealt to blocks of
-about `block_words` words; each block is one more pass over the documents.
+about `block_words` words; each block is one more pass over the documents. Items of
+equal words are one group: their words are held once, and beside them their ids.
 
 Defined results: null and empty texts have no words, no hits and stay as they
 are. Items without words match nothing. Items whose id is null hit words but
@@ -19,6 +20,7 @@ not be among them. No documents: an empty result; no items: no hits.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from itertools import groupby
@@ -49,7 +51,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Piece(NamedTuple):
-    item: str | None
+    item: str | None  # its name
     words: list[bytes]
     whole: bool  # a whole item of fewer words than the window
 
@@ -181,25 +183,26 @@ def _merge(spans: list[list[int]]) -> list[list[int]]:
 
 
 def item_pieces(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
-    """(item, words, n, whole): words joined by blanks, at most PIECE_WORDS of them."""
+    """(item, group, words, n, whole): words joined by blanks, at most PIECE_WORDS of them; group: a digest of all the item's words."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for item, raw in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
                 words = words_of(raw)
+                group = hashlib.md5(b" ".join(words), usedforsecurity=False).hexdigest()
                 for at in range(0, max(1, len(words) - window + 1), PIECE_WORDS - window + 1):
                     part = words[at : at + PIECE_WORDS]
                     if part:
-                        out.append((item, b" ".join(part), len(part), len(words) < window))
-            columns = [list(c) for c in zip(*out, strict=True)] if out else [[], [], [], []]
+                        out.append((item, group, b" ".join(part), len(part), len(words) < window))
+            columns = [list(c) for c in zip(*out, strict=True)] if out else [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int64(), pa.bool_()), strict=True)],
-                names=["item", "words", "n", "whole"],
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.bool_()), strict=True)],
+                names=["item", "group", "words", "n", "whole"],
             )
 
     picked = items.select(items[item_id].cast("string").alias("item"), items[text].alias("text"))
-    return picked.mapInArrow(cut, "item string, words binary, n bigint, whole boolean")
+    return picked.mapInArrow(cut, "item string, group string, words binary, n bigint, whole boolean")
 
 
 def find_hits(
@@ -221,18 +224,23 @@ def find_hits(
         raise ValueError(f"columns in the way: {sorted(clash)}")
     spark = docs.sparkSession
     small_batches(spark)
-    pieces = item_pieces(items, item_id, item_text, window)
+    folder = shared_dir(spark, "benchmark-pieces")
+    item_pieces(items, item_id, item_text, window).write.parquet(folder)
+    cut = spark.read.parquet(folder)
+    # Items of equal words are one group, whose words are dealt, collected and broadcast once.
+    names = cut.filter("item IS NOT NULL").select("group", "item").distinct()
+    pieces = cut.select("group", "words", "n", "whole").distinct()
     total, n_bytes = pieces.agg(F.sum("n"), F.sum(F.length("words"))).first()
     blocks = max(1, -(-(total or 0) // block_words), -(-(n_bytes or 0) // (16 * block_words)))
     if blocks > 1:
-        folder = shared_dir(spark, "benchmark-pieces")
+        folder = shared_dir(spark, "benchmark-blocks")
         pieces.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks))).write.parquet(folder)
         pieces = spark.read.parquet(folder)
     found = docs
     for block in range(blocks):
         part = pieces if blocks == 1 else pieces.filter(F.col("block") == block)
         last = block == blocks - 1
-        found = _one_pass(spark, found, text, part, window, first=block == 0, cut=max_span_words if last else None)
+        found = _one_pass(spark, found, text, part, names, window, first=block == 0, cut=max_span_words if last else None)
         if not last:  # one automaton at a time in a worker
             folder = shared_dir(spark, "benchmark-hits")
             found.write.parquet(folder)
@@ -241,14 +249,18 @@ def find_hits(
     return found.withColumn("n_hit", covered)
 
 
-def _one_pass(spark: SparkSession, docs: DataFrame, text: str, part: DataFrame, window: int, first: bool, cut: int | None) -> DataFrame:
-    rows = part.select("item", "words", "whole").collect()  # at most about block_words words
-    automaton = Automaton([Piece(r["item"], bytes(r["words"]).split(b" "), r["whole"]) for r in rows], window)
-    shared = spark.sparkContext.broadcast(vars(automaton))  # plain values, readable without this package
+def _one_pass(
+    spark: SparkSession, docs: DataFrame, text: str, part: DataFrame, names: DataFrame, window: int, first: bool, cut: int | None
+) -> DataFrame:
+    rows = part.select("group", "words", "whole").collect()  # at most about block_words words
+    automaton = Automaton([Piece(r["group"], bytes(r["words"]).split(b" "), r["whole"]) for r in rows], window)
+    mine = names.join(part.select("group").distinct(), "group", "left_semi").groupBy("group").agg(F.collect_list("item").alias("items"))
+    ids_of = {r["group"]: r["items"] for r in mine.collect()}  # an id for each item of the block
+    shared = spark.sparkContext.broadcast((vars(automaton), ids_of))  # plain values, readable without this package
 
     def scan(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         automaton = object.__new__(Automaton)
-        automaton.__dict__ = shared.value
+        automaton.__dict__, ids_of = shared.value
         made: dict[str, list] = {n: [] for n in HITS.names}
         earlier = [[0, [], []] for _ in range(batch.num_rows)]
         if not first:
@@ -259,7 +271,7 @@ def _one_pass(spark: SparkSession, docs: DataFrame, text: str, part: DataFrame,
             made["n_words"].append(len(words))
             made["longest_match"].append(max(longest, length))
             made["hit_spans"].append(_merge([*hit, *spans]) if spans else hit)
-            made["item_ids"].append(sorted({x for x in found if x is not None} | set(ids)))
+            made["item_ids"].append(sorted({x for group in found for x in ids_of.get(group, ())}.union(ids)) if found or ids else [])
         types = (pa.int64(), pa.int32(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.string()))
         out = {n: pa.array(made[n], t) for n, t in zip(HITS.names, types, strict=True)}
         if cut is not None:

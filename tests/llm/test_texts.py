@@ -345,3 +345,19 @@ def test_spans_of_rows_that_repeat_are_held_once(spark):
     assert max(len(r.spans) for r in spans) < 200  # of one text, not of all its copies
     out = suffix_dedup.remove_repeats(docs, length=64, gram=33)
     assert {(r.doc_id, r.n_removed) for r in out.collect()} == {(1, 1500), (None, 1500), (2, 700)}
+
+
+def test_copies_of_an_item_are_dealt_once(spark, monkeypatch):
+    """A text that is most of the benchmark neither fills a block nor goes to the driver more than once."""
+    words = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    items = [(i, words[0].upper() if i % 2 else words[0]) for i in range(400)] + [(1000 + i, w) for i, w in enumerate(words)] + [(None, words[1])]
+    sizes = []
+    made = dec.Automaton.__init__
+    monkeypatch.setattr(dec.Automaton, "__init__", lambda self, pieces, window: (sizes.append(len(pieces)), made(self, pieces, window))[1])
+    docs = spark.createDataFrame([(1, "x " + words[0] + " y"), (2, words[1]), (3, "nothing"), (4, words[2] + " " + words[3])], SCHEMA)
+    b = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    for block_words in (250_000, 40):
+        sizes.clear()
+        got = {r.doc_id: (r.n_hit, r.item_ids) for r in dec.find_hits(docs, b, block_words=block_words).collect()}
+        assert got == {1: (30, sorted([*map(str, range(400)), "1000"])), 2: (30, ["1001"]), 3: (0, []), 4: (60, ["1002", "1003"])}
+        assert sum(sizes) == 4
