@@ -253,8 +253,38 @@ def jdbc_options(
     return found
 
 
-def read_jdbc(spark: SparkSession, uri: str, table_or_query: str, **settings) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(uri, table_or_query, **settings)).load()
+def _open_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def jdbc_bounds(spark: SparkSession, uri: str, table_or_query: str, column: str, **options: str) -> tuple | None:
+    """The least and the greatest value of a column, by a query that returns one row; nothing if it has none."""
+    source = f"({table_or_query}) src" if is_query(table_or_query) else table_or_query
+    row = _open_jdbc(spark, jdbc_options(uri, f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {source}", **options)).first()
+    return None if row is None or row[0] is None else (row[0], row[1])
+
+
+def read_jdbc(
+    spark: SparkSession,
+    uri: str,
+    table_or_query: str,
+    *,
+    partition_column: str | None = None,
+    bounds: tuple[object, object] | None = None,
+    partitions: int | None = None,
+    **options: str,
+) -> DataFrame:
+    """A table or query of a database. With a partition column it is read by many tasks, as many
+    as a stage has by default; bounds that are not given are asked for first."""
+    if partition_column is not None and bounds is None:
+        bounds = jdbc_bounds(spark, uri, table_or_query, partition_column, **options)
+        if bounds is None:  # no values, so nothing to divide
+            partition_column = None
+    if partition_column is None:
+        return _open_jdbc(spark, jdbc_options(uri, table_or_query, **options))
+    partitions = partitions or spark.sparkContext.defaultParallelism
+    found = jdbc_options(uri, table_or_query, partition_column=partition_column, bounds=bounds, partitions=partitions, **options)
+    return _open_jdbc(spark, found)
 
 
 def read_connector(spark: SparkSession, fmt: str, options: Mapping[str, str], path: str | None = None, schema=None) -> DataFrame:

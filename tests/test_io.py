@@ -226,6 +226,22 @@ def test_records_that_hold_lists(spark, tmp_path):
         readers.read_payload(spark, str(tmp_path / "both"))
 
 
+def test_jdbc_bounds_are_asked_for(spark, monkeypatch):
+    asked = []
+
+    def opened(session, options):
+        asked.append(options)
+        return spark.sql("SELECT DATE'2024-01-01' AS low, DATE'2024-02-01' AS high" if "MIN(" in options.get("query", "") else "SELECT 1 AS x")
+
+    monkeypatch.setattr(readers, "_open_jdbc", opened)
+    readers.read_jdbc(spark, "mysql://h/db", "select * from t", partition_column="day", partitions=4, fetchsize="500")
+    assert asked[0]["query"] == "SELECT MIN(day) AS low, MAX(day) AS high FROM (select * from t) src" and asked[0]["fetchsize"] == "500"
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"], asked[1]["numPartitions"], asked[1]["dbtable"]) == ("2024-01-01", "2024-02-01", "4", "(select * from t) src")
+    monkeypatch.setattr(readers, "_open_jdbc", lambda session, options: asked.append(options) or spark.sql("SELECT CAST(NULL AS INT) AS low, CAST(NULL AS INT) AS high"))
+    readers.read_jdbc(spark, "mysql://h/db", "t", partition_column="id")
+    assert asked[-1]["dbtable"] == "t" and "partitionColumn" not in asked[-1]
+
+
 def test_jdbc_urls_of_each_database():
     sql = readers.jdbc_options("postgresql://u:p%40ss@h:5432/d", "t")
     assert sql == {"url": "jdbc:postgresql://h:5432/d", "user": "u", "password": "p@ss", "dbtable": "t"}
