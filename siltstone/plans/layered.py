@@ -10,7 +10,6 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.functions.digest import quoted
 from siltstone.functions.names import pii_columns
 from siltstone.operators.gold import build_gold, merge_groups, split_columns
 from siltstone.operators.incremental import Frontier, date_window
