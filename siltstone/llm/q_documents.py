@@ -89,8 +89,8 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("load-second", count_tokens(docs, f"{TOKENIZERS}/{second}.tiktoken", second))
     versions = F.explode(F.array(F.lit(first), F.lit(second))).alias("tokenizer")
     rollup.commit("takedown", deletes=toxic.select("doc_id", versions))
-    left = docs.join(toxic, "doc_id", "left_anti").withColumn("text", F.regexp_replace("text", GAPS, " "))
-    rollup.commit("revision", count_tokens(left, f"{TOKENIZERS}/{first}.tiktoken", first))
+    revised = count_tokens(docs.withColumn("text", F.regexp_replace("text", GAPS, " ")), f"{TOKENIZERS}/{first}.tiktoken", first)
+    rollup.commit("revision", revised.join(toxic, "doc_id", "left_anti"))  # counts are joined, texts stay where they are
     rollup.commit("load", counted)
     return rollup.totals()
 
