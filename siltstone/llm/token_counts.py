@@ -109,23 +109,21 @@ class Rollup:
         done = self.committed()
         if batch in done:
             return False
-        new = None
+        folder = f"{self.root}/ledger/{batch}"
+        new = self.spark.createDataFrame([], LEDGER).drop("batch")
         if inserts is not None:
             fact = F.struct("tokens", "source", "lang")
             checked = inserts.withColumn("doc_id", F.when(F.col("doc_id").isNull(), F.raise_error(F.lit("a document without an id"))).otherwise(F.col("doc_id")))
             new = checked.groupBy(*KEY).agg(F.max(fact).alias("f")).select(*KEY, "f.source", "f.lang", "f.tokens", F.lit(1).alias("sign"))
-        old = None
+        # New facts are written before their keys are looked up, so that each text is counted once.
+        new.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(folder)
         if done:
-            touched = [d.select(*KEY) for d in (inserts, deletes) if d is not None]
-            keys = touched[0] if len(touched) == 1 else touched[0].unionByName(touched[1])
+            keys = self.spark.read.schema(LEDGER).parquet(folder).select(*KEY)
+            if deletes is not None:
+                keys = keys.unionByName(deletes.select(*KEY))
             old = self.documents().join(keys.distinct(), list(KEY), "left_semi").withColumn("sign", F.lit(-1))
-        changes = [d.select(*KEY, "source", "lang", "tokens", "sign") for d in (new, old) if d is not None]
-        if changes:
-            ledger = changes[0] if len(changes) == 1 else changes[0].unionByName(changes[1])
-        else:
-            ledger = self.spark.createDataFrame([], LEDGER).drop("batch")
-        ledger.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{self.root}/ledger/{batch}")
-        written = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger/{batch}")
+            old.select(*KEY, "source", "lang", "tokens", "sign").withColumn("batch", F.lit(batch)).write.mode("append").parquet(folder)
+        written = self.spark.read.schema(LEDGER).parquet(folder)
         plus, minus = F.col("sign") > 0, F.col("sign") < 0
         zero = F.lit(0).cast("long")
         written.groupBy(*GROUP).agg(

@@ -97,3 +97,22 @@ def test_one_url_over_many_ranges(spark):
         want += [(f"v{i}", max(earlier)[1] if earlier else None)] * 2
     assert got == sorted(want, key=lambda x: (x[0], x[1] or ""))
     assert resolve_revisits(records.limit(0)).count() == 0
+
+
+def test_each_text_of_a_batch_is_counted_once(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    facts = "doc_id bigint, tokenizer string, source string, lang string, tokens bigint"
+    rollup = Rollup(spark, shared_dir(spark, "rollup-once"))
+    for name, tokens in (("load", 5), ("revision", 7)):
+        batch = spark.createDataFrame([(i, "v1", "s", "en", tokens) for i in range(4)], facts).mapInArrow(count, facts)
+        before = counted.value
+        rollup.commit(name, batch)
+        assert counted.value - before == 4
+    rollup.commit("takedown", deletes=spark.createDataFrame([(0, "v1"), (9, "v1")], "doc_id int, tokenizer string"))
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "v1", 3, 21, 8, 48, 5, 27)]
