@@ -1,12 +1,15 @@
 import datetime as dt
 import warnings
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators import cdc, incremental, keys, scd2
+from siltstone.plans import q_history  # noqa: F401  (registers queries)
 from siltstone.plans.layered import RunConfig, apply_batch, read_layer, run, upsert
 from siltstone.operators.quality import QualityGateError
+from siltstone.plans.registry import ORACLES, QUERIES
 from siltstone.session import shared_dir
 from siltstone.sources import versions
 from siltstone.sources.tables import HistoryTable, KeyedTable, PartedTable, VersionedTable
@@ -184,6 +187,51 @@ def test_cdc_duplicate_keys(spark):
     assert cdc.snapshot_diff(old, new, "k", order_by=["s"]).first()["op"] == "unchanged"
 
 
+def test_cdc_pairs_of_repeated_keys(spark, rows):
+    schema = "k int, v double"
+    old = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0), (5, None), (6, 6.0), (None, 9.0), (None, 9.0)], schema)
+    new = spark.createDataFrame(
+        [(1, 1.0), (1, 1.0), (2, 2.0), (2, 0.0), (3, 5.0), (3, 5.0), (5, None), (6, 7.0), (7, 7.0), (7, 8.0), (None, 8.0)], schema
+    )
+    want = sorted(
+        [(1, "unchanged", 1.0, 1.0)] * 2 + [(2, "unchanged", 2.0, 2.0), (2, "update", 2.0, 0.0)] + [(3, "update", 3.0, 5.0)] * 2
+        + [(4, "delete", 4.0, None), (5, "unchanged", None, None), (6, "update", 6.0, 7.0), (7, "insert", None, 7.0), (7, "insert", None, 8.0)],
+        key=repr,
+    )
+    for images in ("all", "changed"):
+        with pytest.raises(Exception, match="repeated key"):
+            cdc.snapshot_diff(old, new, "k", images=images).collect()
+        events = cdc.snapshot_diff(old, new, "k", images=images, repeated="pairs")
+        seen = [w if images == "all" or w[1] != "unchanged" else (*w[:2], None, None) for w in want]
+        assert rows(events, "pk", "op", "before.v", "after.v") == sorted(seen, key=repr)
+        assert {r["op"]: r["changed_cols"] for r in events.collect()} == {"unchanged": [], "update": ["v"], "delete": [], "insert": []}
+        rebuilt = cdc.apply_diff(old, events, "k", repeated="pairs")
+        assert rows(rebuilt) == sorted([r for r in map(tuple, new.collect()) if r[0]] + [(None, 9.0)] * 2, key=repr)
+        back = cdc.snapshot_diff(new, old, "k", images=images, repeated="pairs")
+        assert back.filter("op = 'update' and pk = 3").count() == 2 and back.filter("op = 'delete' and pk = 7").count() == 2
+        with pytest.raises(Exception, match="repeated key in the old snapshot"):
+            cdc.apply_diff(new, back, "k", repeated="pairs").collect()
+    with pytest.raises(ValueError):
+        cdc.snapshot_diff(old, new, "k", order_by=["v"], repeated="pairs")
+
+
+def test_diffs_of_orders_beyond_a_million(spark, rows, tmp_path):
+    """The second snapshot's added keys meet keys that are there, so a key has two rows in it."""
+    con = duckdb.connect()
+    con.execute(
+        """CREATE TABLE orders AS SELECT k AS o_orderkey, k % 7 AS o_custkey, 'O' AS o_orderstatus, k / 4 AS o_totalprice,
+        TIMESTAMP '2024-01-01' + INTERVAL (k % 9) DAY AS o_orderdate, '1-URGENT' AS o_orderpriority
+        FROM (SELECT unnest(range(300)) AS k UNION ALL SELECT 1000000 + unnest(range(300)))"""
+    )
+    con.execute(f"COPY orders TO '{tmp_path}/orders.parquet' (FORMAT parquet)")
+    for name in (
+        "c01_digest_first",
+    ):
+        found = QUERIES[name](spark, str(tmp_path))
+        want = con.execute(f"SELECT {', '.join(found.columns)} FROM ({ORACLES[name]})").fetchall()
+        assert rows(found) == sorted(want, key=repr), name
+
+
 def test_key_joins_are_null_safe(spark):
     a = spark.createDataFrame([(None, 1), (1, 2), (2, 3)], "k int, v int")
     b = spark.createDataFrame([(None, 9), (1, 9), (1, 9)], "k int, v int")
