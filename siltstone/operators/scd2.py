@@ -45,13 +45,13 @@ def first_load(batch: DataFrame, tracked: Sequence[str], as_of) -> DataFrame:
     )
 
 
-def _same(current: DataFrame, columns: Sequence[str]) -> Column:
+def _same(current: DataFrame, columns: Sequence[str], old: Column, new: Column) -> Column:
     """The old and the new row agree in these columns; maps have no order, so they are compared as text."""
     parts = []
     for c in columns:
-        sides = [F.col(f"{side}.{q(c)}") for side in ("old", "new")]
+        sides = [old[c], new[c]]
         if "map<" in current.schema[c].dataType.simpleString():
-            sides = [F.to_json(F.struct(side)) for side in sides]
+            sides = [F.to_json(F.struct(side.alias(c))) for side in sides]
         parts.append(sides[0].eqNullSafe(sides[1]))
     return reduce(lambda a, b: a & b, parts, F.lit(True))
 
@@ -64,6 +64,7 @@ def classify(
     *,
     order_by: Sequence[str] = (),
     snapshot: bool = False,
+    repeated: str = "raise",
 ) -> DataFrame:
     """Current versions against a batch: `status`, the `old` version and the `new` row.
 
@@ -79,18 +80,28 @@ def classify(
     A row has changed if a tracked column that both sides have holds another
     value, null-safe. So the order of the batch's columns, the session's time
     zone, a column the batch lacks and a new column without values change nothing.
+
+    `repeated="pairs"` takes a batch that may hold a key more than once, as a full
+    outer join does: an event for each pair of a current version and a batch row of
+    the key. `starts` is then how many of the key's events are new or changed. All
+    rows of a key are in one task. A key that comes several times and has several
+    current versions raises. It takes no `order_by`.
     """
+    _check_repeated(repeated, order_by)
     types = {f.name: f.dataType for f in current.schema.fields}
     # Values are compared in, and hashed as, the types and the order gold has.
     tracked = [c for c in current.columns if c in tracked] + [c for c in tracked if c not in types]
     aligned = batch.select(
         *[F.col(q(c)).cast(types[c]).alias(c) if c in types else F.col(q(c)) for c in batch.columns]
     )
-    single = one_row_per_key(aligned, keys, order_by, keep_key=True)
+    compared = [c for c in tracked if c in types and c in aligned.columns]
+    single = aligned.select(key_of(keys), "*") if repeated == "pairs" else one_row_per_key(aligned, keys, order_by, keep_key=True)
     single = single.withColumn("_change_hash", change_hash(single, [c for c in tracked if c in single.columns]))
     # Both sides hold one row per key, so no key can be hot in these joins.
     left = current.select(key_of(keys), F.struct(*[F.col(q(c)) for c in current.columns]).alias("old"))
     right = single.select(KEY, F.struct(*[F.col(q(c)) for c in single.columns if c != KEY]).alias("new"))
+    if repeated == "pairs":
+        right = _rows_by_key(right, current, keys)
     if snapshot:
         pairs = left.join(right, KEY, "full_outer").select("old", "new")
     else:
@@ -98,15 +109,35 @@ def classify(
         known = with_keys(current.select(*[F.col(q(k)) for k in keys]), aligned, keys)
         fresh = right.join(known.select(key_of(keys)).distinct(), KEY, "left_anti")
         pairs = looked_up.unionByName(fresh.select(F.lit(None).cast(left.schema["old"].dataType).alias("old"), "new"))
+    if repeated == "pairs":
+        differing = F.filter("new", lambda row: F.col("old").isNull() | ~_same(current, compared, F.col("old"), row))
+        pairs = pairs.select("old", F.explode_outer("new").alias("new"), F.coalesce(F.size(differing), F.lit(0)).alias("starts"))
     return pairs.withColumn(
         "status",
         F.when(F.col("old").isNull(), F.lit("new"))
         .when(F.col("new").isNull(), F.lit("missing"))
-        .when(_same(current, [c for c in tracked if c in types and c in single.columns]), F.lit("unchanged"))
+        .when(_same(current, compared, F.col("old"), F.col("new")), F.lit("unchanged"))
         .otherwise(F.lit("changed")),
     )
 
 
+def _check_repeated(repeated: str, order_by: Sequence[str]) -> None:
+    if repeated not in ("raise", "pairs"):
+        raise ValueError("repeated is 'raise' or 'pairs'")
+    if repeated == "pairs" and order_by:
+        raise ValueError("repeated='pairs' takes all rows of a key, order_by picks one")
+
+
+def _rows_by_key(rows: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch's rows (`new`) of each key as a list; a key of several rows must have one current version at most."""
+    listed = rows.groupBy(KEY).agg(F.collect_list("new").alias("new"))
+    several = rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    versions = current.select(key_of(keys)).join(several, KEY, "left_semi").groupBy(KEY).agg(F.count(F.lit(1)).alias("_versions"))
+    problem = F.raise_error(F.concat(F.lit("repeated key with several current versions: "), F.to_json(KEY)))
+    checked = listed.join(versions.filter("_versions > 1"), KEY, "left")
+    return checked.select(KEY, F.when(F.col("_versions") > 1, problem).otherwise(F.col("new")).alias("new"))
+
+
 def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expire_missing: bool = False) -> DataFrame:
     """The versions that follow from a classified batch: kept, expired and inserted rows.
 
@@ -114,6 +145,11 @@ def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expi
     began: a batch dated before the version it would end raises when the result
     is computed, before a table publishes it. A version that began at the same
     moment never held, so the new one stands in its place.
+
+    Of keys that a batch holds more than once (`repeated="pairs"`), a version is kept or
+    ends once per event of its key, and each row of the batch starts a version per event
+    that is new or changed, as joins with the events do. So the key may have several
+    current versions. One that began at the same moment is replaced row by row.
     """
     now, open_end = _stamp(as_of), F.lit(None).cast("timestamp")
     names = [f.name for f in classified.schema["old"].dataType.fields]
@@ -133,13 +169,16 @@ def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expi
         {**fresh, "_valid_from": now, "_valid_to": open_end, "_is_current": F.lit(True), "_last_updated": now}
     )
     status, at_once = F.col("status"), old["_valid_from"] == now
+    several = "starts" in classified.columns
+    started = F.array_repeat(inserted, F.col("starts")) if several else F.array(inserted)
     none = F.slice(F.array(kept), F.lit(1), F.lit(0))
     gone = F.when(at_once, none).otherwise(F.array(expired)) if expire_missing else F.array(kept)
     rows = (
-        F.when((status == "new") | ((status == "changed") & at_once), F.array(inserted))
-        .when(status == "changed", F.array(expired, inserted))
+        F.when((status == "changed") & at_once, F.array(inserted))
+        .when(status == "new", started)
+        .when(status == "changed", F.concat(F.array(expired), started) if several else F.array(expired, inserted))
         .when(status == "missing", gone)
-        .otherwise(F.array(kept))
+        .otherwise(F.when(at_once, F.array(kept)).otherwise(F.concat(F.array(kept), started)) if several else F.array(kept))
     )
     return classified.select(F.inline(rows)).select(*[F.col(q(c)) for c in columns])
 
@@ -160,17 +199,20 @@ def scd2_merge(
     order_by: Sequence[str] = (),
     expire_missing: bool = False,
     snapshot: bool = False,
+    repeated: str = "raise",
 ) -> DataFrame:
     """Gold after a batch. History is carried over without a shuffle, current rows as `classify` says.
 
-    `expire_missing` takes the batch for a full snapshot: a key it lacks ends.
+    `expire_missing` takes the batch for a full snapshot: a key it lacks ends. Of
+    `repeated`, see `classify`; the first batch must hold a key once in any case.
     """
+    _check_repeated(repeated, order_by)
     if gold is None:
         return first_load(one_row_per_key(batch, keys, order_by), tracked, as_of)
     gold = widened(gold, batch)
     history = gold.filter(~F.col("_is_current"))
     classified = classify(
-        gold.filter("_is_current"), batch, keys, tracked, order_by=order_by, snapshot=snapshot or expire_missing
+        gold.filter("_is_current"), batch, keys, tracked, order_by=order_by, snapshot=snapshot or expire_missing, repeated=repeated
     )
     return history.unionByName(versions_after(classified, gold.columns, as_of, expire_missing=expire_missing))
 
@@ -187,13 +229,19 @@ def merge_stats(classified: DataFrame, *, expire_missing: bool = False) -> DataF
     )
 
 
-def scd1_upsert(gold: DataFrame | None, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def scd1_upsert(
+    gold: DataFrame | None, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), *, repeated: str = "raise"
+) -> DataFrame:
     """One row per key: the batch's, or gold's where the batch has none.
 
     Values are taken in the types gold has, and a column the batch lacks keeps
     gold's value. Gold rows are not moved when the batch is small enough to broadcast.
+
+    With `repeated="pairs"` all rows the batch has of a key take the place of gold's; a
+    column it lacks keeps the values of each of gold's rows. It takes no `order_by`.
     """
-    latest = one_row_per_key(batch, keys, order_by)
+    _check_repeated(repeated, order_by)
+    latest = batch if repeated == "pairs" else one_row_per_key(batch, keys, order_by)
     if gold is None:
         return latest
     types = {f.name: f.dataType for f in gold.schema.fields}

@@ -290,11 +290,12 @@ def _versions(table: HistoryTable, as_of: str) -> tuple[int, int]:
 
 
 def apply_batch(
-    table: HistoryTable, batch: DataFrame, keys, as_of, *, label: str, order_by=(), expire_missing: bool = False
+    table: HistoryTable, batch: DataFrame, keys, as_of, *, label: str, order_by=(), expire_missing: bool = False, repeated: str = "raise"
 ) -> bool:
     """Merge a batch into a history table once: a label that is already published is skipped.
 
     Only the folders of the batch's keys are read and written, all of them where missing keys end.
+    The first batch must hold a key once; later ones do as `repeated` says (`classify`).
     """
     if table.has(label):
         return False
@@ -304,17 +305,20 @@ def apply_batch(
     else:
         touched = None if expire_missing else table.touched(batch, keys)
         current = widened(table.current(touched), batch)
-        classified = classify(current, batch, keys, tracked, order_by=order_by, snapshot=expire_missing)
+        classified = classify(current, batch, keys, tracked, order_by=order_by, snapshot=expire_missing, repeated=repeated)
         rows = versions_after(classified, current.columns, as_of, expire_missing=expire_missing)
     table.write(rows, label, keys, touched, ended=~F.col("_is_current"))
     return True
 
 
-def upsert(table: KeyedTable, batch: DataFrame, keys, *, label: str, order_by=()) -> bool:
-    """Put a batch into a table of one row per key, once; only the folders of its keys are read and written."""
+def upsert(table: KeyedTable, batch: DataFrame, keys, *, label: str, order_by=(), repeated: str = "raise") -> bool:
+    """Put a batch into a table of one row per key, once; only the folders of its keys are read and written.
+
+    With `repeated="pairs"` a key may have several rows (`scd1_upsert`).
+    """
     if table.has(label):
         return False
     keys, _ = default_keys(batch.columns, keys)
     touched = None if table.schema() is None else table.touched(batch, keys)
-    table.write(scd1_upsert(table.current(touched), batch, keys, order_by), label, keys, touched)
+    table.write(scd1_upsert(table.current(touched), batch, keys, order_by, repeated=repeated), label, keys, touched)
     return True

@@ -115,13 +115,14 @@ def late_rows(query: StreamingQuery, kept: LateRows | None = None) -> int:
 
 def stream_history(
     stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], as_of, *,
-    order_by: Sequence[str] = (), trigger: str = "10 minutes",
+    order_by: Sequence[str] = (), trigger: str = "10 minutes", repeated: str = "raise",
 ) -> StreamingQuery:
     """Merge every micro-batch into a history table; a repeated batch is recognised by its stream and number.
 
     `as_of` maps a batch number to the time its versions start. The stream's id
     is the one its checkpoint holds: another stream into the same table, or
     this one with a new checkpoint, counts from 0 again without being skipped.
+    `repeated` is that of `apply_batch`.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -130,7 +131,7 @@ def stream_history(
         spark = batch.sparkSession
         stream_id = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
         label = f"stream-{stream_id}-batch-{batch_id}"
-        apply_batch(HistoryTable(spark, root), batch, keys, as_of(batch_id), label=label, order_by=order_by)
+        apply_batch(HistoryTable(spark, root), batch, keys, as_of(batch_id), label=label, order_by=order_by, repeated=repeated)
 
     return _start(stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge), trigger)
 

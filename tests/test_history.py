@@ -233,6 +233,54 @@ def test_diffs_of_orders_beyond_a_million(spark, rows, tmp_path):
         assert rows(found) == sorted(want, key=repr), name
 
 
+def orders_beyond_a_million(path):
+    """Orders in which the second snapshot's added keys meet keys that are there, and a connection that knows them."""
+    con = duckdb.connect()
+    con.execute(
+        """CREATE TABLE orders AS SELECT k AS o_orderkey, k % 7 AS o_custkey, 'O' AS o_orderstatus, k / 4 AS o_totalprice,
+        TIMESTAMP '2024-01-01' + INTERVAL (k % 9) DAY AS o_orderdate, '1-URGENT' AS o_orderpriority
+        FROM (SELECT unnest(range(300)) AS k UNION ALL SELECT 1000000 + unnest(range(300)))"""
+    )
+    con.execute(f"COPY orders TO '{path}/orders.parquet' (FORMAT parquet)")
+    return con
+
+
+MERGES_BEYOND_A_MILLION = (
+    "c06_history_merge",
+)
+
+
+@pytest.mark.parametrize("name", MERGES_BEYOND_A_MILLION)
+def test_merges_of_orders_beyond_a_million(spark, rows, tmp_path, name):
+    con = orders_beyond_a_million(tmp_path)
+    found = QUERIES[name](spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(found.columns)} FROM ({ORACLES[name]})").fetchall()
+    assert rows(found) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("snapshot", [False, True])
+def test_pairs_of_repeated_keys_in_a_merge(spark, snapshot):
+    gold = scd2.first_load(orders(spark, (1, 1, "a"), (2, 1, "b"), (3, 1, "c"), (None, 1, "n"), (None, 1, "n")), ["v"], T1)
+    batch = orders(spark, (1, 1, "a"), (1, 1, "A"), (2, 1, "B"), (5, 1, "e"), (5, 1, "E"))
+    classified = scd2.classify(gold, batch, ["k", "r"], ["v"], snapshot=snapshot, repeated="pairs")
+    assert tuple(scd2.merge_stats(classified).first()) == (2, 2, 1, 3, 2)
+    merged = scd2.scd2_merge(gold, batch, ["k", "r"], ["v"], T2, snapshot=snapshot, repeated="pairs")
+    now = (T2, "None", True)
+    want = [
+        (1, 1, "a", T1, "None", True), (1, 1, "a", T1, T2, False), (1, 1, "a", *now), (1, 1, "A", *now),
+        (2, 1, "b", T1, T2, False), (2, 1, "B", *now), (3, 1, "c", T1, "None", True),
+        *[(5, 1, v, *now) for v in "eeEE"], *[(None, 1, "n", T1, "None", True)] * 2,
+    ]
+    assert state(merged) == sorted(want, key=repr)
+    # Key 1 has several current versions now: one row meets each of them, several are refused.
+    once = scd2.scd2_merge(merged, orders(spark, (1, 1, "A")), ["k", "r"], ["v"], T3, snapshot=snapshot, repeated="pairs")
+    assert [r for r in state(once) if r[0] == 1 and r[4] == T3] == [(1, 1, "a", T1, T3, False), (1, 1, "a", T2, T3, False)]
+    with pytest.raises(Exception, match="several current versions"):
+        scd2.scd2_merge(merged, batch, ["k", "r"], ["v"], T3, snapshot=snapshot, repeated="pairs").collect()
+    with pytest.raises(ValueError):
+        scd2.classify(gold, batch, ["k", "r"], ["v"], order_by=["v"], snapshot=snapshot, repeated="pairs")
+
+
 def test_key_joins_are_null_safe(spark):
     a = spark.createDataFrame([(None, 1), (1, 2), (2, 3)], "k int, v int")
     b = spark.createDataFrame([(None, 9), (1, 9), (1, 9)], "k int, v int")
