@@ -215,5 +215,5 @@ def _default_key(spark, sf_dir):
     old, new = snapshots(spark, sf_dir)
     gold = HistoryTable(spark, shared_dir(spark, "history"))
     apply_batch(gold, old, (), FIRST, label="first")
-    apply_batch(gold, new, (), SECOND, label="second")
+    apply_batch(gold, new, (), SECOND, label="second", repeated="pairs")
     return _readable(gold.read())
