@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators import cdc, incremental, keys, scd2
-from siltstone.plans import q_history  # noqa: F401  (registers queries)
+from siltstone.plans import q_decisions, q_history  # noqa: F401  (register queries)
 from siltstone.plans.layered import RunConfig, apply_batch, read_layer, run, upsert
 from siltstone.operators.quality import QualityGateError
 from siltstone.plans.registry import ORACLES, QUERIES
