@@ -86,6 +86,9 @@ def classify(
     the key. `starts` is then how many of the key's events are new or changed. All
     rows of a key are in one task. A key that comes several times and has several
     current versions raises. It takes no `order_by`.
+
+    `repeated="sequence"` gives the same events. `place` numbers those of a key, the new
+    or changed ones first and by their change hash, so that each can follow the one before.
     """
     _check_repeated(repeated, order_by)
     types = {f.name: f.dataType for f in current.schema.fields}
@@ -95,12 +98,12 @@ def classify(
         *[F.col(q(c)).cast(types[c]).alias(c) if c in types else F.col(q(c)) for c in batch.columns]
     )
     compared = [c for c in tracked if c in types and c in aligned.columns]
-    single = aligned.select(key_of(keys), "*") if repeated == "pairs" else one_row_per_key(aligned, keys, order_by, keep_key=True)
+    single = one_row_per_key(aligned, keys, order_by, keep_key=True) if repeated == "raise" else aligned.select(key_of(keys), "*")
     single = single.withColumn("_change_hash", change_hash(single, [c for c in tracked if c in single.columns]))
     # Both sides hold one row per key, so no key can be hot in these joins.
     left = current.select(key_of(keys), F.struct(*[F.col(q(c)) for c in current.columns]).alias("old"))
     right = single.select(KEY, F.struct(*[F.col(q(c)) for c in single.columns if c != KEY]).alias("new"))
-    if repeated == "pairs":
+    if repeated != "raise":
         right = _rows_by_key(right, current, keys)
     if snapshot:
         pairs = left.join(right, KEY, "full_outer").select("old", "new")
@@ -109,9 +112,15 @@ def classify(
         known = with_keys(current.select(*[F.col(q(k)) for k in keys]), aligned, keys)
         fresh = right.join(known.select(key_of(keys)).distinct(), KEY, "left_anti")
         pairs = looked_up.unionByName(fresh.select(F.lit(None).cast(left.schema["old"].dataType).alias("old"), "new"))
-    if repeated == "pairs":
-        differing = F.filter("new", lambda row: F.col("old").isNull() | ~_same(current, compared, F.col("old"), row))
-        pairs = pairs.select("old", F.explode_outer("new").alias("new"), F.coalesce(F.size(differing), F.lit(0)).alias("starts"))
+    if repeated != "raise":
+        differs = lambda row: F.col("old").isNull() | ~_same(current, compared, F.col("old"), row)
+        differing = F.filter("new", differs)
+        starts = F.coalesce(F.size(differing), F.lit(0)).alias("starts")
+        if repeated == "pairs":
+            pairs = pairs.select("old", F.explode_outer("new").alias("new"), starts)
+        else:
+            events = F.concat(F.array_sort(differing, _by_hash), F.filter("new", lambda row: ~differs(row)))
+            pairs = pairs.select("old", F.posexplode_outer(events).alias("place", "new"), starts)
     return pairs.withColumn(
         "status",
         F.when(F.col("old").isNull(), F.lit("new"))
@@ -122,10 +131,15 @@ def classify(
 
 
 def _check_repeated(repeated: str, order_by: Sequence[str]) -> None:
-    if repeated not in ("raise", "pairs"):
-        raise ValueError("repeated is 'raise' or 'pairs'")
-    if repeated == "pairs" and order_by:
-        raise ValueError("repeated='pairs' takes all rows of a key, order_by picks one")
+    if repeated not in ("raise", "pairs", "sequence"):
+        raise ValueError("repeated is 'raise', 'pairs' or 'sequence'")
+    if repeated != "raise" and order_by:
+        raise ValueError(f"repeated='{repeated}' takes all rows of a key, order_by picks one")
+
+
+def _by_hash(a: Column, b: Column) -> Column:
+    """The order of two rows of one key; those with equal hashes are equal."""
+    return F.when(a["_change_hash"] < b["_change_hash"], -1).when(a["_change_hash"] > b["_change_hash"], 1).otherwise(0)
 
 
 def _rows_by_key(rows: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -150,6 +164,11 @@ def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expi
     ends once per event of its key, and each row of the batch starts a version per event
     that is new or changed, as joins with the events do. So the key may have several
     current versions. One that began at the same moment is replaced row by row.
+
+    Of a key that comes several times in a `repeated="sequence"`, the old version ends once,
+    rows that are new or changed follow it in the order of `place`, and all but the last of
+    them end at the moment they begin. So it keeps one current version. Rows equal to the
+    old version start nothing.
     """
     now, open_end = _stamp(as_of), F.lit(None).cast("timestamp")
     names = [f.name for f in classified.schema["old"].dataType.fields]
@@ -173,6 +192,17 @@ def versions_after(classified: DataFrame, columns: Sequence[str], as_of, *, expi
     started = F.array_repeat(inserted, F.col("starts")) if several else F.array(inserted)
     none = F.slice(F.array(kept), F.lit(1), F.lit(0))
     gone = F.when(at_once, none).otherwise(F.array(expired)) if expire_missing else F.array(kept)
+    if "place" in classified.columns:
+        first, last = F.col("place") == 0, F.col("place") == F.col("starts") - 1
+        passed = version({**fresh, "_valid_from": now, "_valid_to": now, "_is_current": F.lit(False), "_last_updated": now})
+        follows = F.when(last, F.array(inserted)).otherwise(F.array(passed))
+        rows = (
+            F.when(status == "new", follows)
+            .when(status == "changed", F.when(first & ~at_once, F.concat(F.array(expired), follows)).otherwise(follows))
+            .when(status == "missing", gone)
+            .otherwise(F.when(first, F.array(kept)).otherwise(none))
+        )
+        return classified.select(F.inline(rows)).select(*[F.col(q(c)) for c in columns])
     rows = (
         F.when((status == "changed") & at_once, F.array(inserted))
         .when(status == "new", started)
@@ -241,6 +271,8 @@ def scd1_upsert(
     column it lacks keeps the values of each of gold's rows. It takes no `order_by`.
     """
     _check_repeated(repeated, order_by)
+    if repeated == "sequence":
+        raise ValueError("a sequence is of versions, which only a history keeps")
     latest = batch if repeated == "pairs" else one_row_per_key(batch, keys, order_by)
     if gold is None:
         return latest

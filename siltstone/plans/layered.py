@@ -59,6 +59,7 @@ class RunConfig:
     group_by: str = ""
     batch_order: tuple[str, ...] = ()
     expire_missing: bool = False
+    repeated: str = "raise"  # a key that comes several times in a later load of a history, see `classify`
     buckets: int = 64  # folders of gold in an upsert or a history
     fixed_schema: bool | None = None
     profile_distinct: str = "approx"
@@ -253,7 +254,10 @@ def _gold(
     path = f"{config.root}/gold_{config.gold_mode}"
     if config.gold_mode == "scd2":
         table = HistoryTable(spark, path, config.buckets)
-        apply_batch(table, silver, config.keys, as_of, label=config.run_id, order_by=config.batch_order, expire_missing=config.expire_missing)
+        apply_batch(
+            table, silver, config.keys, as_of, label=config.run_id, order_by=config.batch_order,
+            expire_missing=config.expire_missing, repeated=config.repeated,
+        )
         return table.read(), silver, "SCD type 2", _versions(table, as_of)
     if config.gold_mode == "scd1":
         keyed = KeyedTable(spark, path, config.buckets)
@@ -285,8 +289,9 @@ def _versions(table: HistoryTable, as_of: str) -> tuple[int, int]:
     if table.last is None:
         return 0, 0
     rows = table.written(table.last, table.schema())
-    current, now = F.col("_is_current"), F.lit(as_of).cast("timestamp")
-    return tuple(rows.agg(F.count_if(current & (F.col("_valid_from") == now)), F.count_if(~current)).first())
+    # A version that others of its batch follow begins and ends in one.
+    now = F.lit(as_of).cast("timestamp")
+    return tuple(rows.agg(F.count_if(F.col("_valid_from") == now), F.count_if(~F.col("_is_current"))).first())
 
 
 def apply_batch(

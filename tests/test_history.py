@@ -294,6 +294,38 @@ def test_pairs_of_repeated_keys_in_a_merge(spark, snapshot):
         scd2.classify(gold, batch, ["k", "r"], ["v"], order_by=["v"], snapshot=snapshot, repeated="pairs")
 
 
+def test_gold_counts_of_orders_beyond_a_million(spark, rows, tmp_path):
+    con = orders_beyond_a_million(tmp_path)
+    found = QUERIES["l04_gold_counts"](spark, str(tmp_path))
+    assert rows(found) == con.execute(f"SELECT {', '.join(found.columns)} FROM ({ORACLES['l04_gold_counts']})").fetchall()
+
+
+@pytest.mark.parametrize("snapshot", [False, True])
+def test_sequence_of_repeated_keys_in_a_merge(spark, snapshot):
+    gold = scd2.first_load(orders(spark, (1, 1, "a"), (2, 1, "b"), (3, 1, "c"), (4, 1, "d"), (None, 1, "n")), ["v"], T1)
+    batch = orders(spark, (1, 1, "a"), (1, 1, "A"), (2, 1, "B"), (2, 1, "C"), (2, 1, "B"), (4, 1, "d"), (4, 1, "d"), (5, 1, "e"), (5, 1, "E"), (None, 1, "N"), (None, 1, None))
+    classified = scd2.classify(gold, batch, ["k", "r"], ["v"], snapshot=snapshot, repeated="sequence")
+    assert tuple(scd2.merge_stats(classified).first()) == (2, 6, 3, 1, 6)
+    merged = scd2.scd2_merge(gold, batch, ["k", "r"], ["v"], T2, snapshot=snapshot, repeated="sequence")
+    found = state(merged)
+    # An event that is new or changed starts a version, and each ends the one before.
+    assert [r for r in found if r[3] == T1] == sorted(
+        [(1, 1, "a", T1, T2, False), (2, 1, "b", T1, T2, False), (3, 1, "c", T1, "None", True), (4, 1, "d", T1, "None", True), (None, 1, "n", T1, T2, False)], key=repr
+    )
+    started = [r for r in found if r[3] == T2]
+    assert sorted((r[:3] for r in started), key=repr) == sorted([(1, 1, "A"), (2, 1, "B"), (2, 1, "B"), (2, 1, "C"), (5, 1, "E"), (5, 1, "e"), (None, 1, "N"), (None, 1, None)], key=repr)
+    assert {(r[4], r[5]) for r in started} == {("None", True), (T2, False)}
+    assert sorted((r[0] for r in found if r[5]), key=repr) == [1, 2, 3, 4, 5, None]
+    # So the next batch finds one current version of every key, and one that begins now stands in for those of now.
+    again = scd2.scd2_merge(merged, orders(spark, (2, 1, "x"), (2, 1, "y")), ["k", "r"], ["v"], T2, snapshot=snapshot, repeated="sequence")
+    assert [r[5] for r in state(again) if r[0] == 2].count(True) == 1 and len([r for r in state(again) if r[0] == 2]) == 5
+    ended = scd2.scd2_merge(gold, batch, ["k", "r"], ["v"], T2, expire_missing=True, repeated="sequence")
+    assert [r for r in state(ended) if r[0] == 3] == [(3, 1, "c", T1, T2, False)]
+    for call in (scd2.classify, scd2.scd1_upsert):
+        with pytest.raises(ValueError):
+            call(gold, batch, ["k", "r"], ["v"], repeated="sequence", **({"order_by": ["v"]} if call is scd2.classify else {}))
+
+
 def test_key_joins_are_null_safe(spark):
     a = spark.createDataFrame([(None, 1), (1, 2), (2, 3)], "k int, v int")
     b = spark.createDataFrame([(None, 9), (1, 9), (1, 9)], "k int, v int")
