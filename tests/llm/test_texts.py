@@ -4,7 +4,10 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -347,6 +350,46 @@ def test_spans_of_rows_that_repeat_are_held_once(spark):
     assert {(r.doc_id, r.n_removed) for r in out.collect()} == {(1, 1500), (None, 1500), (2, 700)}
 
 
+class Rows:
+    """Takes the place of a DataFrame: hands out the function that its tasks run."""
+
+    def __getattr__(self, name):
+        return (lambda function, schema: function) if name == "mapInArrow" else lambda *columns: self
+
+
+def test_memory_of_repeat_search_is_bounded():
+    rng = random.Random(31)
+    say = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    texts = [say(100_000) for _ in range(30)] + [say(3 << 20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(31)), pa.array(range(31)), pa.array(texts)], names=["id", "hash", "text"])
+    parts = [(k // 2, 0, False, k, say(143).encode(), say(143).encode()) for k in range(4_000)]
+    cut = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*parts, strict=True)], names=["anchor", "part", "split", "around", "before", "after"])
+    for function, rows in ((suffix_dedup.anchors(Rows(), 400, 257), batch), (suffix_dedup.sorted_windows(Rows(), 400, 257), cut)):
+        tracemalloc.start()
+        try:
+            for _ in function(iter([rows])):
+                pass
+            assert tracemalloc.get_traced_memory()[1] < 56 << 20
+        finally:
+            tracemalloc.stop()
+
+
+def test_repeats_in_texts_of_many_pieces(spark):
+    rng = random.Random(32)
+    say = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    size, shared = suffix_dedup.SLICE_BYTES, [say(300) for _ in range(4)]
+    first = say(size - 100) + shared[0] + say(2_000) + shared[1] + say(size - 2_400) + "xyz" * 200 + say(500)
+    second = say(70) + shared[1] + say(size - 400) + shared[0] + say(20) + shared[2]
+    rows = [(1, first), (2, second), (3, say(500) + shared[2]), (4, "é" * (size // 2 + 40)), (5, shared[3])]
+    data = np.frombuffer(first.encode(), np.uint8)
+    ends = np.full(len(data), len(data))
+    want = suffix_dedup._placed(data, np.zeros_like(ends), ends, ends - np.arange(len(data)) >= 64, 64, 33)
+    got = zip(*suffix_dedup._placed_in_pieces(first.encode(), 64, 33), strict=True)
+    assert all((np.concatenate(g) == w).all() for g, w in zip(got, want, strict=True))
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA), length=64, gram=33)
+    assert sorted(map(tuple, out.collect()), key=repr) == repeats(rows, 64)
+
+
 def test_copies_of_an_item_are_dealt_once(spark, monkeypatch):
     """A text that is most of the benchmark neither fills a block nor goes to the driver more than once."""
     words = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
