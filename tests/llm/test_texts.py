@@ -362,7 +362,8 @@ def test_memory_of_repeat_search_is_bounded():
     say = lambda n: "".join(rng.choices("abcdefgh ", k=n))
     texts = [say(100_000) for _ in range(30)] + [say(3 << 20)]
     batch = pa.RecordBatch.from_arrays([pa.array(range(31)), pa.array(range(31)), pa.array(texts)], names=["id", "hash", "text"])
-    parts = [(k // 2, 0, False, k, say(143).encode(), say(143).encode()) for k in range(4_000)]
+    parts = [(k // 2, 0, False, k, say(143).encode(), say(143).encode()) for k in range(3_000)]
+    parts += [(3_000, 0, True, k, say(143).encode(), say(143).encode()) for k in range(1_500)]
     cut = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*parts, strict=True)], names=["anchor", "part", "split", "around", "before", "after"])
     for function, rows in ((suffix_dedup.anchors(Rows(), 400, 257), batch), (suffix_dedup.sorted_windows(Rows(), 400, 257), cut)):
         tracemalloc.start()
